@@ -14,11 +14,9 @@ of an id the least counts; rows that repeat get the same score; an empty table g
 doc_id and text are not read.
 """
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -34,61 +32,62 @@ SHAPES = 1024
 RANK = 48
 NEIGHBOURS = 15
 #: Weight of the terms' block against that of the shapes, which has 1.
-TERM_WEIGHT = 0.5
+TERM_WEIGHT = 0.25
 POWER = 8
 THRESHOLD = 0.3
 BLOCK = 1024
-_CACHE = 200_000
-_SAME = re.compile(r"(.)\1+")
+#: Bytes of a text that are turned into hashes at once; a word that crosses the border counts as two.
+PIECE = 1 << 20
+_BYTES = [chr(i) for i in range(128)]
+#: For words: ASCII letters in lower case, bytes of other letters as they are, anything else 0.
+_LETTERS = bytes([ord(c.lower()) if c.isalpha() else 0 for c in _BYTES] + list(range(128, 256)))
+#: For shapes: capitals A, other letters a, digits 0, white space a space, punctuation as it is.
+_KINDS = bytes([ord("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else " " if c.isspace() else c) for c in _BYTES] + [ord("a")] * 128)
+_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
-class _Kinds(dict):
-    def __missing__(self, code: int) -> str:
-        c = chr(code)
-        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        return kind
-
-
-_KINDS = _Kinds()
-
-
-def shape(token: str) -> str:
-    """The token with runs of capitals, other letters and digits as A, a and 0, without repeats: 'The&&&' is 'Aa&'."""
-    return _SAME.sub(r"\1", token.translate(_KINDS))[:8]
+def _powers(base: int) -> np.ndarray:
+    steps = np.full(PIECE, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
 
 
 class Features:
-    """Sparse rows: unit-length blocks of square-rooted term and shape frequencies."""
+    """Sparse rows: unit-length blocks of square-rooted term and shape frequencies, by array operations on the text's
+    bytes. A shape is a token with runs of capitals, other letters and digits as A, a and 0, cut to 8: 'The&&&' is 'Aa&'."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
-
-    def _of(self, token: str) -> tuple[int, int]:
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        word = token.strip(".,;:!?\"'()|*#$%&").lower()
-        got = (zlib.crc32(word.encode("utf-8", "replace")) % TERMS, TERMS + zlib.crc32(shape(token[:200]).encode("utf-8", "replace")) % SHAPES)
-        self.known[token] = got
-        return got
+        self.up, self.down = _powers(_STEP), _powers(pow(_STEP, -1, 1 << 64))
+
+    def _words(self, raw: bytes) -> np.ndarray:
+        """Hashes of the words in order."""
+        parts = [np.zeros(0, np.uint64)]
+        for at in range(0, len(raw), PIECE):
+            b = np.frombuffer(raw[at : at + PIECE].translate(_LETTERS), np.uint8)
+            letter = b > 0
+            starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
+            if len(starts):
+                h = np.add.reduceat(b * self.up[: len(b)], starts) * self.down[starts]
+                parts.append((h ^ (h >> np.uint64(29))) * np.uint64(_STEP) >> np.uint64(32))
+        return np.concatenate(parts)
 
     def row(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        tokens = text.split() if text else []
-        if not tokens:
+        raw = text.encode("utf-8", "surrogatepass") if text else b""
+        kinds = np.frombuffer(raw.translate(_KINDS), np.uint8)
+        change = np.concatenate([[True], kinds[1:] != kinds[:-1]]) if len(kinds) else np.zeros(0, bool)
+        found = Counter(x[:8] for x in kinds[change].tobytes().split())
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
-        counts = Counter(tokens)
-        known = self.known
-        at = np.array([known.get(t) or self._of(t) for t in counts], np.int64)
-        n = np.fromiter(counts.values(), np.float64, len(counts))
-        terms = np.sqrt(np.bincount(at[:, 0], n, TERMS))
-        # two shapes of the text as a whole: words that repeat the one before, and ones that don't
-        again = sum(map(eq, tokens, tokens[1:]))
-        shapes = np.sqrt(np.bincount(at[:, 1] - TERMS, n, SHAPES))
-        shapes = np.concatenate([shapes, [np.sqrt(again)]])
-        terms *= TERM_WEIGHT / np.sqrt(len(tokens))
-        shapes /= np.sqrt(len(tokens) + again)
-        both = np.concatenate([terms, shapes])
+        both = np.zeros(WIDTH)
+        for x, n in found.items():
+            both[TERMS + zlib.crc32(x) % SHAPES] += n
+        # one more shape, of the text as a whole: words that repeat the one before
+        hashes = self._words(raw)
+        both[-1] = (hashes[1:] == hashes[:-1]).sum()
+        both[TERMS:] /= both[TERMS:].sum()
+        both[:TERMS] = np.bincount((hashes % np.uint64(TERMS)).astype(np.int64), minlength=TERMS) * (TERM_WEIGHT**2 / max(1, len(hashes)))
         ids = np.flatnonzero(both)
-        return ids, both[ids].astype(np.float32)
+        return ids, np.sqrt(both[ids]).astype(np.float32)
 
 
 WIDTH = TERMS + SHAPES + 1
