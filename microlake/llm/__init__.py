@@ -1,8 +1,8 @@
 """Operators for large training corpora. QUERIES and ORACLE_SQL hold their queries; nothing outside imports this package
 but the entry module, which can do without it."""
 
-from . import decontam, licenses, lines, mixing, quality, tokens, topk
+from . import decontam, licenses, lines, mixing, quality, secrets, tokens, topk
 
-_MODULES = (decontam, licenses, lines, mixing, quality, tokens, topk)
+_MODULES = (decontam, licenses, lines, mixing, quality, secrets, tokens, topk)
 QUERIES = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
 ORACLE_SQL = {k: q for m in _MODULES for k, q in getattr(m, "ORACLE", {}).items()}
