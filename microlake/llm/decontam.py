@@ -137,8 +137,8 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, with all their columns, that hold no window of any item."""
     keyed = with_key(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    bad = contamination(docs, items).filter("contaminated").select("_id", "_dk").distinct()
-    return keyed.join(bad, ["_id", "_dk"], "left_anti").select("row.*")
+    bad = stored(contamination(docs, items).filter("contaminated").select("_id", "_dk").distinct(), "contaminated")
+    return keyed.join(small(bad, BROADCAST_ROWS), ["_id", "_dk"], "left_anti").select("row.*")
 
 
 _SPLIT = "list_filter(string_split_regex(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
