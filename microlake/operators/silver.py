@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,20 +31,26 @@ def bronze(raw: DataFrame, year: Column | int, month: Column | int | None = None
     return add_lineage(clean_text_columns(raw), year, month, part, file, path)
 
 
-def small(dictionary: DataFrame) -> DataFrame:
-    """Marked for broadcast, if it is small enough; else joined by a shuffle."""
-    return F.broadcast(dictionary) if dictionary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dictionary
+def sized(dictionaries: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The dictionaries, marked for broadcast where they have at most BROADCAST_ROWS rows; larger ones are left to be
+    joined by a shuffle. All are counted in one job."""
+    parts = [d.limit(BROADCAST_ROWS + 1).select(F.lit(c).alias("c")) for c, d in dictionaries.items()]
+    if not parts:
+        return {}
+    counts = reduce(lambda a, b: a.union(b), parts).groupBy("c").count()
+    rows = {r["c"]: r["count"] for r in counts.collect()}  # a row for each dictionary
+    return {c: F.broadcast(d) if rows.get(c, 0) <= BROADCAST_ROWS else d for c, d in dictionaries.items()}
 
 
 def translate(fact: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
-    """Adds <column>_descricao after each column that has a dictionary (codigo_norm, descricao; one row for each key). Rows
-    and codes stay as they are."""
+    """Adds <column>_descricao after each column that has a dictionary (codigo_norm, descricao; one row for each key; see
+    sized). Rows and codes stay as they are."""
     out, names = fact, []
     for c in fact.columns:
         names.append(F.col(f"`{c}`"))
         if c in dictionaries:
             d = dictionaries[c].select(F.col("codigo_norm").alias("_key"), F.col("descricao").alias(f"{c}_descricao"))
-            out = out.join(small(d), canonical_key(F.col(f"`{c}`")) == F.col("_key"), "left").drop("_key")
+            out = out.join(d, canonical_key(F.col(f"`{c}`")) == F.col("_key"), "left").drop("_key")
             names.append(F.col(f"{c}_descricao"))
     return out.select(*names)
 

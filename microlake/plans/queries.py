@@ -37,10 +37,11 @@ def query(name: str, oracle: str | None = None):
 # --- the tables in Spark ---
 
 
-def sql(spark: SparkSession, d: str, text: str) -> DataFrame:
-    """Runs SQL over the tables of a folder."""
-    named = {t: spark.read.parquet(f"{d}/{t}.parquet") for t in TABLES if f" {t}" in text}
-    for t, df in named.items():
+def sql(spark: SparkSession, d: str, text: str, read: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Runs SQL over the tables of a folder. read: tables that were opened before, to which more are added."""
+    read = {} if read is None else read
+    named = {t: read.get(t) or read.setdefault(t, spark.read.parquet(f"{d}/{t}.parquet")) for t in TABLES if f" {t}" in text}
+    for t in named:
         text = text.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
     return spark.sql(text, **named)
 
@@ -61,10 +62,15 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return L.classify_files(inventory(spark, d), folder_year=F.col("ano_pasta"))
 
 
-def dictionary(spark: SparkSession, d: str, column: str) -> DataFrame:
+def dictionary(spark: SparkSession, d: str, column: str, read: dict[str, DataFrame] | None = None) -> DataFrame:
     style, text = T.SHEETS[column]
     made = {"colon": D.colon, "2col": D.two_columns, "titulo_codigo": D.title_code}[style]
-    return D.unique_key(made(sql(spark, d, text)))
+    return D.unique_key(made(sql(spark, d, text, read)))
+
+
+def dictionaries(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    read: dict[str, DataFrame] = {}
+    return S.sized({c: dictionary(spark, d, c, read) for c in T.SHEETS})
 
 
 _OLD_NAMES = {
@@ -73,20 +79,16 @@ _OLD_NAMES = {
 }
 
 
-def new_silver(spark: SparkSession, d: str, text: DataFrame | None = None, full: bool = False) -> DataFrame:
-    text = mov(spark, d) if text is None else text
-    made = S.build_silver("caged_mov", text, {c: dictionary(spark, d, c) for c in T.SHEETS}, full)
-    return made.withColumn("secao_descricao", X.section_of("subclasse"))
-
-
-def old_silver(spark: SparkSession, d: str, text: DataFrame) -> DataFrame:
-    renamed = text.withColumnsRenamed(_OLD_NAMES)
-    return S.build_silver("caged_old", renamed, {_OLD_NAMES.get(c, c): dictionary(spark, d, c) for c in T.SHEETS})
+def new_silver(spark: SparkSession, d: str, full: bool = False) -> DataFrame:
+    return S.build_silver("caged_mov", mov(spark, d), dictionaries(spark, d), full).withColumn("secao_descricao", X.section_of("subclasse"))
 
 
 def unified(spark: SparkSession, d: str) -> DataFrame:
-    text = mov(spark, d)
-    return G.unify(new_silver(spark, d, text.filter(F.col("ano_particao") >= OLD_BEFORE)), old_silver(spark, d, text.filter(F.col("ano_particao") < OLD_BEFORE)))
+    """The years before OLD_BEFORE in the old layout, the others in the new one."""
+    text, books = mov(spark, d), dictionaries(spark, d)
+    new = S.build_silver("caged_mov", text.filter(F.col("ano_particao") >= OLD_BEFORE), books).withColumn("secao_descricao", X.section_of("subclasse"))
+    renamed = text.filter(F.col("ano_particao") < OLD_BEFORE).withColumnsRenamed(_OLD_NAMES)
+    return G.unify(new, S.build_silver("caged_old", renamed, {_OLD_NAMES.get(c, c): b for c, b in books.items()}))
 
 
 # --- the same in the oracle's SQL ---
@@ -190,7 +192,7 @@ _padded = lambda: F.concat(F.lit("  "), F.col("uf"), F.lit(" "))
 _columns("p1_clean_text", "nullif(trim('  ' || uf || chr(160)), '') AS uf, nullif(trim(CASE WHEN sexo = '9' THEN '   ' ELSE sexo END), '') AS sexo", uf=lambda: X.clean_text(_padded()), sexo=lambda: X.clean_text(F.when(F.col("sexo") == "9", "   ").otherwise(F.col("sexo"))))
 _columns("p5_decimal_comma", f"{_NUMBER('salario', 'DOUBLE')} AS salario, CAST({_NUMBER('idade', 'SMALLINT')} AS INT) AS idade, CAST({_NUMBER('saldomovimentacao', 'TINYINT')} AS INT) AS saldo, CAST({_NUMBER('salario', 'SMALLINT')} AS INT) AS inteiro",
          salario=lambda: X.decimal_comma("salario", "double"), idade=lambda: X.decimal_comma("idade", "smallint").cast("int"), saldo=lambda: X.decimal_comma("saldomovimentacao", "tinyint").cast("int"), inteiro=lambda: X.decimal_comma("salario", "smallint").cast("int"))
-_columns("p6_yyyymm", "CAST(try_strptime(trim(competenciamov), '%Y%m') AS DATE) AS competencia, CAST(try_strptime(trim(municipio), '%Y%m') AS DATE) AS nada", competencia=lambda: X.yyyymm("competenciamov"), nada=lambda: X.yyyymm("municipio"))
+_columns("p6_yyyymm", "CAST(try_strptime(trim(competenciamov), '%Y%m') AS DATE) AS competencia, CAST(try_strptime(substr(competenciamov, 1, 4) || '13', '%Y%m') AS DATE) AS nada", competencia=lambda: X.yyyymm("competenciamov"), nada=lambda: X.yyyymm(F.concat(F.substring("competenciamov", 1, 4), F.lit("13"))))
 _columns("p9_section_of_cnae", f"{_section('subclasse')} AS secao", secao=lambda: X.section_of("subclasse"))
 _columns("p10_area_of_cbo", f"{_area('cbo2002ocupacao')} AS area", area=lambda: X.area_of("cbo2002ocupacao"))
 _columns("f1_is_tech_sector", f"{_SECTOR} AS setor_ti", setor_ti=lambda: X.is_tech_sector("subclasse"))
@@ -296,7 +298,7 @@ def _(s, d):
 
 @query("j1_translate_codes", f"{SILVER} SELECT l_orderkey, l_linenumber, uf, uf_descricao, municipio_descricao, sexo, sexo_descricao, racacor_descricao, graudeinstrucao_descricao, cbo2002ocupacao_descricao FROM every")
 def _(s, d):
-    out = S.translate(mov(s, d), {c: dictionary(s, d, c) for c in T.SHEETS})
+    out = S.translate(mov(s, d), dictionaries(s, d))
     return out.select("l_orderkey", "l_linenumber", "uf", "uf_descricao", "municipio_descricao", "sexo", "sexo_descricao", "racacor_descricao", "graudeinstrucao_descricao", "cbo2002ocupacao_descricao")
 
 
