@@ -195,7 +195,8 @@ class Scanner:
         return [(a, b, self.rules[i]) for a, b, i in sorted(kept)]
 
     def scan(self, text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
-        lower = (text or "").translate(_LOWER) if not (text or "").isascii() else text.lower()
+        text = text or ""
+        lower = text.lower() if text.isascii() else text.translate(_LOWER)
         n_words = len(WORD.findall(lower))
         starts: list[int] = []
         base = set()
