@@ -14,6 +14,9 @@ from .. import constants as C
 
 _RANGES = {"tinyint": (-128, 127), "smallint": (-(2**15), 2**15 - 1), "int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
 
+#: The space separators of Unicode.
+SPACES = "".join(chr(i) for i in range(0x3001) if unicodedata.category(chr(i)) == "Zs")
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -21,7 +24,7 @@ def _col(c: Column | str) -> Column:
 
 def trimmed(c: Column | str) -> Column:
     """Without spaces at the ends, those of Unicode included (but no tabs or line ends)."""
-    return F.regexp_replace(F.regexp_replace(_col(c), r"^\p{Zs}+", ""), r"\p{Zs}+$", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def clean_text(c: Column | str) -> Column:

@@ -40,7 +40,7 @@ SHEETS = {
     "municipio": ("colon", "SELECT CONCAT(CAST(s_suppkey AS VARCHAR(10)), ':', s_name) AS col_00 FROM supplier"),
     "sexo": ("titulo_codigo", "SELECT DISTINCT CASE l_linenumber % 3 WHEN 0 THEN 'Homem' ELSE 'Mulher' END AS col_00, CASE l_linenumber % 3 WHEN 0 THEN '1' ELSE '3' END AS col_01 FROM lineitem WHERE l_linenumber % 3 < 2 UNION ALL SELECT 'Sexo', NULL UNION ALL SELECT 'x', 'Valor na Fonte'"),
     "racacor": ("2col", "SELECT CAST(p_partkey % 6 + 1 AS VARCHAR(5)) AS col_00, p_brand AS col_01 FROM part"),
-    "graudeinstrucao": ("2col", "SELECT CAST(p_partkey % 11 + 1 AS VARCHAR(5)) AS col_00, p_type AS col_01 FROM part WHERE p_partkey % 11 < 10"),
+    "graudeinstrucao": ("2col", "SELECT CAST(p_partkey % 11 + 1 AS VARCHAR(5)) AS col_00, CONCAT(p_type, ' ', CAST(p_partkey % 11 AS VARCHAR(5))) AS col_01 FROM part WHERE p_partkey % 11 < 10"),
     "cbo2002ocupacao": ("2col", "SELECT CASE p_partkey % 7 WHEN 0 THEN '212405' WHEN 1 THEN '317110' WHEN 2 THEN '317210' WHEN 3 THEN '212305' WHEN 4 THEN '313220' WHEN 5 THEN '521110' ELSE '411010' END AS col_00, p_name AS col_01 FROM part"),
 }
 SPARK_MONTH, DUCK_MONTH = "date_format(l_shipdate, 'yyyyMM')", "strftime(l_shipdate, '%Y%m')"

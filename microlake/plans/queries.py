@@ -355,7 +355,7 @@ _re("a7_occupation_reagg", "l_ocupacao_longa", "ocupacao", _sliced("ocupacao_lon
 
 query("a8_share_outside", f"SELECT CAST(sum(CASE WHEN contains(categoria, 'fora') THEN admissoes ELSE 0 END) AS BIGINT) AS fora, CAST(sum(admissoes) AS BIGINT) AS total, sum(CASE WHEN contains(categoria, 'fora') THEN admissoes ELSE 0 END) * 100.0::DOUBLE / sum(admissoes) AS fora_pct FROM {_level('q_lentes')} WHERE starts_with(categoria, 'Profissional de TI')")(lambda s, d: A.share_outside(_lenses(s, d)))
 query("a9_women_share_and_gap", f"WITH a AS (SELECT sexo, {_RE} FROM {_level('l_demografia_longa')} WHERE sexo IS NOT NULL GROUP BY 1) SELECT (SELECT admissoes FROM a WHERE contains(sexo, 'Mulher')) * 100.0::DOUBLE / (SELECT sum(admissoes) FROM a) AS participacao_pct, (1 - (SELECT salario_medio FROM a WHERE contains(sexo, 'Mulher')) / (SELECT salario_medio FROM a WHERE contains(sexo, 'Homem'))) * 100 AS diferenca_pct")(lambda s, d: A.women_share_and_gap(_long("demografia_longa")(s, d)))
-query("a10_schooling_ratio", f"WITH a AS (SELECT escolaridade, {_exact('salario_medio')} AS m FROM {_level('l_demografia_longa')} WHERE escolaridade IS NOT NULL GROUP BY 1) SELECT (SELECT escolaridade FROM a ORDER BY m DESC, escolaridade DESC LIMIT 1) AS topo, (SELECT escolaridade FROM a ORDER BY m, escolaridade LIMIT 1) AS base, max(m) / min(m) AS razao FROM a")(lambda s, d: A.schooling_ratio(_long("demografia_longa")(s, d)))
+query("a10_schooling_ratio", f"WITH a AS (SELECT escolaridade, {_exact('salario_medio')} AS m FROM {_level('l_demografia_longa')} WHERE escolaridade IS NOT NULL GROUP BY 1) SELECT (SELECT escolaridade FROM a ORDER BY m DESC, escolaridade DESC LIMIT 1) AS topo, (SELECT escolaridade FROM a ORDER BY m, escolaridade LIMIT 1) AS base, max(m) / min(m) AS razao FROM a HAVING count(*) > 1")(lambda s, d: A.schooling_ratio(_long("demografia_longa")(s, d)))
 
 _ANNUAL = f"(SELECT ano, {_RE} FROM {_level('l_serie_longa_anual')} WHERE ano IS NOT NULL GROUP BY 1)"
 _annual = lambda s, d: A.reaggregate(_long("serie_longa_anual")(s, d), "ano")
