@@ -84,7 +84,7 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     order = ["at", "place", "lap_no", "_id", "_dk"]
     run = entries.join(F.broadcast(edge), "slot").withColumn("sum", F.col("base") + F.sum("size").over(W.partitionBy("slot").orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)))
     beyond = run.filter(F.col("sum") > F.col("budget")).agg(F.min(F.struct(*order)).alias("cut"))
-    taken = lambda i: F.coalesce(F.col("cut").isNull() | (F.struct((F.col("finish") + F.col("lap") * i).alias("at"), F.col("place"), F.lit(i).alias("lap_no"), F.col("_id"), F.col("_dk")) < F.col("cut")), F.lit(False)) & F.col("finish").isNotNull()
+    taken = lambda i: F.coalesce(F.col("cut").isNull() | (F.struct((F.col("finish") + F.col("lap") * i).alias("at"), F.col("place"), F.lit(i).alias("lap_no"), F.col("_id"), F.col("_dk")) < F.col("cut")), F.lit(False)) & F.col("finish").isNotNull() & (F.col("size") > 0)
     passes = sum((taken(i).cast("int") for i in range(PASSES)), F.lit(0))
     return queued.crossJoin(F.broadcast(stored(beyond, "cut"))).select("_id", "_dk", doc_id(), "source", "size", "source_size", "target", passes.alias("passes"), "finish", "lap")
 
