@@ -153,8 +153,8 @@ def progress(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """Found against expected files, both (tabela, n), with the percentage; null where nothing is expected."""
     both = counts.withColumnRenamed("n", "achados").join(expected.withColumnRenamed("n", "esperados"), "tabela", "full_outer")
     both = both.withColumn("achados", F.coalesce("achados", F.lit(0)))
-    share = F.least(F.lit(100), F.bround(F.try_divide(F.col("achados") * 100, F.nullif(F.col("esperados"), F.lit(0)))).cast("int"))
-    return both.withColumn("pct", share)
+    share = F.least(F.lit(100), F.bround(F.try_divide(F.col("achados") * 100, F.col("esperados"))).cast("int"))
+    return both.withColumn("pct", F.when(F.col("esperados") != 0, share))
 
 
 def percent_of(part: Column, whole: Column, places: int = 2) -> Column:

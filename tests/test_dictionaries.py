@@ -14,7 +14,7 @@ def test_styles(spark):
     two = spark.createDataFrame([("Código", "Descrição"), ("1", " a "), ("1", "a"), (None, "x"), ("2", None)], "col_00 string, col_01 string")
     assert pairs(D.two_columns(two)) == [("1", "a")]
     lists = spark.createDataFrame([("Lista",), ("110001:Ro:x",), (":y",), (None,)], "col_00 string")
-    assert pairs(D.colon(lists)) == [("110001", "Ro:x")]
+    assert pairs(D.colon(lists)) == [("", "y"), ("110001", "Ro:x")]
     title = spark.createDataFrame([("título", None), ("ANALFABETO", "1"), ("Descrição", "Valor na Fonte")], "col_00 string, col_01 string")
     assert pairs(D.title_code(title)) == [("1", "ANALFABETO")]
 

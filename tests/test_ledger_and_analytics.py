@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from microlake.operators import analytics as A
@@ -55,7 +56,7 @@ def test_history_arc(spark):
     a = A.history_arc(annual(spark, rows)).first()
     assert (a["melhor_ano"], a["melhor_saldo"], a["anos_negativos"], a["saldo_negativo"]) == (2020, 30, [2019], -4)
     assert (a["ano_queda"], a["queda_valor"], a["queda_de"], a["salario_inicio"], a["salario_fim"]) == (2022, -25, 30, 1000.0, 2000.0)
-    assert tuple(A.arc_ratios(A.history_arc(annual(spark, rows))).first())[2:] == (25 / 30 * 100, 2.0)
+    assert tuple(A.arc_ratios(A.history_arc(annual(spark, rows))).first())[2:] == (pytest.approx(25 / 30 * 100), 2.0)
     one = A.history_arc(annual(spark, rows[:1])).first()
     assert one["melhor_ano"] == 2018 and one["ano_queda"] is None
     assert A.history_arc(annual(spark, []).limit(0)).count() == 0
