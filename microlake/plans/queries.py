@@ -525,8 +525,10 @@ def _(s, d):
 @query("k5_k6_write_aggregates", f"SELECT ano, setor, saldo FROM {_level('q_setor')}")
 def _(s, d):
     out = sinks.work_dir(s, "setor")
-    sinks.write_small(G.published(new_silver(s, d), "setor"), out)
-    return files.first_available(s, [out + "-missing", out]).select("ano", "setor", "saldo")
+    made = G.published(new_silver(s, d), "setor")
+    sinks.write_small(made, out)
+    sinks.write_small(s.createDataFrame([], made.schema), out + "-empty")
+    return files.first_available(s, [out + "-empty", out]).select("ano", "setor", "saldo")
 
 
 @query("k9_append_ledger", f"SELECT tabela, count(*) AS n FROM ({T.LEDGER}) GROUP BY 1")
