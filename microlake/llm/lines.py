@@ -151,7 +151,7 @@ def repeated(refs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
 def build_filters(keys: DataFrame, shards: int) -> DataFrame:
     """(shard, n, filter) over (h1, h2) keys. A shard is a range of hashes with about KEYS_A_SHARD keys."""
 
-    def one(k, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         f = CuckooFilter.sized(len(pdf))
         for a, b in zip(pdf["h1"], pdf["h2"], strict=True):
             f.insert(a, b)
@@ -164,7 +164,7 @@ def update_filters(filters: DataFrame, added: DataFrame, removed: DataFrame, sha
     """The filters after single keys came (added: h1, h2) and went (removed)."""
     parts = [x.select(shard_of(F.col("h1"), shards).alias("shard"), "h1", "h2", F.lit(s).alias("sign")) for x, s in ((added, 1), (removed, -1))]
 
-    def one(k, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+    def one(k: tuple, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         f = CuckooFilter.load(old["filter"].iloc[0]) if len(old) else CuckooFilter.sized(2 * len(new))
         n = int(old["n"].sum())
         for a, b, s in zip(new["h1"], new["h2"], new["sign"], strict=True):

@@ -132,7 +132,7 @@ def _ints(raw: bytes, *dims: int) -> np.ndarray:
 def build_shards(rows: DataFrame, shards: int) -> DataFrame:
     """(dim, shard, ids, rows): the vectors of a shard, in the order of its tree's leaves."""
 
-    def one(k, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         matrix = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), k[0])
         return pd.DataFrame({"dim": [k[0]], "shard": [k[1]], "ids": [_pack(pdf["vec_id"].to_numpy())], "rows": [_pack(matrix)]})
@@ -143,7 +143,7 @@ def build_shards(rows: DataFrame, shards: int) -> DataFrame:
 def build_blocks(queries: DataFrame, blocks: int) -> DataFrame:
     """(dim, block, q_ids, q_rows)"""
 
-    def one(k, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         matrix = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), k[0])
         return pd.DataFrame({"dim": [k[0]], "block": [k[1]], "q_ids": [_pack(pdf["vec_id"].to_numpy())], "q_rows": [_pack(matrix)]})
 
