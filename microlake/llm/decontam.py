@@ -42,9 +42,9 @@ class Phrases:
     """The distinct windows of the test items, numbered, with the items that hold them and the terms they need."""
 
     def __init__(self, items: DataFrame, width: int = WINDOW):
-        held = item_windows(items, width)
-        self.windows = stored(held.groupBy("terms").agg(F.collect_set("item_id").alias("items")).withColumn("win", F.monotonically_increasing_id()), "windows")
-        self.items = self.windows.select("win", F.explode("items").alias("item_id"))
+        held = stored(item_windows(items, width), "item-windows")
+        self.windows = stored(held.select("terms").distinct().withColumn("win", F.monotonically_increasing_id()), "windows")
+        self.items = stored(held.join(self.windows, "terms").select("win", "item_id"), "items")
         vocab = self.windows.select(F.explode("terms").alias("term")).distinct().withColumn("term_id", F.monotonically_increasing_id() + 1)
         end = items.sparkSession.range(1).select(F.lit(END).alias("term"), F.lit(0).cast("long").alias("term_id"))
         self.vocab = stored(vocab.unionByName(end), "vocab")
