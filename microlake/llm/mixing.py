@@ -24,6 +24,8 @@ SHARE = 1.5
 PASSES = 2
 #: Documents for which a range of hashes is made; a source's share of one range is summed in one task.
 ROWS_A_RANGE = 20_000
+#: Ranges at least, so that a source with many documents is spread at any size.
+LEAST_RANGES = 128
 #: Ranges of virtual finish time, of which the one with the cut is summed row by row.
 TIME_RANGES = 4096
 
@@ -59,7 +61,7 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     finish (virtual finish time on the first pass)."""
     digest = F.md5(F.coalesce(F.when(F.col("_id") != NO_ID, F.col("_id")).cast("string"), F.lit("")).cast("binary"))
     sized = stored(with_key(docs, F.col("source").cast("string").alias("source")).select("_id", "_dk", "source", word_count(F.col("text")).alias("size"), digest.alias("place")), "sizes")
-    ranges = sized.count() // ROWS_A_RANGE + 16
+    ranges = sized.count() // ROWS_A_RANGE + LEAST_RANGES
     sized = sized.withColumn("range", F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * ranges / 2**32).withColumn("range", F.floor("range"))
     share = stored(targets(sized), "targets")
     # words of the source before each hash range, then inside the range
