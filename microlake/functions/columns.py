@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 
-_RANGES = {"tinyint": (-128, 127), "smallint": (-(2**15), 2**15 - 1), "int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 #: The space separators of Unicode.
 SPACES = "".join(chr(i) for i in range(0x3001) if unicodedata.category(chr(i)) == "Zs")
@@ -24,7 +24,8 @@ def _col(c: Column | str) -> Column:
 
 def trimmed(c: Column | str) -> Column:
     """Without spaces at the ends, those of Unicode included (but no tabs or line ends)."""
-    return F.btrim(_col(c), F.lit(SPACES))
+    text = _col(c)  # pure ASCII has one of them, for which there is a faster call
+    return F.when(F.length(text) == F.octet_length(text), F.trim(text)).otherwise(F.btrim(text, F.lit(SPACES)))
 
 
 def clean_text(c: Column | str) -> Column:
@@ -39,26 +40,20 @@ def clean_text_columns(df: DataFrame) -> DataFrame:
 
 def decimal_comma(c: Column | str, to: str) -> Column:
     """A number with a decimal comma as the type to; what isn't one is null. Integers round half away from zero, and are
-    null out of range."""
-    text = F.replace(trimmed(c), F.lit(","), F.lit("."))
-    text = F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text)
-    if to not in _RANGES:
-        return text.try_cast(to)
-    low, high = _RANGES[to]
-    whole = F.round(text.try_cast("decimal(38,9)"), 0)
-    return F.when(whole.between(low, high), whole).cast(to)
+    null out of range. One chain of calls, so that nothing is computed twice."""
+    text = F.regexp_extract(F.replace(trimmed(c), F.lit(","), F.lit(".")), r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$", 0)
+    return F.round(text.try_cast("decimal(38,9)"), 0).try_cast(to) if to in _INTEGERS else text.try_cast(to)
 
 
 def yyyymm(c: Column | str) -> Column:
     """First day of a month written YYYYMM; null where that isn't one."""
-    text = trimmed(c)
-    return F.try_to_date(F.when(text.rlike(r"^\d{6}$"), text), "yyyyMM")
+    return F.try_to_date(F.regexp_extract(trimmed(c), r"^\d{6}$", 0), "yyyyMM")
 
 
 def canonical_key(c: Column | str) -> Column:
     """Codes for joins: whole numbers without leading zeros, other text trimmed."""
     text = trimmed(c)
-    return F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("bigint").cast("string"), text)
+    return F.coalesce(text.try_cast("bigint").cast("string"), text)
 
 
 def digits(c: Column | str, width: int) -> Column:
@@ -66,25 +61,25 @@ def digits(c: Column | str, width: int) -> Column:
     return F.lpad(F.regexp_replace(_col(c), "[^0-9]", ""), width, "0")
 
 
+_SECTION_OF_DIVISION = [next((n for low, high, n in C.SECTIONS if low <= d <= high), None) for d in range(100)]
+
+
 def section_of(c: Column | str) -> Column:
-    """Name of the section that an activity code's division lies in; null in the gaps between them."""
-    division = F.substring(digits(c, 7), 1, 2).cast("int")
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for low, high, name in C.SECTIONS:
-        out = out.when(division.between(low, high), F.lit(name))
-    return out
+    """Name of the section that an activity code's division lies in; null in the gaps between them. The names stand in an
+    array by division, so the code is parsed once."""
+    names = F.array(*[F.lit(n).cast("string") for n in _SECTION_OF_DIVISION])
+    return F.get(names, F.substring(digits(c, 7), 1, 2).cast("int"))
+
+
+def _map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
 def area_of(c: Column | str) -> Column:
     """Area of technology work of an occupation code; single occupations come before their family."""
     code = digits(c, 6)
-    family = F.substring(code, 1, 4)
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for single, area in C.AREA_OCCUPATIONS.items():
-        out = out.when(code == single, F.lit(area))
-    for area, families in C.AREA_FAMILIES.items():
-        out = out.when(family.isin(*families), F.lit(area))
-    return out.otherwise(F.lit(C.AREA_OTHER))
+    families = {f: area for area, some in C.AREA_FAMILIES.items() for f in some}
+    return F.coalesce(F.try_element_at(_map(C.AREA_OCCUPATIONS), code), F.try_element_at(_map(families), F.substring(code, 1, 4)), F.lit(C.AREA_OTHER))
 
 
 def is_tech_sector(c: Column | str) -> Column:

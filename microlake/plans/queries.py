@@ -47,7 +47,8 @@ def sql(spark: SparkSession, d: str, text: str, read: dict[str, DataFrame] | Non
 
 
 def mov(spark: SparkSession, d: str) -> DataFrame:
-    return sql(spark, d, T.MOV.format(ym=T.SPARK_MONTH))
+    facts = files.spread(spark.read.parquet(f"{d}/lineitem.parquet"), "l_orderkey")
+    return sql(spark, d, T.MOV.format(ym=T.SPARK_MONTH), {"lineitem": facts})
 
 
 def ledger(spark: SparkSession, d: str) -> DataFrame:
