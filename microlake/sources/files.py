@@ -18,13 +18,16 @@ def delimiter_of(line: Column) -> Column:
 
 
 def file_profiles(spark: SparkSession, root: str) -> DataFrame:
-    """(path, encoding, delimiter, header) of text files. A file is UTF-8 if it has bytes beyond ASCII and is valid
-    UTF-8, else Latin-1."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content")
-    beyond = F.octet_length(F.decode("content", "ISO-8859-1").cast("binary")) > F.octet_length("content")
-    encoding = F.when(beyond & F.is_valid_utf8(F.col("content")), "UTF-8").otherwise("ISO-8859-1")
-    text = F.when(encoding == "UTF-8", F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
-    header = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
+    """(path, encoding, delimiter, header) of text files of any size. A file is UTF-8 if it has bytes beyond ASCII and is
+    valid UTF-8, else Latin-1. Lines are read as bytes, in splits, and each file's are summed up where they are read."""
+    lines = spark.read.option("recursiveFileLookup", True).text(root)
+    raw = F.col("value").cast("binary")
+    beyond = F.octet_length(F.decode(raw, "ISO-8859-1").cast("binary")) > F.octet_length(raw)
+    head = F.when(F.col("_metadata.file_block_start") == 0, raw)  # of the first split, the first line
+    tested = lines.select(F.col("_metadata.file_path").alias("path"), beyond.alias("beyond"), F.is_valid_utf8("value").alias("valid"), head.alias("head"))
+    files = tested.groupBy("path").agg(F.max("beyond").alias("beyond"), F.min("valid").alias("valid"), F.first("head", ignorenulls=True).alias("head"))
+    encoding = F.when(F.col("beyond") & F.col("valid"), "UTF-8").otherwise("ISO-8859-1")
+    header = F.when(encoding == "UTF-8", F.decode("head", "UTF-8")).otherwise(F.decode("head", "ISO-8859-1"))
     return files.select("path", encoding.alias("encoding"), header.alias("header")).withColumn("delimiter", delimiter_of(F.col("header")))
 
 
