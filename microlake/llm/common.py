@@ -36,6 +36,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long, so batches for Python of Spark's 10,000 rows take much memory in each task, in the JVM and in Python:
+    sets the session to shorter ones, unless it has a size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, rows)
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """df marked for broadcast if it has at most most_rows rows; else df, which Spark then joins by shuffling.
     Counts, so df should be a stored table or a cheap plan."""

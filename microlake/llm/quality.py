@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, stored, table
+from .common import held_out, short_batches, stored, table
 
 #: Labelled documents that the classifier is fitted on at most.
 SAMPLE = 4000
@@ -35,9 +35,9 @@ NEIGHBOURS = 15
 TERM_WEIGHT = 0.25
 POWER = 8
 THRESHOLD = 0.3
-BLOCK = 1024
+BLOCK = 128
 #: Bytes of a text that are turned into hashes at once; a word that crosses the border counts as two.
-PIECE = 1 << 20
+PIECE = 1 << 17
 _BYTES = [chr(i) for i in range(128)]
 #: For words: ASCII letters in lower case, bytes of other letters as they are, anything else 0.
 _LETTERS = bytes([ord(c.lower()) if c.isalpha() else 0 for c in _BYTES] + list(range(128, 256)))
@@ -160,6 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with all their columns and quality_score."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.project, model.vectors, model.labels))
 
     @F.pandas_udf("double")
