@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from microlake.llm import decontam, lines, mixing, quality, simhash
+from microlake.llm import decontam, lines, mixing, quality, shingles
 from microlake.llm.common import stored, table
 
 
@@ -29,8 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.deduplicate(docs)
+    """One document of each group of near-duplicates, of five-word shingles and similarity 0.8."""
+    return shingles.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,14 +187,18 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
     return fps.join(stored(grouped.join(lowest, "root").select("fp", "component"), "components"), "fp")
 
 
-def deduplicate(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component, with all columns: the one with the smallest id (of rows that share it, one)."""
-    found = near_duplicates(docs, distance, shingle)
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The document with the smallest id of each component in found (_id, _dk, component), with all columns."""
     stays = found.groupBy("component").agg(F.min(F.struct("_id", "_dk")).alias("k")).select("k.*")
     keyed = with_key(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).drop("text")
     return keyed.join(stays.hint("shuffle_hash"), ["_id", "_dk"]).dropDuplicates(["_id", "_dk"]).select("row.*")
 
 
+def deduplicate(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
+    """One document of each component, with all columns: the one with the smallest id (of rows that share it, one)."""
+    return one_of_each(docs, near_duplicates(docs, distance, shingle))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     component = F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id")
