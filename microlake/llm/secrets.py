@@ -8,15 +8,17 @@ original, in code points.
 
 Defined cases: null and empty texts hold nothing; rows that repeat get the same answer each; a null id is passed on; an
 empty table gives an empty result. Other columns are passed on by scan_secrets(). Texts are read whole; a layer that
-unpacks to more than EXPANDED bytes is read up to there, as a guard against archive bombs.
+unpacks to more than EXPANDED bytes is read to its end in pieces of about that size, each counted as a layer.
 """
 
 import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
+import urllib.parse
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -37,7 +39,14 @@ _HEX_RUN = re.compile(r"[0-9a-f]{32,}")
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{%d,}|[A-Za-z0-9_-]{%d,})={0,2}" % (LEAST_BASE64, LEAST_BASE64))
+#: Runs of either alphabet, on one line and going on over whole lines.
+_BASE64 = [re.compile(p.replace("A", a)) for a in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]") for p in (r"A{%d,}={0,2}" % LEAST_BASE64, r"(?<!A)A{%d,}+(?:[\x20\t]*+\r?\n[\x20\t]*+A++)++={0,2}" % LEAST_BASE64)]
+#: Compressed bytes, by how they start, written with URL or byte escapes and plain characters.
+_URL_PACKED = re.compile(r"(?i:%1f%8b|(?:x|%78)(?:%01|%5e|\^|%9c|%da)|BZh|%42%5a%68|%fd(?:7zXZ|%37%7a%58%5a)%00)(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
+_BYTE_PACKED = re.compile(r"(?i:\\x1f\\x8b|(?:x|\\x78)(?:\\x01|\\x5e|\^|\\x9c|\\xda)|BZh|\\x42\\x5a\\x68|\\xfd(?:7zXZ|\\x37\\x7a\\x58\\x5a)\\x00)(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv\\'\"]|[\x20-\[\]-~])*")
+_BYTE = re.compile(r"\\x([0-9A-Fa-f]{2})|\\([abfnrtv\\'\"])")
+_BYTE_NAMES = dict(zip("abfnrtv\\'\"", "\a\b\f\n\r\t\v\\'\"", strict=True))
+_IS_CUT = bytes(ord("c") if chr(i) in "\0,;()<>[]!?*#&@|~$^`" else ord(".") for i in range(256))
 #: Marks hex digits h, and other characters of base64 runs b, so that runs can be found by substring search.
 _IS_HEX = bytes(ord("h") if chr(i) in "0123456789abcdef" else ord(".") for i in range(256))
 _IS_BASE64 = bytes(ord("b") if i < 128 and (chr(i).isalnum() or chr(i) in "+/_-") else ord(".") for i in range(256))
@@ -70,28 +79,93 @@ def base_spans(text: str, raw: bytes) -> list[tuple[str, int, int]]:
     return out
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """What compressed data holds, told by its first bytes."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, EXPANDED)
-        if data[:1] == b"\x78" and data[1:2] in b"\x01\x5e\x9c\xda":
-            return zlib.decompressobj().decompress(data, EXPANDED)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, EXPANDED)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, EXPANDED)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
+def _decoder(head: bytes):
+    """A decompressor for data that starts so; None if it is not compressed."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and head[1:2] and head[1:2] in b"\x01\x5e\x9c\xda":
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
+def _inflated(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed data holds, all members of it, in pieces of at most EXPANDED bytes; up to the first fault in it."""
+    decoder = None
+    for piece in pieces:
+        while True:
+            decoder = decoder or _decoder(piece)
+            if decoder is None:
+                return
+            try:
+                out = decoder.decompress(piece, EXPANDED)
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                return
+            if out:
+                yield out
+            if decoder.eof:  # a further member may follow, in xz after zero bytes
+                piece, decoder = decoder.unused_data.lstrip(b"\0"), None
+                if len(piece) < 6:
+                    piece += b"".join(itertools.islice(pieces, 1))
+                    piece = piece.lstrip(b"\0")
+                if not piece:
+                    break
+            elif hasattr(decoder, "unconsumed_tail"):
+                piece = decoder.unconsumed_tail
+                if not piece and len(out) < EXPANDED:
+                    break
+            else:
+                piece = b""
+                if decoder.needs_input:
+                    break
+
+
+def _unpacked(data: bytes) -> Iterator[bytes] | None:
+    """Pieces of what compressed data holds, compression inside compression undone too; None if it is not compressed."""
+    pieces, inside = iter([data]), set()
+    first = data
+    while _decoder(first) is not None and (digest := hashlib.blake2b(first).digest()) not in inside:  # an archive may hold itself
+        inside.add(digest)
+        inner = _inflated(pieces)
+        head = b""
+        while len(head) < 6 and (more := next(inner, None)) is not None:
+            head += more
+        if not head:
+            return None if len(inside) == 1 else iter([first])
+        first, pieces = head, itertools.chain([head], inner)
+    return pieces if inside else None
+
+
+def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
+    """The pieces as texts of about EXPANDED bytes, parted only at characters that no secret and no code goes across."""
+    held = b""
+    for piece in pieces:
+        held += piece
+        if len(held) < EXPANDED:
+            continue
+        cut = held.translate(_IS_CUT).rfind(b"c") + 1
+        if cut:
+            yield held[:cut].decode("utf-8", "replace")
+            held = held[cut:]
+        else:
+            held = re.sub(rb"\x20{2,}", b" ", held)
+    if held:
+        yield held.decode("utf-8", "replace")
+
+
+def _packed_layers(data: bytes, start: int, end: int) -> Iterator["Layer"] | None:
+    pieces = _unpacked(data)
+    return None if pieces is None else (Layer(t, [start] * len(t), [end] * len(t)) for t in _texts(pieces))
+
+
 def _readable(data: bytes) -> str | None:
     try:
-        text = data.decode("utf-8")
+        return data.decode("utf-8") or None
     except UnicodeDecodeError:
         return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
 def _replaced(layer: Layer, matches: list[tuple[int, int, str, list[tuple[int, int]] | None]]) -> Layer:
@@ -138,24 +212,36 @@ def _unescaped_unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, found) if found else None
 
 
+def _escaped_packed(layer: Layer) -> Iterator[Layer]:
+    if "%" in layer.text:
+        for m in _URL_PACKED.finditer(layer.text):
+            yield from _packed_layers(urllib.parse.unquote_to_bytes(m[0]), *layer.span(m.start(), m.end())) or ()
+    if "\\x" in layer.text:
+        for m in _BYTE_PACKED.finditer(layer.text):
+            data = _BYTE.sub(lambda b: chr(int(b[1], 16)) if b[1] else _BYTE_NAMES[b[2]], m[0]).encode("latin-1")
+            yield from _packed_layers(data, *layer.span(m.start(), m.end())) or ()
+
+
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
+    done = set()
+    for m in itertools.chain.from_iterable(p.finditer(layer.text) for p in _BASE64):
+        if m.span() in done:
             continue
+        done.add(m.span())
+        wrapped = "\n" in m[0]
+        at = [m.start() + i for i, c in enumerate(m[0]) if c not in "\x20\t\r\n="] if wrapped else range(m.start(), m.end())
+        body = re.sub(r"[\x20\t\r\n]", "", m[0]).rstrip("=").replace("-", "+").replace("_", "/")
+        if len(body) % 4 == 1:
+            if not wrapped:
+                continue
+            body = body[:-1]  # a word of the next line was taken for a part
         try:
             data = base64.b64decode(body + "=" * (-len(body) % 4))
         except (binascii.Error, ValueError):
             continue
-        packed = _unpack(data)
-        if packed is not None:  # compression inside compression, too
-            inner = set()  # an archive may hold itself
-            while (more := _unpack(packed)) is not None and (digest := hashlib.blake2b(more).digest()) not in inner:
-                inner.add(digest)
-                packed = more
-            text = packed.decode("utf-8", "replace")
-            start, end = layer.span(m.start(), m.end())
-            yield Layer(text, [start] * len(text), [end] * len(text))
+        packed = _packed_layers(data, *layer.span(m.start(), m.end()))
+        if packed is not None:
+            yield from packed
             continue
         text = _readable(data)
         if text is None:
@@ -163,7 +249,7 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
         starts, ends, byte = [], [], 0
         for c in text:  # byte n comes from characters 4n/3 to 4(n+1)/3 of the run
             n = len(c.encode())
-            s, e = layer.span(m.start() + byte * 4 // 3, m.start() + min(len(body), -(-(byte + n) * 4 // 3)))
+            s, e = layer.span(at[byte * 4 // 3], at[min(len(body), -(-(byte + n) * 4 // 3)) - 1] + 1)
             starts.append(s)
             ends.append(e)
             byte += n
@@ -175,9 +261,12 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
     base = base_spans(text, raw)
-    spans, todo, seen, layers = set(base), [Layer(text, None, None)], set(), 0
-    while todo:
-        layer = todo.pop()
+    spans, todo, seen, layers = set(base), [iter([Layer(text, None, None)])], set(), 0
+    while todo:  # one layer at a time, so large archives are never held whole
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+            continue
         raw = raw if layer.starts is None else layer.text.encode("utf-8", "surrogatepass")
         if layer.starts is not None:
             key = (hashlib.blake2b(raw, digest_size=16).digest(), layer.starts[0] if layer.starts else 0, layer.ends[-1] if layer.ends else 0)
@@ -186,13 +275,14 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
             seen.add(key)
             layers += 1
             spans.update((kind, *layer.span(a, b)) for kind, a, b in base_spans(layer.text, raw))
+        found = []
         if "%" in layer.text:
-            todo.append(_unescaped_url(layer))
+            found.append(_unescaped_url(layer))
         if "\\" in layer.text:
-            todo.append(_unescaped_unicode(layer))
+            found.append(_unescaped_unicode(layer))
+        todo += [iter([x for x in found if x is not None]), _escaped_packed(layer)]
         if b"b" * LEAST_BASE64 in raw.translate(_IS_BASE64):
-            todo.extend(_base64_layers(layer))
-        todo = [x for x in todo if x is not None]
+            todo.append(_base64_layers(layer))
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     return sorted(base, key=order), sorted(spans, key=order), layers
 
