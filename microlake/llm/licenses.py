@@ -56,6 +56,9 @@ def _families() -> Iterator[Rule]:
             yield _rule(f"{short}-{dots}", 60, short, f"(?:gnu )?{short}(?:{{v}} ?| )?{v}{tail}(?: only)?")
             yield _rule(f"{short}-{dots}-or-later", 65, short, f"(?:gnu )?{short}(?:{{v}} ?| )?{v}{tail}(?:{or_later}| plus)")
             yield _rule(f"{short}-{dots}", 72, short, f"spdx license identifier {short} {v}{tail} only")
+            notice = f"{name} as published by the free software foundation(?: inc)?(?: either)?{{v}} ?{v}{tail}"
+            yield _rule(f"{short}-{dots}", 71, "gnu", f"{notice}(?: only)?(?: of the license)?(?: only)?")
+            yield _rule(f"{short}-{dots}-or-later", 76, "gnu", f"{notice}(?: of the license)?{or_later}")
         yield _rule(short, 40, "gnu", name)
         yield _rule(short, 30, short, f"(?:under|of) the (?:terms of the )?(?:gnu )?{short}")
     numbered = [
@@ -76,9 +79,13 @@ def _families() -> Iterator[Rule]:
             dots = v.replace(" ", ".")
             yield _rule(f"{short}-{dots}", 70, key, f"{name}{{v}} ?{v}")
             yield _rule(f"{short}-{dots}-or-later", 75, key, f"{name}{{v}} ?{v}{or_later}")
+            yield _rule(f"{short}-{dots}", 71, key, f"{name} either{{v}} ?{v}(?: of (?:the|this) license)?")
+            yield _rule(f"{short}-{dots}-or-later", 76, key, f"{name}(?: either)?{{v}} ?{v}(?: of (?:the|this) license)?{or_later}")
             if "-" not in short and len(short) > 2:
                 yield _rule(f"{short}-{dots}", 60, short, f"{short}(?:{{v}} ?| )?{v}")
         yield _rule(short, 40, key, name)
+    for v in ("1 1", "1 2"):
+        yield _rule(f"eupl-{v.replace(' ', '.')}-or-later", 76, "eupl", f"eupl version {v} (?:only )?or (?:[–—] )?as soon (?:as )?they will be approved by the european commission (?:[–—] )?subsequent versions of the eupl")
     terms = (("by", "attribution"), ("by sa", "attribution share ?alike"), ("by nd", "attribution no ?deriv(?:ative|ative work)s?"), ("by nc", "attribution non ?commercial"), ("by nc sa", "attribution non ?commercial share ?alike"), ("by nc nd", "attribution non ?commercial no ?deriv(?:ative|ative work)s?"))
     for short, name in terms:
         label = "cc-" + short.replace(" ", "-")
@@ -108,7 +115,7 @@ bsd-2-clause | 55 | redistribution | redistribution and use in source and binary
 bsd-3-clause | 58 | endorse | neither the name of .{1,80}? may be used to endorse or promote products
 bsd-4-clause | 58 | advertising | all advertising materials mentioning features or use of this software must display
 isc | 55 | isc | (?:the )?isc license
-isc | 55 | disclaims | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+isc | 55 | granted | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 zlib | 50 | zlib | (?:zlib|zlib libpng) license
 zlib | 55 | misrepresented | the origin of this software must not be misrepresented
 unlicense | 55 | unlicense | (?:the )?unlicense
@@ -119,7 +126,8 @@ cc0 | 55 | cc0 | cc0(?: 1 0)?(?: universal)?
 cc0 | 55 | cc | cc zero
 public-domain | 45 | domain | (?:released|placed|dedicated) (?:in|into|to) the public domain
 public-domain | 30 | domain | public domain
-python | 50 | python | (?:python software foundation|psf) license(?: agreement)?
+python | 50 | python | python software foundation license(?: agreement)?
+python | 50 | psf | psf license(?: agreement)?
 ruby | 50 | ruby | ruby license
 vim | 50 | vim | vim license
 postgresql | 50 | postgresql | postgresql license

@@ -1,4 +1,5 @@
 import random
+import re
 
 from microlake.llm import licenses as L
 
@@ -58,3 +59,48 @@ def test_odd_and_empty(odd, empty):
     out = L.scan_licenses(odd)
     assert out.columns == [*odd.columns, "license_scan"] and out.count() == odd.count()
     assert L.scan_licenses(empty).count() == 0
+
+
+def _match_of(parsed, rng):
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op in ("ANY", "NOT_LITERAL"):
+            out += "w"
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out += chr(value if str(kind) == "LITERAL" else value[0])
+        elif op.endswith("REPEAT"):
+            out += "".join(_match_of(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))))
+        elif op == "SUBPATTERN":
+            out += _match_of(arg[3], rng)
+        elif op == "BRANCH":
+            out += _match_of(rng.choice(arg[1]), rng)
+        else:
+            assert op == "ASSERT_NOT", op
+    return out
+
+
+def test_gate_passes_all_matches():
+    rules, rng = L.build_rules(), random.Random(4)
+    scanner = L.Scanner(rules)
+    for i, r in enumerate(rules):
+        for _ in range(6):
+            text = _match_of(re._parser.parse(r.pattern.pattern), rng)
+            assert r.pattern.search(text), (r.label, text)
+            assert i in {j for _, at in scanner.gate.iter(text) for j in at}, (r.label, text)
+
+
+def test_notices():
+    scanner = L.Scanner(L.build_rules())
+    label = lambda t: scanner.scan(t)[5].split(",")
+    fsf = "the GNU {} as published by the Free Software Foundation"
+    gpl, lgpl = fsf.format("General Public License"), fsf.format("Lesser General Public License")
+    assert label(f"{gpl}, either version 2 of the License, or (at your option) any later version.") == ["gpl", "gpl-2-or-later"]
+    assert label(f"{gpl}; version 2 of the License.") == ["gpl", "gpl-2"]
+    assert label(f"{lgpl}; either version 2.1 of the License, or (at your option) any later version.") == ["lgpl-2.1-or-later"]
+    assert label("the LaTeX Project Public License, either version 1.3 of this license or (at your option) any later version.") == ["lppl-1.3-or-later"]
+    assert label("Licensed under the EUPL, Version 1.2 or – as soon they will be approved by the European Commission - subsequent versions of the EUPL") == ["eupl-1.2-or-later"]
+    assert "mpl-2.0" in label("SPDX-License-Identifier: MPL-2.0") and label("licensed under EPL 2.0") == ["epl-2.0"]
