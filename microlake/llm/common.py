@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,10 @@ LOWER = UPPER.lower()
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Stands for a null id in join keys.
 NO_ID = -(2**63)
+ODD = 0x9E3779B97F4A7C15
+#: Bytes of a text that WordHashes turns into numbers at once.
+PIECE = 1 << 18
+_MASK = 2**64 - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; where that is unset (tests, one machine) a new temporary one."""
+    """The shared folder named by spark.checkpoint.dir; where that is unset on one machine (tests), a new temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
@@ -78,3 +85,78 @@ def doc_id() -> Column:
 def held_out(modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves the remainder; a null id is never held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def own_names(df: DataFrame, names: str) -> dict[str, str]:
+    """For each of the space-separated names, a column name that df does not have yet: the name itself, or one with _ behind it."""
+    held, out = {c.lower() for c in df.columns}, {}
+    for n in names.split():
+        out[n] = n
+        while out[n].lower() in held:
+            out[n] += "_"
+        held.add(out[n].lower())
+    return out
+
+
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, so that names beside it cannot clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+class WordHashes:
+    """64-bit hashes of the words of a text, by array operations on its bytes. Words are runs of the bytes for which is_word
+    (256 booleans) holds. Texts of any length, and words of any length, are hashed whole, PIECE bytes at a time."""
+
+    def __init__(self, is_word: np.ndarray):
+        self.is_word = is_word
+        self.values = np.where(is_word, np.arange(1, 257), 0).astype(np.uint64)
+        self.up, self.down = self._powers(ODD), self._powers(pow(ODD, -1, 1 << 64))
+
+    @staticmethod
+    def _powers(base: int) -> np.ndarray:
+        steps = np.full(PIECE, base, np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps)
+
+    def of(self, raw: bytes) -> np.ndarray:
+        out, begun, size = [], 0, 0  # sum and length of a word that the piece before did not end
+        for at in range(0, len(raw), PIECE):
+            b = np.frombuffer(raw, np.uint8, min(PIECE, len(raw) - at), at)
+            word = self.is_word.take(b)
+            starts = np.flatnonzero(word[1:] > word[:-1]) + 1
+            if word[0]:
+                starts = np.concatenate([[0], starts])
+            sums = np.add.reduceat(self.values.take(b) * self.up[: len(b)], starts) * self.down[starts] if len(starts) else np.zeros(0, np.uint64)
+            if size and not word[0]:
+                out.append(np.array([begun], np.uint64))
+                begun = size = 0
+            if size:
+                sums[0] = (begun + int(sums[0]) * pow(ODD, size, 1 << 64)) & _MASK
+            if word[-1]:
+                last = int(starts[-1])
+                size = (size if last == 0 else 0) + len(b) - last
+                begun, sums = int(sums[-1]), sums[:-1]
+            else:
+                begun = size = 0
+            out.append(sums)
+        if size:
+            out.append(np.array([begun], np.uint64))
+        return mixed(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads what differs in some bits of a hash over all of them."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def bytes_but(some: bytes) -> np.ndarray:
+    """For each byte, whether it is none of these."""
+    out = np.ones(256, bool)
+    out[list(some)] = False
+    return out
+
+
+#: Bytes of words that ASCII white space separates.
+NOT_SPACE = bytes_but(b" \t\n\x0b\x0c\r")

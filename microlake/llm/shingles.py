@@ -1,13 +1,16 @@
-"""Near-duplicates by the Jaccard similarity of their sets of five-word shingles.
+"""Near-duplicates of five-word shingles and similarity 0.8, by SimHash and multi-index hashing with wide fingerprints.
 
-Candidates come from MinHash: BANDS keys of ROWS minima each. A pair of similarity exactly LEAST shares no key with
-probability (1 - LEAST**ROWS) ** BANDS, about 1e-7, and more similar ones with less. A candidate is linked only when the
-shingle sets themselves, compared whole, have at least that similarity.
+Sets of similarity 0.8 differ in 15 of 100 bits of a fingerprint, so 64 bits and a few differing ones, as in simhash, cannot
+tell them from others. Here a fingerprint has 384 bits in 16 segments of 24. Each is entered in a table under every key of
+the upward ball around each segment (the segment itself, and with any one zero bit set), which takes half of a Hamming
+ball of radius one. Two segments that are equal or differ in one bit meet, and so do half of those that differ in two. A
+pair of similarity exactly 0.8 meets in some segment with probability 0.96, one of 0.85 with 0.99. What meets is compared by its first
+64 bits, then by its complete distance, and what is near enough by the shingle sets themselves, whole: only pairs whose
+Jaccard similarity is at least LEAST are linked.
 
-Texts with one shingle set are one class before that. Under each key all are first compared with the smallest; what these
-links join needs no further comparison. Then all pairs under a key that are still apart are compared, but for those whose
-sketches (one bit of each minimum) differ by more than five standard deviations over what similarity LEAST would give.
-So a large group of copies costs its size and not its square.
+Texts with one shingle set are one class before that. Under each segment, all classes are first compared with the smallest;
+what these links join needs no further comparison, so a large group of near copies costs its size and not its square. Then
+all that meet and are still apart are compared. Keys with very many members are split into pairs of blocks.
 
 Defined cases: null and empty texts have no shingles and are one class; texts of fewer words than a shingle have one, of
 all their words; a null id is smaller than all others; rows that repeat are alike; an empty table gives an empty result.
@@ -22,64 +25,95 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, with_key
-from .simhash import components, one_of_each
+from .common import NOT_SPACE, ODD, WordHashes, mixed, stored, with_key
+from .simhash import by_group, components, entries, group_starts, one_of_each
 
 SHINGLE = 5
 #: The least similarity, as a fraction of whole numbers.
 LEAST = (4, 5)
-BANDS, ROWS = 40, 5
-MINIMA = 512
-#: Differing bits of two sketches at similarity 0.8: 51 on average, with a standard deviation of 6.8.
-SKETCH_BITS = 90
+WORDS, SEGMENTS, SEGMENT_BITS = 6, 16, 24
+#: Most differing bits of the first 64, and of all 384. At similarity 0.8 they have means of 9.7 and 58.1 and standard
+#: deviations of 2.9 and 7.0; between unlike sets, 32 and 4, 192 and 10.
+NEAR_FIRST, NEAR_ALL = 20, 84
 #: Comparisons with one text that a task may get.
 SHARE = 256
 SEED = 42
+_STEPS = np.array([ODD * (i + 1) % 2**64 for i in range(WORDS)], np.uint64)
+_PLACES = np.array([pow(ODD, i + 1, 2**64) for i in range(SHINGLE)], np.uint64)
 
-_rng = np.random.default_rng(SEED)
-_A = _rng.integers(0, 2**64, MINIMA, np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 2**64, MINIMA, np.uint64)
 
+class Shingles:
+    """Sorted hashes of the distinct shingles of a text, with A-Z in lower case."""
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted hashes of the distinct shingles."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # on bytes, as in simhash
-    if not words:
-        return np.zeros(0, np.uint64)
-    runs = zip(*(words[i:] for i in range(SHINGLE)), strict=False) if len(words) >= SHINGLE else [words]
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(r), SEED) for r in runs], np.uint64))
+    def __init__(self):
+        self.words = WordHashes(NOT_SPACE)
 
+    def of(self, text: str | None) -> np.ndarray:
+        w = self.words.of(text.encode("utf-8", "surrogatepass").lower()) if text else np.zeros(0, np.uint64)
+        if not len(w):
+            return w
+        n = max(1, len(w) - SHINGLE + 1)
+        sums = np.zeros(n, np.uint64)
+        for i in range(min(SHINGLE, len(w))):
+            sums += w[i : i + n] * _PLACES[i]
+        return np.unique(mixed(sums))
 
-def minhash(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of the bands and the sketch of a set that is not empty."""
-    least = np.full(MINIMA, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        least = np.minimum(least, (_A[:, None] * hashes[None, at : at + 1024] + _B[:, None]).min(1))
-    bands = least[: BANDS * ROWS].reshape(BANDS, ROWS)
-    keys = np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64)
-    bits = np.packbits((least >> np.uint64(17) & np.uint64(1)).astype(bool), bitorder="little")
-    return keys.view(np.int64), bits.view(np.int64)
+
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """A bit is set if it is set in over half of the shingles' hashes, of which each gives WORDS words."""
+    set_in = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(hashes), 255):  # so many fit in a byte
+        wide = mixed(hashes[at : at + 255, None] + _STEPS[None, :])
+        set_in += np.add.reduce(np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(set_in * 2 > len(hashes), bitorder="little").view(np.int64)
 
 
 def prints(docs: DataFrame) -> DataFrame:
-    """(_id, _dk, fp, keys, sketch) for each document row; fp is a hash of the shingle set."""
+    """(_id, _dk, fp, size, bits) for each document row; fp is a hash of the shingle set, size its size."""
 
-    @F.pandas_udf("struct<fp:long,keys:array<long>,sketch:array<long>>")
+    @F.pandas_udf("struct<fp:long,size:long,bits:array<long>>")
     def made(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        none = np.zeros(0, np.int64)
+        shingles = Shingles()
         for texts in batches:
             rows = []
             for t in texts:
-                s = shingle_set(t)
-                fp = int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
-                rows.append((fp, *(minhash(s) if len(s) else (none, none))))
-            yield pd.DataFrame(rows, columns=["fp", "keys", "sketch"])
+                s = shingles.of(t)
+                rows.append((int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64)), len(s), fingerprint(s)))
+            yield pd.DataFrame(rows, columns=["fp", "size", "bits"])
 
     return with_key(docs).select("_id", "_dk", made("text").alias("p")).select("_id", "_dk", "p.*")
 
 
-def _apart(a: Column, b: Column) -> Column:
-    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(MINIMA // 64)), F.lit(0))
+def _segments() -> list[Column]:
+    """The segments as keys of one table, by the number of the segment and its bits."""
+    out = []
+    for i in range(SEGMENTS):
+        word, shift = divmod(i * SEGMENT_BITS, 64)
+        bits = F.shiftrightunsigned(F.col("bits")[word], shift)
+        if shift + SEGMENT_BITS > 64:
+            bits = bits.bitwiseOR(F.shiftleft(F.col("bits")[word + 1], 64 - shift))
+        out.append(bits.bitwiseAND((1 << SEGMENT_BITS) - 1).bitwiseOR(i << SEGMENT_BITS))
+    return out
+
+
+def _ball(key: Column) -> Column:
+    """A key, and those with one more bit of the segment set."""
+    ups = F.filter(F.array(*[F.lit(1 << b).cast("long") for b in range(SEGMENT_BITS)]), lambda b: key.bitwiseAND(b) == 0)
+    return F.concat(F.array(key), F.transform(ups, lambda b: key.bitwiseOR(b)))
+
+
+def _first_near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= NEAR_FIRST
+
+
+def near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of classes whose complete distance and sizes allow the similarity."""
+    side = lambda x, y: classes.select(F.col("fp").alias(x), F.struct("size", "bits").alias(y))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    apart = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(WORDS)), F.lit(0))
+    over, under = LEAST
+    sizes = F.least("x.size", "y.size") * under >= F.greatest("x.size", "y.size") * over
+    return both.filter(sizes & (apart <= NEAR_ALL)).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -87,8 +121,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 
     @F.pandas_udf("array<long>")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        shingles = Shingles()
         for texts in batches:
-            yield pd.Series([shingle_set(t).view(np.int64) for t in texts])
+            yield pd.Series([shingles.of(t).view(np.int64) for t in texts])
 
     asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
     keyed = with_key(docs).join(classes.join(asked, "fp").select("fp", "first.*"), ["_id", "_dk"]).dropDuplicates(["fp"])
@@ -104,31 +139,53 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return both.filter(F.col("common") * under >= (F.size("x") + F.size("y") - F.col("common")) * over).select("a", "b")
 
 
+def _apart(key: np.ndarray, slot: np.ndarray, root: np.ndarray, fp: np.ndarray, first: np.ndarray) -> pd.DataFrame:
+    """Pairs of one group, of different roots, whose first 64 bits are near; rows are sorted by key, slot, root."""
+    starts, sizes = group_starts(key, slot)
+    bits = first.view(np.uint64)
+    found = [np.zeros((0, 2), np.int64)]
+    # small groups: all of them at once, pair by pair of places
+    behind = np.repeat(starts + sizes, sizes) - np.arange(len(key)) - 1
+    at, step = np.flatnonzero((behind > 0) & (np.repeat(sizes, sizes) <= 64)), 1
+    while len(at):
+        hit = (root[at] != root[at + step]) & (np.bitwise_count(bits[at] ^ bits[at + step]) <= NEAR_FIRST)
+        found.append(np.stack([fp[at[hit]], fp[at[hit] + step]], 1))
+        step += 1
+        at = at[behind[at] >= step]
+    for start, size in zip(starts[sizes > 64], sizes[sizes > 64], strict=True):
+        end = start + size
+        for i in range(start, end):  # those of the same root are next to each other
+            other = i + 1 + np.searchsorted(root[i + 1 : end], root[i], "right")
+            if other >= end:
+                break
+            hit = other + np.flatnonzero(np.bitwise_count(bits[other:end] ^ bits[i]) <= NEAR_FIRST)
+            found.append(np.stack([np.full(len(hit), fp[i]), fp[hit]], 1))
+    pairs = np.concatenate(found)
+    return pd.DataFrame({"a": pairs.max(1, initial=-(2**63)), "b": pairs.min(1, initial=2**63 - 1)}).drop_duplicates()
+
+
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): edges between classes (fp, first, keys, sketch) whose components are those of all similar pairs."""
-    keys = classes.select(F.explode("keys").alias("key"), "fp")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("centre")).filter("n > 1").drop("n")
-    members = stored(keys.join(shared, "key"), "members")
-    sketches = classes.select("fp", "sketch")
-    star = members.filter("fp <> centre").select(F.col("fp").alias("a"), F.col("centre").alias("b")).distinct()
-    first = verified(stored(star, "star"), docs, classes)
-    first = stored(first, "links")
-
-    roots = components(first).withColumnRenamed("node", "fp")
-    rooted = members.join(roots, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    rest = stored(rooted.join(open_keys, "key").join(sketches, "fp"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.col("a.root") != F.col("b.root")) & (_apart(F.col("a.sketch"), F.col("b.sketch")) <= SKETCH_BITS)
+    """(a, b): edges between classes (fp, first, size, bits) whose components are those of all similar pairs found."""
+    some = classes.filter("size > 0")
+    first = F.col("bits")[0].alias("bits0")
+    held = some.select(F.explode(F.array(*_segments())).alias("key"), "fp", first)
+    centres = held.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("fp", "bits0")).alias("centre")).filter("n > 1").select("key", "centre")
+    star = held.join(centres, "key").filter((F.col("fp") != F.col("centre.fp")) & _first_near(F.col("bits0"), F.col("centre.bits0")))
+    star = stored(near_enough(star.select(F.col("fp").alias("a"), F.col("centre.fp").alias("b")).distinct(), some), "star")
+    linked = stored(verified(star, docs, classes), "links")
+
+    roots = components(linked).withColumnRenamed("node", "fp")
+    rooted = stored(some.join(roots, "fp", "left").select("fp", "bits", first, F.coalesce("root", "fp").alias("root")), "rooted")
+    met = by_group(entries(rooted, _segments(), _ball, "root", "fp", "bits0"), _apart, "a long, b long").distinct()
     # a centre is the smallest under its key, so tested pairs have the smaller as b, as here
-    pairs = a.join(b, near).select(F.col("b.fp").alias("a"), F.col("a.fp").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    return first.unionByName(verified(stored(pairs, "pairs"), docs, classes))
+    rest = stored(near_enough(met, some).join(star, ["a", "b"], "left_anti"), "pairs")
+    return linked.unionByName(verified(rest, docs, classes))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each document row: _id, _dk, fp, and component, the smallest _id reachable."""
     found = stored(prints(docs), "prints")
-    classes = stored(found.groupBy("fp").agg(F.min(F.struct("_id", "_dk")).alias("first"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes")
+    classes = stored(found.groupBy("fp").agg(F.min(F.struct("_id", "_dk")).alias("first"), F.first("size").alias("size"), F.first("bits").alias("bits")), "classes")
     roots = components(links(docs, classes)).withColumnRenamed("node", "fp")
     grouped = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("first._id").alias("component"))

@@ -15,7 +15,7 @@ a component that holds one has a null component_id; rows that repeat are alike a
 table gives an empty result. Columns other than doc_id and text pass through deduplicate() untouched. Texts are read whole.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -70,18 +70,47 @@ def _segments() -> list[Column]:
     return [F.shiftrightunsigned(fp, 32), fp.bitwiseAND(0xFFFFFFFF).bitwiseOR(1 << 32)]
 
 
-def entries(fps: DataFrame) -> DataFrame:
-    """(key, slot, fp): where each fingerprint stands in the table. slot is 0 but for keys with large groups, of which
-    each pair of blocks has a slot."""
-    first, second = _segments()
+def entries(fps: DataFrame, centres: list[Column], ball: Callable[[Column], Column], *carried: str) -> DataFrame:
+    """(key, slot, *carried): where each fingerprint stands in the table, under all keys of the balls around its centres, the
+    segments. slot is 0 but for keys with large groups, of which each pair of blocks has a slot."""
     # centres with a few members already lead to all keys with large groups
-    centres = fps.select(F.explode(F.array(first, second)).alias("centre")).groupBy("centre").count().filter(F.col("count") >= LARGE_GROUP // 64)
-    large = stored(centres.select(F.explode(_ball(F.col("centre"))).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("n")).filter(F.col("n") >= LARGE_GROUP // 2), "large-keys")
-    table = fps.select(F.explode(F.concat(_ball(first), _ball(second))).alias("key"), "fp").join(small(large, BROADCAST_ROWS), "key", "left")
+    often = fps.select(F.explode(F.array(*centres)).alias("centre")).groupBy("centre").count().filter(F.col("count") >= LARGE_GROUP // 64)
+    large = stored(often.select(F.explode(ball(F.col("centre"))).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("n")).filter(F.col("n") >= LARGE_GROUP // 2), "large-keys")
+    table = fps.select(F.explode(F.concat(*[ball(c) for c in centres])).alias("key"), *carried).join(small(large, BROADCAST_ROWS), "key", "left")
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     mine = F.pmod(F.xxhash64("fp", "key"), blocks)
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: F.least(mine, b) * blocks + F.greatest(mine, b) + 1)
-    return table.select("key", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("slot"), "fp")
+    return table.select("key", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("slot"), *carried)
+
+
+def by_group(table: DataFrame, work: Callable[..., pd.DataFrame], schema: str) -> DataFrame:
+    """Calls work with arrays of the columns of entries: rows sorted by key and slot, and then by the other columns, of whole
+    groups, of many at once."""
+    names = table.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:
+            now = [b[c].to_numpy() for c in names]
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+            if not len(now[0]):
+                continue
+            last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+            cut = last[-1] + 1 if len(last) else 0
+            held = [x[cut:] for x in now]  # the last group may go on in the next batch
+            if cut:
+                yield work(*[x[:cut] for x in now])
+        if held is not None and len(held[0]):
+            yield work(*held)
+
+    return table.repartition("key", "slot").sortWithinPartitions(*names).mapInPandas(run, schema)
+
+
+def group_starts(key: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of sorted rows start, and their sizes."""
+    starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (slot[1:] != slot[:-1])]))
+    return starts, np.diff(np.append(starts, len(key)))
 
 
 def _forest(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,9 +132,7 @@ def _forest(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 def _links(key: np.ndarray, slot: np.ndarray, fp: np.ndarray, distance: int) -> pd.DataFrame:
     """Edges of rows sorted by key and slot, whose groups are whole."""
     u = fp.view(np.uint64)
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (slot[1:] != slot[:-1])])
-    starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, len(key)))
+    starts, sizes = group_starts(key, slot)
     second = key >> 32 == 1
     centre = np.where(second, (fp & 0xFFFFFFFF) | (1 << 32), (u >> np.uint64(32)).astype(np.int64))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -138,25 +165,10 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if distance > 4:
         raise ValueError("two segments with balls of radius one find distances up to 4")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for b in batches:
-            now = [b[c].to_numpy() for c in ("key", "slot", "fp")]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            if not len(now[0]):
-                continue
-            key, slot, _ = now
-            last = np.flatnonzero((key != key[-1]) | (slot != slot[-1]))
-            cut = last[-1] + 1 if len(last) else 0
-            held = [x[cut:] for x in now]  # the last group may go on in the next batch
-            if cut:
-                yield _links(*[x[:cut] for x in now], distance)
-        if held is not None and len(held[0]):
-            yield _links(*held, distance)
+    def run(key: np.ndarray, slot: np.ndarray, fp: np.ndarray) -> pd.DataFrame:
+        return _links(key, slot, fp, distance)
 
-    grouped = entries(fps).repartition("key", "slot").sortWithinPartitions("key", "slot")
-    return grouped.mapInPandas(run, "a long, b long").distinct()
+    return by_group(entries(fps, _segments(), _ball, "fp"), run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

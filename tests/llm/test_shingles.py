@@ -34,11 +34,47 @@ def _texts(rng):
     return out
 
 
+def similar(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
 def test_components_against_brute_force(docs_of):
+    """No text is joined to one that no chain of similar texts leads to; nearly all similar pairs are joined."""
     texts = _texts(random.Random(3))
-    want = brute_components(texts)
+    want, sets = brute_components(texts), [brute_set(t) for t in texts]
     assert 10 < len(set(want)) < len(texts) - 20
-    assert {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()} == dict(enumerate(want))
+    got = {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()}
+    assert all(want[i] == want[c] and c <= i and got[c] == c for i, c in got.items())
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if similar(sets[i], sets[j])]
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs)
+
+
+def test_recall_of_pairs(docs_of):
+    """Pairs of similarity 0.8 to 0.95, each apart from all others."""
+    rng, texts = random.Random(8), []
+    for n in range(150):
+        words = [f"w{n}_{i}" for i in range(rng.choice([30, 100, 400]))]
+        now = list(words)
+        for _ in range(round(len(words) * rng.choice([0.008, 0.016, 0.02]))):
+            now[rng.randrange(len(now))] = "new"
+        texts += [" ".join(words), " ".join(now)]
+    sets = [brute_set(t) for t in texts]
+    near = [i for i in range(0, len(texts), 2) if similar(sets[i], sets[i + 1])]
+    got = {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()}
+    assert len(near) > 100 and sum(got[i + 1] == i for i in near) >= 0.95 * len(near)
+    assert all(got[i + 1] == i + 1 for i in range(0, len(texts), 2) if i not in near)
+
+
+def test_large_groups_are_split(docs_of, monkeypatch):
+    from microlake.llm import simhash
+
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(w if rng.random() > 0.003 else f"x{rng.randrange(99)}" for w in words) for _ in range(90)]
+    whole = {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()}
+    monkeypatch.setattr(simhash, "LARGE_GROUP", 16)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    assert {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()} == whole
 
 
 def test_the_stage_finds_copies_of_similarity_0_8(spark, docs_of):
