@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import own_names, table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -225,7 +225,7 @@ _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns and a struct license_scan."""
+    """The documents with all their columns and a struct license_scan (with a _ behind it, if they have such a column)."""
 
     @F.pandas_udf(f"struct<{SCHEMA.replace(' ', ':').replace(',:', ',')}>")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -234,7 +234,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame([scanner.scan(t) for t in texts], columns=_NAMES)
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    return docs.withColumn("license_scan", scan(F.col("text").cast("string")))
+    return docs.withColumn(own_names(docs, "license_scan")["license_scan"], scan(F.col("text").cast("string")))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

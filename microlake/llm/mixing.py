@@ -7,8 +7,9 @@ is all entries in order of virtual finish time, cut where the words so far reach
 Running sums are taken in two levels, first over hash ranges and then inside one, so no task gets a whole source.
 
 Defined cases: null text has size 0; sources rank by code point and null comes last; sizes of 0 take nothing and have
-target 0 if their whole source is empty; a null id is hashed as an empty one; rows alike in every respect share their
-fate; empty tables give an empty result. Other columns are passed on by mix(), not read.
+target 0 if their whole source is empty; a null id has its place by its text; rows alike in id, text and source share
+their fate; empty tables give an empty result. Other columns are passed on by mix(), not read; where they have the names of
+the columns that mix() adds, those get a _ behind them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import NO_ID, doc_id, stored, table, with_key
+from .common import NO_ID, doc_id, own_names, packed, stored, table, with_key
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -26,7 +27,8 @@ PASSES = 2
 ROWS_A_RANGE = 20_000
 #: Ranges at least, so that a source with many documents is spread at any size.
 LEAST_RANGES = 128
-#: Ranges of virtual finish time, of which the one with the cut is summed row by row.
+#: Ranges of virtual finish time at least, of which the one with the cut is summed row by row; there are more of them as the
+#: documents are more.
 TIME_RANGES = 4096
 
 
@@ -59,9 +61,10 @@ def targets(sizes: DataFrame) -> DataFrame:
 def mix_sizes(docs: DataFrame) -> DataFrame:
     """One row for each document row: _id, _dk, doc_id, source, size, source_size, target, passes (times it is taken),
     finish (virtual finish time on the first pass)."""
-    digest = F.md5(F.coalesce(F.when(F.col("_id") != NO_ID, F.col("_id")).cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.coalesce(F.when(F.col("_id") != NO_ID, F.col("_id")).cast("string"), F.concat(F.lit("text "), F.coalesce(F.col("_dk").cast("string"), F.lit("")))).cast("binary"))
     sized = stored(with_key(docs, F.col("source").cast("string").alias("source")).select("_id", "_dk", "source", word_count(F.col("text")).alias("size"), digest.alias("place")), "sizes")
-    ranges = sized.count() // ROWS_A_RANGE + LEAST_RANGES
+    n = sized.count()
+    ranges, slots = n // ROWS_A_RANGE + LEAST_RANGES, n * PASSES // ROWS_A_RANGE + TIME_RANGES
     sized = sized.withColumn("range", F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * ranges / 2**32).withColumn("range", F.floor("range"))
     share = stored(targets(sized), "targets")
     # words of the source before each hash range, then inside the range
@@ -77,7 +80,7 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     queued = stored(queued.select("_id", "_dk", "source", "size", "source_size", "target", "place", done.alias("finish"), F.when(F.col("target") > 0, F.col("source_size") / F.col("target")).alias("lap")), "queued")
     # the cut, in order of virtual finish time
     entries = queued.filter("size > 0 AND finish IS NOT NULL").select("size", "place", "_id", "_dk", F.explode(F.transform(F.sequence(F.lit(0), F.lit(PASSES - 1)), lambda i: F.struct(i.alias("lap_no"), (F.col("finish") + F.col("lap") * i).alias("at")))).alias("e")).select("size", "place", "_id", "_dk", "e.*")
-    slot = F.least(F.floor(F.col("at") * (TIME_RANGES // 2)), F.lit(TIME_RANGES - 1)).alias("slot")
+    slot = F.least(F.floor(F.col("at") * (slots // PASSES)), F.lit(slots - 1).cast("long")).alias("slot")
     entries = entries.withColumn("slot", slot)
     loads = entries.groupBy("slot").agg(F.sum("size").alias("load"))
     budget = share.agg(F.sum("target").alias("budget"))
@@ -91,14 +94,20 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     return queued.crossJoin(F.broadcast(stored(beyond, "cut"))).select("_id", "_dk", doc_id(), "source", "size", "source_size", "target", passes.alias("passes"), "finish", "lap")
 
 
+def _source_key(c: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), c), F.lit("n")).alias("_sk")  # tells null from any text
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """The mix: each document row as often as it is taken, with pass_no and virtual_finish beside its own columns, sorted
     by virtual finish time over all partitions."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    chosen = mix_sizes(docs).filter("passes > 0").groupBy("_id", "_dk").agg(F.max("passes").alias("passes"), F.min("finish").alias("finish"), F.max("lap").alias("lap"))
-    times = F.explode(F.sequence(F.lit(0), F.col("passes") - 1))
-    both = with_key(docs, row).select("_id", "_dk", "row").join(chosen, ["_id", "_dk"]).withColumn("pass_no", times)
-    return both.withColumn("virtual_finish", F.col("finish") + F.col("lap") * F.col("pass_no")).select("row.*", "pass_no", "virtual_finish").repartitionByRange("virtual_finish").sortWithinPartitions("virtual_finish")
+    key, names = ["_id", "_dk", "_sk"], own_names(docs, "pass_no virtual_finish")
+    chosen = mix_sizes(docs).filter("passes > 0").select("_id", "_dk", _source_key(F.col("source")), "passes", "finish", "lap")
+    chosen = chosen.groupBy(*key).agg(F.max("passes").alias("passes"), F.min("finish").alias("finish"), F.max("lap").alias("lap"))
+    keyed = with_key(docs, _source_key(F.col("source").cast("string")), packed(docs)).drop("text")
+    both = keyed.join(chosen, key).withColumn("no", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
+    out = both.select("row.*", F.col("no").alias(names["pass_no"]), (F.col("finish") + F.col("lap") * F.col("no")).alias(names["virtual_finish"]))
+    return out.repartitionByRange(names["virtual_finish"]).sortWithinPartitions(names["virtual_finish"])
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

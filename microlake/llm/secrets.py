@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import own_names, table
 
 KINDS = ("assign", "access", "hex")
 EXPANDED = 8 << 20
@@ -295,7 +295,7 @@ _SCHEMA = "struct<n_assign:long,n_access:long,n_hex:long,base:string,spans:strin
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns and a struct secrets."""
+    """The documents with all their columns and a struct secrets (with a _ behind it, if they have such a column)."""
 
     @F.pandas_udf(_SCHEMA)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -306,7 +306,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
                 rows.append((*(sum(k == kind for k, _, _ in base) for kind in KINDS), _joined(base), _joined(spans), layers))
             yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans", "n_layers"])
 
-    return docs.withColumn("secrets", found(F.col("text").cast("string")))
+    return docs.withColumn(own_names(docs, "secrets")["secrets"], found(F.col("text").cast("string")))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import own_names, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
@@ -114,7 +114,7 @@ class TokenCounter:
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The documents with all their columns and n_tokens."""
+    """The documents with all their columns and n_tokens (with a _ behind it, if they have such a column)."""
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))
 
     @F.pandas_udf("long")
@@ -123,7 +123,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         for texts in batches:
             yield pd.Series([counter.of_text(t) for t in texts], dtype="int64")
 
-    return docs.withColumn("n_tokens", counted(F.col("text").cast("string")))
+    return docs.withColumn(own_names(docs, "n_tokens")["n_tokens"], counted(F.col("text").cast("string")))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD, SCHEMA)
+    taken = "quality_score n_lines n_dropped pass_no virtual_finish n_tokens secrets license_scan passes finish component kept score no"
+    df = df.withColumns({c: F.lit("own") for c in taken.split()})
     return df.withColumns({"row": F.lit(1), "size": F.lit("x"), "_id": F.lit(2), "fp": F.lit(3), "drop": F.lit(None).cast("string"), "a.b": F.lit(4)})
 
 

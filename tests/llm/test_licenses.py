@@ -57,7 +57,7 @@ def test_keywords_gate_only_what_cannot_match():
 
 def test_odd_and_empty(odd, empty):
     out = L.scan_licenses(odd)
-    assert out.columns == [*odd.columns, "license_scan"] and out.count() == odd.count()
+    assert out.columns == [*odd.columns, "license_scan_"] and out.count() == odd.count()
     assert L.scan_licenses(empty).count() == 0
 
 

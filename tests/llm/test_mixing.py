@@ -50,6 +50,24 @@ def test_mix_repeats_documents_in_order_of_finish(spark):
     assert finish == sorted(finish)
 
 
+def test_one_text_under_two_sources(spark):
+    rows_of = [(1000, "one two three", "a"), (1000, "one two three", "zz"), *((i, "w " * 50, "ab"[i % 2]) for i in range(40))]
+    docs = spark.createDataFrame(rows_of, "doc_id long, text string, source string")
+    passes = {(r["doc_id"], r["source"]): r["passes"] for r in M.mix_sizes(docs).collect()}
+    found = {}
+    for r in M.mix(docs).collect():
+        found[r["doc_id"], r["source"]] = found.get((r["doc_id"], r["source"]), 0) + 1
+    assert found == {k: n for k, n in passes.items() if n}
+
+
+def test_null_ids_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    got = M.mix_sizes(docs).collect()
+    assert len({r["finish"] for r in got}) == 300 and abs(sum(r["passes"] * r["size"] for r in got) - 900) <= 2
+
+
 def test_odd_and_empty(odd, empty):
     assert M.mix_sizes(empty).count() == 0 and M.mix(empty).count() == 0
     got = M.mix_sizes(odd).collect()

@@ -65,8 +65,8 @@ def test_archive_bombs_are_read_up_to_a_bound(monkeypatch):
 
 def test_odd_and_empty(odd, empty):
     out = S.scan_secrets(odd)
-    assert out.columns == [*odd.columns, "secrets"] and out.count() == odd.count()
-    assert {r["secrets"]["spans"] for r in out.collect()} == {""}
+    assert out.columns == [*odd.columns, "secrets_"] and out.count() == odd.count()
+    assert {r["secrets_"]["spans"] for r in out.collect()} == {""}
     assert S.scan_secrets(empty).count() == 0
 
 

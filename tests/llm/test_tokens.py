@@ -45,7 +45,7 @@ def test_memory_is_bounded(monkeypatch):
 
 def test_odd_and_empty(odd, empty):
     out = T.count_tokens(odd)
-    assert out.columns == [*odd.columns, "n_tokens"]
-    rows = {(r["doc_id"], r["text"]): r["n_tokens"] for r in out.collect()}
+    assert out.columns == [*odd.columns, "n_tokens_"]
+    rows = {(r["doc_id"], r["text"]): r["n_tokens_"] for r in out.collect()}
     assert rows[(1, None)] == 0 and rows[(2, "")] == 0 and rows[(7, "one")] >= 1
     assert T.count_tokens(empty).count() == 0
