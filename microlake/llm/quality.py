@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, short_batches, stored, table
+from .common import WordHashes, bytes_but, held_out, own_names, packed, short_batches, stored, table
 
 #: Labelled documents that the classifier is fitted on at most.
 SAMPLE = 4000
@@ -36,20 +36,11 @@ TERM_WEIGHT = 0.25
 POWER = 8
 THRESHOLD = 0.3
 BLOCK = 128
-#: Bytes of a text that are turned into hashes at once; a word that crosses the border counts as two.
-PIECE = 1 << 17
 _BYTES = [chr(i) for i in range(128)]
 #: For words: ASCII letters in lower case, bytes of other letters as they are, anything else 0.
 _LETTERS = bytes([ord(c.lower()) if c.isalpha() else 0 for c in _BYTES] + list(range(128, 256)))
 #: For shapes: capitals A, other letters a, digits 0, white space a space, punctuation as it is.
 _KINDS = bytes([ord("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else " " if c.isspace() else c) for c in _BYTES] + [ord("a")] * 128)
-_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-
-
-def _powers(base: int) -> np.ndarray:
-    steps = np.full(PIECE, base, np.uint64)
-    steps[0] = 1
-    return np.cumprod(steps)
 
 
 class Features:
@@ -57,19 +48,7 @@ class Features:
     bytes. A shape is a token with runs of capitals, other letters and digits as A, a and 0, cut to 8: 'The&&&' is 'Aa&'."""
 
     def __init__(self):
-        self.up, self.down = _powers(_STEP), _powers(pow(_STEP, -1, 1 << 64))
-
-    def _words(self, raw: bytes) -> np.ndarray:
-        """Hashes of the words in order."""
-        parts = [np.zeros(0, np.uint64)]
-        for at in range(0, len(raw), PIECE):
-            b = np.frombuffer(raw[at : at + PIECE].translate(_LETTERS), np.uint8)
-            letter = b > 0
-            starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
-            if len(starts):
-                h = np.add.reduceat(b * self.up[: len(b)], starts) * self.down[starts]
-                parts.append((h ^ (h >> np.uint64(29))) * np.uint64(_STEP) >> np.uint64(32))
-        return np.concatenate(parts)
+        self.words = WordHashes(bytes_but(b"\0"))
 
     def row(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         raw = text.encode("utf-8", "surrogatepass") if text else b""
@@ -82,7 +61,7 @@ class Features:
         for x, n in found.items():
             both[TERMS + zlib.crc32(x) % SHAPES] += n
         # one more shape, of the text as a whole: words that repeat the one before
-        hashes = self._words(raw)
+        hashes = self.words.of(raw.translate(_LETTERS)) >> np.uint64(32)
         both[-1] = (hashes[1:] == hashes[:-1]).sum()
         both[TERMS:] /= both[TERMS:].sum()
         both[:TERMS] = np.bincount((hashes % np.uint64(TERMS)).astype(np.int64), minlength=TERMS) * (TERM_WEIGHT**2 / max(1, len(hashes)))
@@ -158,8 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit_rows([(r["ids"], r["vals"], r["label"]) for r in rows.collect()])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with all their columns and quality_score."""
+def votes(docs: DataFrame, model: Model) -> Column:
+    """The score of the column text of docs."""
     short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.project, model.vectors, model.labels))
 
@@ -174,7 +153,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     vectors[i] = values @ m.project[ids]
             yield pd.Series(m.scores(vectors))
 
-    return docs.select("*", scored(F.col("text").cast("string")).alias("quality_score"))
+    return scored(F.col("text").cast("string"))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents with all their columns and quality_score (with a _ behind it, if they have such a column)."""
+    return docs.select("*", votes(docs, model).alias(own_names(docs, "quality_score")["quality_score"]))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose score reaches the threshold."""
+    return docs.select(packed(docs), votes(docs, model).alias("score")).filter(F.col("score") >= threshold).select("row.*")
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

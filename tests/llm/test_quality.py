@@ -31,13 +31,13 @@ def test_odd_empty_and_unlabelled(spark, odd, empty):
     model = Q.fit(odd, labels, sample=2)
     assert len(model.labels) <= 2
     out = Q.score(odd, model)
-    assert out.columns == [*odd.columns, "quality_score"]
+    assert out.columns == [*odd.columns, "quality_score_"]
     rows = out.collect()
-    assert {r["quality_score"] for r in rows if not (r["text"] or "").split()} == {model.prior}
+    assert {r["quality_score_"] for r in rows if not (r["text"] or "").split()} == {model.prior}
     assert Q.score(empty, model).count() == 0
     none = Q.fit(odd, labels.limit(0))
-    assert {r["quality_score"] for r in Q.score(odd, none).collect()} == {1.0}
-    assert {r["quality_score"] for r in Q.score(odd, Q.fit(empty, labels)).collect()} == {1.0}
+    assert {r["quality_score_"] for r in Q.score(odd, none).collect()} == {1.0}
+    assert {r["quality_score_"] for r in Q.score(odd, Q.fit(empty, labels)).collect()} == {1.0}
 
 
 def test_scores_do_not_depend_on_blocks(monkeypatch):
