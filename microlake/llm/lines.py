@@ -6,14 +6,15 @@ in enough documents are repeated, and their lines are dropped but for those of t
 references, deleting a document takes its own away, and counting again undoes every decision that rested on it.
 
 The repeated keys also stand in cuckoo filters, one for each range of hashes, which are updated by insertion and deletion
-of single keys. Documents are read once against the filters; only lines that a filter knows are looked up in the
+of single keys: change() takes new and deleted documents, finds the keys that became or ceased to be repeated, and
+passes just these on. Documents are read once against the filters; only lines that a filter knows are looked up in the
 exact table, so a false hit of a filter costs a lookup and changes no result. While all filters together are small
-enough they are broadcast; beyond that, all long lines go to the exact table by a shuffle.
+enough they are broadcast; beyond that, the hashes of long lines are dealt out by shard and salt to the shard's filter.
 
 Defined cases: null and empty texts are one empty line, whose key is too short to drop; a null id is a document of its
 own, smaller than any other; rows that share an id are one document, and all of them keep a line if that id is the
 largest; a line repeated within a document counts once and all its places are treated alike; empty tables give an empty
-result. Other columns pass through untouched.
+result. Other columns pass through untouched; where they have the names of the columns that dedup_lines() adds, those get a _ behind them.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import NO_ID, doc_id, stored, table, with_key
+from .common import NO_ID, own_names, packed, stored, table, with_key
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
@@ -34,8 +36,9 @@ KEYS_A_SHARD = 32_768
 SLOTS = 4
 #: Bytes of all filters up to which they are broadcast.
 FILTER_BYTES = 32 << 20
+#: Parts that a shard's lines are dealt out to beyond that, by document, each with a copy of the filter.
+SALTS = 16
 SPACE = " \t\n\x0b\x0c\r"
-_LOWER = {i: i + 32 for i in range(65, 91)}
 
 
 def line_key(line: str, least: int = LEAST_CHARS) -> tuple[int, int] | None:
@@ -183,8 +186,23 @@ def shard_of(h1, shards: int):
     return F.shiftrightunsigned(h1, 64 - shards.bit_length() + 1) if shards > 1 else F.lit(0).cast("long")
 
 
-def _hits(docs: DataFrame, filters: dict[int, bytes] | None, shards: int, least_chars: int) -> DataFrame:
-    """(_id, _dk, line, h1, h2): long lines that may be repeated."""
+def change(refs: DataFrame, filters: DataFrame, shards: int, added: DataFrame | None = None, deleted: DataFrame | None = None, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
+    """References and filters after documents came (added: doc_id, text) and went (deleted: doc_id). Only keys that these
+    documents hold are counted again, and only those that crossed the threshold change a filter."""
+    none = refs.limit(0)
+    came = none if added is None else references(added, least_chars)
+    ids = None if deleted is None else deleted.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id")).distinct()
+    went = none if ids is None else refs.join(ids, "_id", "left_semi").select("h1", "h2", "_id")
+    now = refs.join(went, ["h1", "h2", "_id"], "left_anti").unionByName(came).distinct()
+    now = stored(now, "references")
+    touched = stored(came.select("h1", "h2").union(went.select("h1", "h2")).distinct(), "touched")
+    often = lambda r: repeated(r.join(touched, ["h1", "h2"], "left_semi"), least_docs).select("h1", "h2")
+    was, is_now = stored(often(refs), "repeated-before"), stored(often(now), "repeated-now")
+    return now, stored(update_filters(filters, is_now.join(was, ["h1", "h2"], "left_anti"), was.join(is_now, ["h1", "h2"], "left_anti"), shards), "line-filters")
+
+
+def _long_lines(docs: DataFrame, filters: dict[int, bytes] | None, shards: int, least_chars: int) -> DataFrame:
+    """(_id, _dk, line, h1, h2): long lines; with filters, those that they know."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = None if filters is None else {s: CuckooFilter.load(raw) for s, raw in filters.items()}
@@ -205,24 +223,60 @@ def _hits(docs: DataFrame, filters: dict[int, bytes] | None, shards: int, least_
     return with_key(docs).select("_id", "_dk", "text").mapInPandas(look, "_id long, _dk long, line int, h1 long, h2 long")
 
 
+def _routed(lines: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """Lines that their shard's filter knows: each shard and salt is sorted so that the filter comes before its lines."""
+    named = lines.columns
+    own = lines.withColumns({"shard": shard_of(F.col("h1"), shards), "salt": F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"), "filter": F.lit(None).cast("binary")})
+    zeros = [F.lit(0).cast(kind).alias(c) for c, kind in lines.dtypes]  # nulls would make floats of integers
+    copies = filters.select(*zeros, "shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "filter")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, known = None, None
+        for b in batches:
+            for place, rows in b.groupby(["shard", "salt"], sort=False):
+                if place != at:
+                    at, known = place, None
+                head = rows["filter"].iloc[0]
+                if head is not None:
+                    known, rows = CuckooFilter.load(head), rows.iloc[1:]
+                if known is not None and len(rows):
+                    yield rows[known.contains(rows["h1"].to_numpy(np.int64), rows["h2"].to_numpy(np.int64))][named]
+
+    both = own.unionByName(copies).repartition("shard", "salt")
+    return both.sortWithinPartitions("shard", "salt", F.col("filter").isNull()).mapInPandas(look, lines.schema)
+
+
+@F.pandas_udf(T.StringType())
+def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Texts without the lines of the given numbers."""
+    for texts, drops in parts:
+        out = []
+        for t, drop in zip(texts, drops, strict=True):
+            gone = set() if drop is None else set(drop)
+            out.append(None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone))
+        yield pd.Series(out, dtype=object)
+
+
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, refs: DataFrame | None = None) -> DataFrame:
     """The documents with all their columns, text without its repeated lines (null stays null), n_lines and n_dropped.
     refs: references of an index that holds the documents; by default it is built from them."""
     exact = stored(repeated(references(docs, least_chars) if refs is None else refs, least_docs), "line-counts")
     n = exact.count()
     shards = 1 << max(0, (n // KEYS_A_SHARD).bit_length())
-    filters = None
+    table = stored(build_filters(exact.select("h1", "h2"), shards), "line-filters")
     if n * 2 * 2 < FILTER_BYTES:
-        filters = {r["shard"]: bytes(r["filter"]) for r in stored(build_filters(exact, shards), "line-filters").collect()}  # at most FILTER_BYTES
-    hits = _hits(docs, filters, shards, least_chars).join(exact, ["h1", "h2"]).filter(F.col("_id") != F.col("keeper"))
+        filters = {r["shard"]: bytes(r["filter"]) for r in table.collect()}  # at most FILTER_BYTES
+        maybe = _long_lines(docs, filters, shards, least_chars)
+    else:
+        maybe = _routed(_long_lines(docs, None, shards, least_chars), table, shards)
+    hits = maybe.join(exact, ["h1", "h2"]).filter(F.col("_id") != F.col("keeper"))
     dropped = hits.groupBy("_id", "_dk").agg(F.collect_set("line").alias("drop"))
-    keyed = with_key(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).drop("text")
-    both = keyed.join(dropped.hint("shuffle_hash"), ["_id", "_dk"], "left")
-    lines = F.split(F.coalesce(F.col("row.text"), F.lit("")), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "drop")
-    kept = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(F.concat_ws("\n", F.transform(stay, lambda i: F.get(lines, i))))
-    out = both.withColumn("n_lines", F.size(lines)).select("row", "_id", kept.alias("_kept"), F.col("n_lines").cast("long"), F.coalesce(F.array_size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
-    return out.select(*[F.col("_kept").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns], "n_lines", "n_dropped")
+    both = with_key(docs, packed(docs)).drop("text").join(dropped.hint("shuffle_hash"), ["_id", "_dk"], "left")
+    text = F.col("row.text")
+    changed = _without(F.when(F.col("drop").isNotNull(), text), "drop")  # only texts that lose lines go to Python
+    n_lines = F.length(F.coalesce(text, F.lit(""))) - F.length(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1
+    out = both.select("row", F.when(F.col("drop").isNull(), text).otherwise(changed).alias("kept"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.array_size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.select(*[F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns], *[F.col(n).alias(name) for n, name in own_names(docs, "n_lines n_dropped").items()])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

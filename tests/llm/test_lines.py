@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -51,7 +52,7 @@ def test_against_brute_force(spark, monkeypatch, filters):
 def test_odd_and_empty(odd, empty):
     assert L.dedup_lines(empty).count() == 0
     out = L.dedup_lines(odd)
-    assert out.columns == [*odd.columns, "n_lines", "n_dropped"] and out.count() == odd.count()
+    assert out.columns == [*odd.columns, "n_lines_", "n_dropped_"] and out.count() == odd.count()
 
 
 def test_insertion_and_deletion_are_undone(spark, docs_of):
@@ -66,6 +67,36 @@ def test_insertion_and_deletion_are_undone(spark, docs_of):
     assert L.repeated(L.delete(grown, spark.createDataFrame([(11,)], "doc_id long"))).first()["keeper"] == 10
 
 
+def test_changes_reach_the_filters_and_are_undone(spark, docs_of):
+    a, b = "a line of many documents, which is long enough", "another of these lines, which is long enough, too"
+    first, more = docs_of([f"{a}\n{b}"] * 4 + [b]), docs_of([a, f"{a}\n{b}", "short"], 10)
+    refs = L.references(first)
+    filters = L.build_filters(L.repeated(refs).select("h1", "h2"), 1)
+    state = lambda r, f: (sorted(map(tuple, r.collect())), [x["n"] for x in f.collect()])
+    known = lambda f, x: bool(L.CuckooFilter.load(bytes(f.first()["filter"])).contains(*np.array([L.line_key(x)]).T)[0])
+    assert not known(filters, a) and known(filters, b)
+    grown, filters2 = L.change(refs, filters, 1, added=more)
+    assert known(filters2, a) and known(filters2, b)
+    back, filters3 = L.change(grown, filters2, 1, deleted=more)
+    assert state(back, filters3) == state(refs, filters) and not known(filters3, a) and known(filters3, b)
+    # a document whose text changes goes and comes in one call
+    swapped, filters4 = L.change(refs, filters, 1, added=docs_of([a], 4), deleted=spark.createDataFrame([(4,)], "doc_id long"))
+    assert known(filters4, a) and not known(filters4, b) and swapped.count() == refs.count()
+
+
+def test_long_texts_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    line = "a line that is in six documents and is long enough"
+    rows = [(i, "\n".join([line, *map(str, range(200_000))]) if i == 0 else "\n".join([line] * 50_000 if i == 1 else [line])) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_lines": F.lit("mine"), "n_dropped": F.lit(1)})
+    began = time.time()
+    got = {r["doc_id"]: r for r in L.dedup_lines(docs).collect()}
+    assert time.time() - began < 60
+    assert got[0]["text"] == "\n".join(map(str, range(200_000))) and (got[0]["n_lines_"], got[0]["n_dropped_"], got[0]["n_lines"]) == (200_001, 1, "mine")
+    assert (got[1]["text"], got[1]["n_dropped_"], got[5]["text"]) == ("", 50_000, line)
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     h = rng.integers(-(2**63), 2**63 - 1, (3000, 2))
