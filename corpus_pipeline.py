@@ -3,7 +3,8 @@ folder and read again as the next one's documents, so a lost executor costs one
 
 Null, empty, repeated and very long texts, null ids and further columns are treated as the stages' operators say. All
 stages but the last return the columns of the documents; n_chars, where there is one, follows the text. The last returns a
-document as often as the mix takes it, with pass_no and virtual_finish.
+document as often as the mix takes it, with pass_no and virtual_finish (or these with a _ behind them, where the documents
+have such columns, as the result itself has).
 """
 
 from collections.abc import Callable
@@ -17,15 +18,14 @@ from microlake.llm.common import stored, table
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share, but for one that keeps them."""
-    out = lines.dedup_lines(docs)
-    length = {"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}
-    return out.withColumns(length).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = lines.dedup_lines(docs)
+    length = F.length("text").cast("long").alias("n_chars")
+    return kept.select(*[length if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
