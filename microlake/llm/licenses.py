@@ -211,8 +211,10 @@ class Scanner:
         if any(p.search(lower) for p in _CHEAP.values()):
             normal = " ".join(WORD.findall(lower))
             for label, p in _PHRASE.items():
-                for m in p.finditer(normal):
-                    starts.append(normal.count(" ", 0, m.start()))
+                word = at = 0
+                for m in p.finditer(normal):  # words are counted from match to match
+                    word, at = word + normal.count(" ", at, m.start()), m.start()
+                    starts.append(word)
                     base.add(label)
         own = self.detections(lower)
         labels = base | {r.label for _, _, r in own}

@@ -2,9 +2,10 @@
 
 The whole text is searched for three kinds of secret (the base), and then for encoded layers: URL escapes, Unicode and
 byte escapes, base64 runs, and compressed data inside base64. Each decoded layer is searched and unwrapped again until
-nothing new comes up; a layer that was seen before, in the same place, ends its branch, so cycles stop. A layer's
-characters carry the span of the original text they come from, so what is found in it is reported as a span of the
-original, in code points.
+nothing new comes up; a layer that was seen before, in the same place, ends its branch, so cycles stop. Escapes of the sign
+that begins an escape ('%252541' and so on) are undone to their end in one layer, so a text's layers are few however deep they nest.
+A layer's characters carry the span of the original text they come from, so what is found in it is reported as a span of
+the original, in code points.
 
 Defined cases: null and empty texts hold nothing; rows that repeat get the same answer each; a null id is passed on; an
 empty table gives an empty result. Other columns are passed on by scan_secrets(). Texts are read whole; a layer that
@@ -23,6 +24,7 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +39,12 @@ _ASSIGN = re.compile(r"(?ai:(?:password|passwd|secret|token|api_?key))[\"']?\x20
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_RUN = re.compile(r"[0-9a-f]{32,}")
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")
-_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+#: What stands behind a backslash and makes a backslash, or a percent sign, of the two; and anything that may stand there.
+_TO_SLASH, _TO_PERCENT = (rf"(?:x{c}|u00{c}|U000000{c}|u\{{0{{0,4}}{c}\}})" for c in ("5[cC]", "25"))
+_CODE = r"(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))"
+#: A sign, the codes that make it a sign again and again, and a last code.
+_URL = re.compile(rf"(?:%|\\{_TO_SLASH}*{_TO_PERCENT})(?:25|5[cC]{_TO_SLASH}*{_TO_PERCENT})*([0-9A-Fa-f]{{2}})")
+_ESCAPE = re.compile(rf"(?:\\|%(?:25)*5[cC])(?:{_TO_SLASH}|{_TO_PERCENT}(?:25)*5[cC])*{_CODE}")
 #: Runs of either alphabet, on one line and going on over whole lines.
 _BASE64 = [re.compile(p.replace("A", a)) for a in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]") for p in (r"A{%d,}={0,2}" % LEAST_BASE64, r"(?<!A)A{%d,}+(?:[\x20\t]*+\r?\n[\x20\t]*+A++)++={0,2}" % LEAST_BASE64)]
 #: Compressed bytes, by how they start, written with URL or byte escapes and plain characters.
@@ -53,16 +59,23 @@ _IS_BASE64 = bytes(ord("b") if i < 128 and (chr(i).isalnum() or chr(i) in "+/_-"
 
 
 class Layer(NamedTuple):
-    """A text and, for each of its characters, where in the original it starts and ends; None: it is the original."""
+    """A text and, for each of its characters, where in the original it starts and ends; None: it is the original. Both
+    only grow from character to character."""
 
     text: str
-    starts: list[int] | None
-    ends: list[int] | None
+    starts: np.ndarray | None
+    ends: np.ndarray | None
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
-        return min(self.starts[start:end]), max(self.ends[start:end])
+        return int(self.starts[start]), int(self.ends[end - 1])
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for arrays of starts and ends."""
+        if self.starts is None:
+            return starts.astype(np.int32), ends.astype(np.int32)
+        return self.starts[starts], self.ends[ends - 1]
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[str, int, int]]:
@@ -158,7 +171,7 @@ def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
 
 def _packed_layers(data: bytes, start: int, end: int) -> Iterator["Layer"] | None:
     pieces = _unpacked(data)
-    return None if pieces is None else (Layer(t, [start] * len(t), [end] * len(t)) for t in _texts(pieces))
+    return None if pieces is None else (Layer(t, *(np.broadcast_to(np.int32(x), len(t)) for x in (start, end))) for t in _texts(pieces))
 
 
 def _readable(data: bytes) -> str | None:
@@ -168,39 +181,45 @@ def _readable(data: bytes) -> str | None:
         return None
 
 
-def _replaced(layer: Layer, matches: list[tuple[int, int, str, list[tuple[int, int]] | None]]) -> Layer:
-    """The layer with matches (start, end, new text, and the part of the match each new character comes from)."""
-    text, starts, ends, at = [], [], [], 0
-
-    def keep(a: int, b: int) -> None:
-        text.append(layer.text[a:b])
-        starts.extend(range(a, b) if layer.starts is None else layer.starts[a:b])
-        ends.extend(range(a + 1, b + 1) if layer.ends is None else layer.ends[a:b])
-
-    for a, b, new, parts in matches:
-        keep(at, a)
-        text.append(new)
-        for c, d in parts or [(a, b)] * len(new):
-            s, e = layer.span(c, d)
-            starts.append(s)
-            ends.append(e)
+def _replaced(layer: Layer, matches: list[tuple[int, int, str]], starts: np.ndarray, ends: np.ndarray) -> Layer:
+    """The layer with matches (start, end, new text); starts and ends: the part of the layer that each new character stands for."""
+    text, at = [], 0
+    for a, b, new in matches:
+        text += [layer.text[at:a], new]
         at = b
-    keep(at, len(layer.text))
-    return Layer("".join(text), starts, ends)
+    text.append(layer.text[at:])
+    # places of the old characters that stay and of the new ones, merged by where they start
+    gone = np.zeros(len(layer.text) + 1, np.int32)
+    np.add.at(gone, [a for a, _, _ in matches], 1)
+    np.add.at(gone, [b for _, b, _ in matches], -1)
+    stay = np.flatnonzero(np.cumsum(gone[:-1]) == 0)
+    first, last = np.concatenate([stay, starts]), np.concatenate([stay + 1, ends])
+    order = np.argsort(first, kind="stable")
+    return Layer("".join(text), *layer.spans(first[order], last[order]))
 
 
 def _unescaped_url(layer: Layer) -> Layer | None:
-    found = []
-    for m in _URL.finditer(layer.text):
-        data = bytes.fromhex(m[0].replace("%", ""))
-        new = data.decode("utf-8", "replace")
-        at, parts = m.start(), []
+    """Runs of escaped bytes are read as UTF-8."""
+    found, starts, ends, run = [], [], [], []
+
+    def close() -> None:
+        new = bytes(int(m[1], 16) for m in run).decode("utf-8", "replace")
+        at = 0
         for c in new:
-            n = 1 if c == "�" else len(c.encode())  # a bad byte, or the bytes of a character
-            parts.append((at, min(at + 3 * n, m.end())))
-            at = min(at + 3 * n, m.end() - 3)
-        found.append((m.start(), m.end(), new, parts))
-    return _replaced(layer, found) if found else None
+            n = 1 if c == "\ufffd" else len(c.encode())  # a bad byte, or the bytes of a character
+            starts.append(run[min(at, len(run) - 1)].start())
+            at += n
+            ends.append(run[min(at, len(run)) - 1].end())
+        found.append((run[0].start(), run[-1].end(), new))
+        run.clear()
+
+    for m in _URL.finditer(layer.text):
+        if run and run[-1].end() != m.start():
+            close()
+        run.append(m)
+    if run:
+        close()
+    return _replaced(layer, found, np.array(starts, np.int64), np.array(ends, np.int64)) if found else None
 
 
 def _unescaped_unicode(layer: Layer) -> Layer | None:
@@ -208,8 +227,8 @@ def _unescaped_unicode(layer: Layer) -> Layer | None:
     for m in _ESCAPE.finditer(layer.text):
         code = int(m[1] or m[2] or m[3] or m[4], 16)
         if code < 0x110000:
-            found.append((m.start(), m.end(), chr(code), None))
-    return _replaced(layer, found) if found else None
+            found.append((m.start(), m.end(), chr(code)))
+    return _replaced(layer, found, *(np.array([x[i] for x in found], np.int64) for i in (0, 1))) if found else None
 
 
 def _escaped_packed(layer: Layer) -> Iterator[Layer]:
@@ -229,7 +248,6 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
             continue
         done.add(m.span())
         wrapped = "\n" in m[0]
-        at = [m.start() + i for i, c in enumerate(m[0]) if c not in "\x20\t\r\n="] if wrapped else range(m.start(), m.end())
         body = re.sub(r"[\x20\t\r\n]", "", m[0]).rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             if not wrapped:
@@ -246,14 +264,12 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
         text = _readable(data)
         if text is None:
             continue
-        starts, ends, byte = [], [], 0
-        for c in text:  # byte n comes from characters 4n/3 to 4(n+1)/3 of the run
-            n = len(c.encode())
-            s, e = layer.span(at[byte * 4 // 3], at[min(len(body), -(-(byte + n) * 4 // 3)) - 1] + 1)
-            starts.append(s)
-            ends.append(e)
-            byte += n
-        yield Layer(text, starts, ends)
+        # byte n comes from characters 4n/3 to 4(n+1)/3 of the run
+        at = np.flatnonzero(~np.isin(np.frombuffer(m[0].encode(), np.uint8), list(b" \t\r\n="))) + m.start()
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        size = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+        over = np.cumsum(size)
+        yield Layer(text, *layer.spans(at[(over - size) * 4 // 3], at[np.minimum(len(body), -(-over * 4 // 3)) - 1] + 1))
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -269,17 +285,15 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
             continue
         raw = raw if layer.starts is None else layer.text.encode("utf-8", "surrogatepass")
         if layer.starts is not None:
-            key = (hashlib.blake2b(raw, digest_size=16).digest(), layer.starts[0] if layer.starts else 0, layer.ends[-1] if layer.ends else 0)
+            key = (hashlib.blake2b(raw, digest_size=16).digest(), *(layer.span(0, len(layer.text)) if layer.text else (0, 0)))
             if key in seen:
                 continue
             seen.add(key)
             layers += 1
             spans.update((kind, *layer.span(a, b)) for kind, a, b in base_spans(layer.text, raw))
         found = []
-        if "%" in layer.text:
-            found.append(_unescaped_url(layer))
-        if "\\" in layer.text:
-            found.append(_unescaped_unicode(layer))
+        if "%" in layer.text or "\\" in layer.text:
+            found += [_unescaped_url(layer), _unescaped_unicode(layer)]
         todo += [iter([x for x in found if x is not None]), _escaped_packed(layer)]
         if b"b" * LEAST_BASE64 in raw.translate(_IS_BASE64):
             todo.append(_base64_layers(layer))

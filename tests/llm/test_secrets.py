@@ -4,6 +4,7 @@ import gzip
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -57,6 +58,25 @@ def test_cycles_end():
     assert S.scan(None) == S.scan("") == ([], [], 0)
 
 
+def test_deep_nests_and_long_texts_take_no_longer_than_their_length():
+    began = time.time()
+    for text in ("%" + "25" * 200_000 + "41", "\\" + "u005c" * 100_000 + "u0041", "%5c" + "x255c" * 100_000 + "x41", "\\x5" + "cx5" * 100_000, "%25" * 200_000 + "41"):
+        base, spans, layers = S.scan("token=abcdefg" + text)
+        assert ("assign", 0, len(text) + 13) in spans or text.startswith("%25%"), text[:20]
+        assert layers < 6
+    long = "a line of %41 text, with \\x41 and é\n" * 100_000
+    assert S.scan(long + SECRET)[0] == [("assign", len(long), len(long) + len(SECRET))]
+    assert time.time() - began < 60
+
+
+def test_chains_of_signs():
+    for sign in ("%41", "%2541", "%25252541", "\\x2541", "%5cx41", "\\u005cx41", "\\x5cu005cx25" + "41", "%255c" + "u0041", "\\u{5c}U00000041"):
+        assert ("assign", 0, 13 + len(sign)) in S.scan("token=abcdefg" + sign)[1], sign
+    assert S._unescaped_url(S.Layer("%255czz", None, None)).text == "\\zz"
+    assert S._unescaped_url(S.Layer("a%25zz", None, None)).text == "a%zz"
+    assert S._unescaped_url(S.Layer("%25C3%a9%c3", None, None)).text == "é\ufffd"
+
+
 def test_archive_bombs_are_read_up_to_a_bound(monkeypatch):
     monkeypatch.setattr(S, "EXPANDED", 1000)
     bomb = base64.b64encode(zlib.compress(b"token=abcdefgh12 " + b" " * 10_000_000)).decode()
