@@ -24,9 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import NO_ID, own_names, packed, stored, table, with_key
 
@@ -246,15 +245,10 @@ def _routed(lines: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     return both.sortWithinPartitions("shard", "salt", F.col("filter").isNull()).mapInPandas(look, lines.schema)
 
 
-@F.pandas_udf(T.StringType())
-def _without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Texts without the lines of the given numbers."""
-    for texts, drops in parts:
-        out = []
-        for t, drop in zip(texts, drops, strict=True):
-            gone = set() if drop is None else set(drop)
-            out.append(None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone))
-        yield pd.Series(out, dtype=object)
+def _without(text: Column, n_lines: Column, drop: Column) -> Column:
+    """The text without the lines of the given numbers. It is split once: inside transform(), lines has been computed."""
+    stay = F.array_except(F.sequence(F.lit(0), n_lines.cast("int") - 1), drop)
+    return F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.concat_ws("\n", F.transform(stay, lambda i: F.get(lines, i))))[0]
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, refs: DataFrame | None = None) -> DataFrame:
@@ -273,9 +267,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     dropped = hits.groupBy("_id", "_dk").agg(F.collect_set("line").alias("drop"))
     both = with_key(docs, packed(docs)).drop("text").join(dropped.hint("shuffle_hash"), ["_id", "_dk"], "left")
     text = F.col("row.text")
-    changed = _without(F.when(F.col("drop").isNotNull(), text), "drop")  # only texts that lose lines go to Python
     n_lines = F.length(F.coalesce(text, F.lit(""))) - F.length(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1
-    out = both.select("row", F.when(F.col("drop").isNull(), text).otherwise(changed).alias("kept"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.array_size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    out = both.select("row", F.when(F.col("drop").isNull(), text).otherwise(_without(text, n_lines, F.col("drop"))).alias("kept"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.array_size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
     return out.select(*[F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns], *[F.col(n).alias(name) for n, name in own_names(docs, "n_lines n_dropped").items()])
 
 
