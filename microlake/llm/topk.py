@@ -1,15 +1,21 @@
 """Exact top-k inner products: a ball tree for each shard of the vectors, searched by branch and bound.
 
-Vectors are dealt to shards by a hash of their id, and each shard becomes one row that holds its tree. Queries go in
-blocks. A search takes the tree's nodes in order of the upper bound of the inner product in their ball, q.c + |q| r, over
-the block's queries, and leaves out a node for each query whose current kth score the bound doesn't reach. The kth scores
-are shared: a first round searches one shard for each block, and the other shards then start from what it found.
+Vectors go to the cell of the most alike of at most PIVOTS pivots (a sample, in hash order of the ids; it only decides how
+much can be left out), and large cells are split into shards, so that a shard is a ball of its own with a centre and a
+radius. Queries go in blocks of a cell. A search takes a tree's nodes in order of the upper bound of the inner product in
+their ball, q.c + |q| r, over the block's queries, and leaves out a node for each query whose current kth score the bound
+doesn't reach.
 
-Defined cases: components become floor(256 x), x as double; vectors that are null, or hold null or non-finite
+The kth scores are shared in rounds: each block first searches the shard with the highest bound, then a few more, then the
+rest, and in each round begins from the scores found before. A block and a shard whose bound doesn't reach any of the
+block's kth scores never meet, and the shard isn't sent there; a shard's tree is built once for all blocks that do.
+
+Defined cases: components become floor(256 x), x as double; vectors that are null, empty, or hold null or non-finite
 components, take no part, nor do rows without an id; rows that repeat id and vector count once; all rows with the
 query's id are its own; vectors of different lengths are not compared; ties go to the smaller id; a query with fewer
-candidates gets them all, and an empty table gives an empty result. Scores are exact while sums stay below 2**53;
-beyond, they are computed in 64-bit integers. Columns other than vec_id and embedding are not read.
+candidates gets them all, and an empty table gives an empty result. Scores are exact while sums of products stay below
+2**63, which components below 2**31 / sqrt(length) do; larger ones raise an error. Columns other than vec_id and embedding
+are not read.
 """
 
 import heapq
@@ -20,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored, table
 
@@ -29,6 +36,12 @@ SCALE = 256
 ROWS_A_SHARD = 8192
 QUERIES_A_BLOCK = 512
 LEAF = 128
+#: Vectors at most that the cells of shards are made from.
+PIVOTS = 512
+#: Shards, in order of their bound, that a block searches in each round; all that are left in the last.
+ROUNDS = (1, 4, None)
+#: Parts that the blocks of a shard are dealt out to.
+SALTS = 4
 
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -38,7 +51,7 @@ def quantized(vectors: DataFrame) -> DataFrame:
     e = F.col("embedding")
     usable = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ints = F.transform(e, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
-    rows = vectors.filter(F.col("vec_id").isNotNull() & e.isNotNull()).filter(usable)
+    rows = vectors.filter(F.col("vec_id").isNotNull() & (F.size(e) > 0)).filter(usable)
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.size(e).alias("dim"), ints.alias("v")).distinct()
 
 
@@ -47,6 +60,8 @@ def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2**53:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    if most >= 2**63:
+        raise OverflowError("inner products beyond 64 bits")
     return a @ b.T
 
 
@@ -129,68 +144,131 @@ def _ints(raw: bytes, *dims: int) -> np.ndarray:
     return np.frombuffer(raw, np.int64).reshape(dims)
 
 
-def build_shards(rows: DataFrame, shards: int) -> DataFrame:
-    """(dim, shard, ids, rows): the vectors of a shard, in the order of its tree's leaves."""
+def in_cells(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    """rows with the number of the pivot (dim, v) of their length that they are most alike."""
+    by_dim: dict[int, list] = {}
+    for r in pivots.collect():  # at most PIVOTS
+        by_dim.setdefault(r["dim"], []).append(r["v"])
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    shared = rows.sparkSession.sparkContext.broadcast({d: unit(np.array(v, np.float64)) for d, v in by_dim.items()})
 
-    def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        matrix = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), k[0])
-        return pd.DataFrame({"dim": [k[0]], "shard": [k[1]], "ids": [_pack(pdf["vec_id"].to_numpy())], "rows": [_pack(matrix)]})
+    @F.pandas_udf("int")
+    def cell(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for vectors in parts:
+            out = np.zeros(len(vectors), np.int32)
+            dims = vectors.map(len).to_numpy()
+            for d in np.unique(dims):
+                if d in shared.value:
+                    at = np.flatnonzero(dims == d)
+                    out[at] = (np.array(vectors.iloc[at].tolist(), np.float64) @ shared.value[d].T).argmax(1)
+            yield pd.Series(out)
 
-    return rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("dim", "shard").applyInPandas(one, "dim int, shard int, ids binary, rows binary")
+    return rows.withColumn("cell", cell("v"))
 
 
-def build_blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """(dim, block, q_ids, q_rows)"""
+def packs(rows: DataFrame, rows_a_pack: int) -> DataFrame:
+    """(dim, cell, part, ids, rows, centre, radius): the vectors of a cell in parts of about rows_a_pack."""
+    parts = rows.groupBy("dim", "cell").agg(F.ceil(F.count("*") / rows_a_pack).cast("int").alias("parts"))
 
     def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id")
         matrix = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), k[0])
-        return pd.DataFrame({"dim": [k[0]], "block": [k[1]], "q_ids": [_pack(pdf["vec_id"].to_numpy())], "q_rows": [_pack(matrix)]})
-
-    return queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")).groupBy("dim", "block").applyInPandas(one, "dim int, block int, q_ids binary, q_rows binary")
-
-
-def _search(cells: DataFrame, k: int) -> DataFrame:
-    """cells: a block and a shard each, sorted by shard so that a tree is built once for all blocks that meet it; floors
-    (query id, kth score) pairs from earlier rounds, or null."""
+        centre = matrix.mean(0)
+        radius = np.linalg.norm(matrix - centre, axis=1).max()
+        return pd.DataFrame({"dim": [k[0]], "cell": [k[1]], "part": [k[2]], "ids": [_pack(pdf["vec_id"].to_numpy())], "rows": [_pack(matrix)], "centre": [centre.tolist()], "radius": [float(radius)]})
+
+    dealt = rows.join(F.broadcast(parts), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
+    return dealt.groupBy("dim", "cell", "part").applyInPandas(one, "dim int, cell int, part int, ids binary, rows binary, centre array<double>, radius double")
+
+
+def cells_of(blocks: DataFrame, shards: DataFrame) -> DataFrame:
+    """(dim, block, shard, bound, place): each block with each shard of its length, and the place of the shard for it by its
+    bound: no inner product of a query of the block and a vector of the shard is higher."""
+    dot = F.aggregate(F.zip_with("qc", "c", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    q = blocks.select("dim", "block", F.col("centre").alias("qc"), F.col("radius").alias("qr"), size("centre").alias("qs"))
+    s = shards.select("dim", "shard", F.col("centre").alias("c"), F.col("radius").alias("r"), size("centre").alias("cs"))
+    bound = dot + F.col("qs") * F.col("r") + F.col("qr") * (F.col("cs") + F.col("r"))
+    both = q.join(s, "dim").select("dim", "block", "shard", (bound + F.abs(bound) * 1e-9 + 0.5).alias("bound"))
+    return both.withColumn("place", F.row_number().over(W.partitionBy("dim", "block").orderBy(F.desc("bound"), "shard")))
+
+
+def _search(cells: DataFrame, blocks: DataFrame, shards: DataFrame, floors: DataFrame | None, k: int) -> DataFrame:
+    """Results for cells (dim, block, shard), from floors (query_id, kth) on. A shard comes before the blocks it meets, in
+    each of the parts that these are dealt out to."""
+    sent = cells.join(blocks.select("dim", "block", "ids", "rows"), ["dim", "block"])
+    if floors is None:
+        sent = sent.withColumn("floors", F.lit(None).cast("array<struct<query_id:long,kth:long>>"))
+    else:
+        sent = sent.join(floors, ["dim", "block"], "left")
+    sent = sent.withColumns({"salt": F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int"), "is_block": F.lit(1)})
+    used = sent.select("dim", "shard", "salt").distinct()
+    trees = used.join(shards.select("dim", "shard", "ids", "rows"), ["dim", "shard"]).withColumns({"floors": F.lit(None).cast("array<struct<query_id:long,kth:long>>"), "is_block": F.lit(0)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, tree = None, None
+        tree = None
         for b in batches:
             for r in b.itertuples(index=False):
-                if (r.dim, r.shard) != last:
-                    ids = _ints(r.ids, -1)
-                    last, tree = (r.dim, r.shard), BallTree(ids, _ints(r.rows, len(ids), r.dim))
-                q = _ints(r.q_ids, -1)
-                floor = np.full(len(q), np.iinfo(np.int64).min, np.int64)
-                if r.floors is not None:
-                    known = {x["query_id"]: x["kth"] for x in r.floors}
-                    floor = np.array([known.get(x, floor[0]) for x in q.tolist()], np.int64)
-                found, scores = tree.search(q, _ints(r.q_rows, len(q), r.dim), k, floor)
+                ids = _ints(r.ids, -1)
+                rows = _ints(r.rows, len(ids), r.dim)
+                if not r.is_block:
+                    tree = BallTree(ids, rows)
+                    continue
+                least = np.iinfo(np.int64).min
+                known = {x["query_id"]: x["kth"] for x in r.floors} if r.floors is not None else {}
+                floor = np.array([known.get(x, least) for x in ids.tolist()], np.int64)
+                found, scores = tree.search(ids, rows, k, floor)
                 at, col = np.nonzero(found != -1)
-                yield pd.DataFrame({"query_id": q[at], "vec_id": found[at, col], "score": scores[at, col]})
-
-    names = ["dim", "shard", "ids", "rows", "q_ids", "q_rows", "floors"]
-    return cells.sortWithinPartitions("dim", "shard").select(*names).mapInPandas(run, _FOUND)
-
-
-def top_k(vectors: DataFrame, queries: Column, k: int = K, rows_a_shard: int = ROWS_A_SHARD) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each vector for which queries holds, its k highest inner products."""
-    rows = stored(quantized(vectors), "vectors")
-    asked = rows.filter(queries)
-    shards, blocks = -(-rows.count() // rows_a_shard) or 1, -(-asked.count() // QUERIES_A_BLOCK) or 1
-    trees, packs = stored(build_shards(rows, shards), "shards"), stored(build_blocks(asked, blocks), "blocks")
-    here = packs.join(trees.groupBy("dim").agg(F.sort_array(F.collect_list("shard")).alias("all_shards")), "dim")
-    first = F.element_at("all_shards", F.pmod(F.col("block"), F.size("all_shards")) + 1)
-    one = here.withColumn("shard", first).withColumn("floors", F.lit(None).cast("array<struct<query_id:long,kth:long>>"))
-    begun = stored(_search(one.join(trees, ["dim", "shard"]), k), "round-1")
-    kth = begun.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).filter(F.col("n") >= k)
-    at = asked.select(F.col("vec_id").alias("query_id"), "dim", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
-    floors = at.join(kth, "query_id").groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "kth")).alias("floors"))
-    rest = here.withColumn("shard", F.explode("all_shards")).filter(F.col("shard") != first).join(floors, ["dim", "block"], "left")
-    found = begun.unionByName(_search(rest.join(trees, ["dim", "shard"]), k))
+                yield pd.DataFrame({"query_id": ids[at], "vec_id": found[at, col], "score": scores[at, col]})
+
+    names = ["dim", "shard", "salt", "is_block", "ids", "rows", "floors"]
+    both = trees.select(*names).unionByName(sent.select(*names)).repartition("dim", "shard", "salt")
+    return both.sortWithinPartitions("dim", "shard", "salt", "is_block").mapInPandas(run, _FOUND)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def top_k(vectors: DataFrame, queries: Column, k: int = K, rows_a_shard: int = ROWS_A_SHARD, counts: dict | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each vector for which queries holds, its k highest inner products. counts: gets
+    the number of pairs of block and shard, and of those searched."""
+    usable = stored(quantized(vectors), "vectors")
+    pivots = usable.select("dim", "v", F.xxhash64("vec_id", F.lit(2)).alias("at")).orderBy("at", "v").limit(PIVOTS)
+    rows = stored(in_cells(usable, stored(pivots, "pivots")), "cells")
+    numbered = lambda df, name: stored(stored(df, name).withColumn(name, F.monotonically_increasing_id()), name)
+    shards = numbered(packs(rows, rows_a_shard), "shard")
+    blocks = numbered(packs(rows.filter(queries), QUERIES_A_BLOCK), "block")
+    of_block = stored(blocks.select("dim", "block", F.explode(_ids("ids")).alias("query_id")), "queries")
+    cells = stored(cells_of(blocks, shards), "bounds")
+    found, done, searched = None, 0, 0
+    for n in ROUNDS:
+        now, floors = cells.filter(F.col("place") > done), None
+        if found is not None:
+            kth = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
+            held = of_block.join(kth, "query_id", "left").groupBy("dim", "block").agg(
+                F.min(F.when(F.col("n") >= k, F.col("kth")).otherwise(F.lit(-(2**63)))).alias("least"),
+                F.collect_list(F.when(F.col("n") >= k, F.struct("query_id", "kth"))).alias("floors"),
+            )
+            held = stored(held, "floors")
+            now = now.join(held.select("dim", "block", "least"), ["dim", "block"]).filter(F.col("bound") >= F.col("least"))
+            floors = held.select("dim", "block", "floors")
+        if n is not None:
+            now = now.filter(F.col("place") <= done + n)
+            done += n
+        now = stored(now.select("dim", "block", "shard"), "round")
+        if counts is not None:
+            searched += now.count()
+            counts.update(pairs=cells.count(), searched=searched)
+        more = _search(now, blocks, shards, floors, k)
+        found = stored(_best(more if found is None else found.drop("rank").unionByName(more), k), "found")
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _ids(packed: pd.Series) -> pd.Series:
+    return packed.map(lambda raw: np.frombuffer(raw, np.int64))
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +278,7 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = {
     "op9_exact_topk": """
 WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),

@@ -10,7 +10,7 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 def brute(rows, k=5):
     from math import floor, isfinite
 
-    kept = sorted({(i, tuple(floor(256 * float(np.float32(x))) for x in v)) for i, v, _ in rows if i is not None and v is not None and all(x is not None and isfinite(x) for x in v)})
+    kept = sorted({(i, tuple(floor(256 * float(np.float32(x))) for x in v)) for i, v, _ in rows if i is not None and v and all(x is not None and isfinite(x) for x in v)})
     out = []
     for q, v in kept:
         if q % 50 == 0:
@@ -30,7 +30,7 @@ def test_against_brute_force(spark, monkeypatch, rows_a_shard):
     centres = rng.standard_normal((6, 8))
     rows = [(i, (centres[i % 6] + 0.2 * rng.standard_normal(8)).astype(np.float32).tolist(), 0) for i in range(320)]
     rows += [(400 + i, rows[0][1], 1) for i in range(9)] + [rows[7], (None, rows[1][1], 0), (600, None, 0), (601, [1.0, None] * 4, 0), (602, [float("nan")] * 8, 0), (603, [float("inf")] * 8, 0)]
-    rows += [(650, [1.0, 2.0], 0), (651, [0.5, -2.0], 0), (700, [0.0] * 8, 0)]
+    rows += [(604, [], 0), (650, [1.0, 2.0], 0), (651, [0.5, -2.0], 0), (700, [0.0] * 8, 0)]
     assert run(spark, rows, rows_a_shard=rows_a_shard) == brute(rows)
 
 
@@ -54,3 +54,20 @@ def test_branch_and_bound_leaves_nodes_out():
     assert sum(seen) < len(rows) / 4
     want = sorted((-int(s), i) for i, s in enumerate(rows @ rows[0]))[:5]
     assert [(-int(s), int(i)) for i, s in zip(ids[0], scores[0], strict=True)] == want
+
+
+def test_far_shards_are_never_sent(spark, monkeypatch):
+    monkeypatch.setattr(K, "QUERIES_A_BLOCK", 4)
+    rng = np.random.default_rng(5)
+    centres = 20 * rng.standard_normal((12, 6))
+    rows = [(i, (centres[i % 12] + 0.05 * rng.standard_normal(6)).astype(np.float32).tolist(), 0) for i in range(1200)]
+    counts = {}
+    assert run(spark, rows, rows_a_shard=40, counts=counts) == brute(rows)
+    assert counts["searched"] < counts["pairs"] / 3
+
+
+def test_sums_beyond_64_bits_are_an_error():
+    big = np.full((1, 4), 2**31, np.int64)
+    with pytest.raises(OverflowError):
+        K._dot(big, big)
+    assert K._dot(big[:, :1], big[:, :1])[0, 0] == 2**62
