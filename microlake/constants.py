@@ -116,6 +116,10 @@ OLD_SHEETS = {
     "bairros_rj": "bairro_rj", "distritos_sp": "distrito_sp", "regioes_adm_df": "reg_adm_df",
 }
 
+# Workbooks of the census tables, and their layout sheets.
+CENSUS_WORKBOOKS = {"rais_vinc": "rais_vinculos_layout2020", "rais_estab": "rais_estabelecimento_layout2018e2019"}
+CENSUS_LAYOUT_SHEETS = {"rais_vinc": "raisd_layout", "rais_estab": "estb_layout"}
+
 # Fields of the census layout sheets, and sheets with their columns (code, description) for others.
 CENSUS_LINK_FIELDS = {
     "causa_afastamento_1": "CAUS AFAST 1", "causa_afastamento_2": "CAUS AFAST 2", "causa_afastamento_3": "CAUS AFAST 3",

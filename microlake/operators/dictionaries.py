@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -101,7 +103,8 @@ def dictionary(sheet: DataFrame, style: str, **where: str) -> DataFrame | None:
 
 
 def manual_map(table: str) -> dict[str, dict[str, str]]:
-    """Column: style, sheet and place of its dictionary, for the tables whose sheets are not named like their columns."""
+    """Column: style, workbook (planilha; none: any), sheet and place of its dictionary, for the tables whose sheets are not
+    named like their columns."""
     if table in C.OLD_TABLES:
         found = {c: {"estilo": "colon", "aba": s} for c, s in C.OLD_SHEETS.items()}
         found |= {c: {"estilo": "colon_coluna", "aba": "outros", "coluna": k} for k, c in C.SIDE_BY_SIDE.items()}
@@ -110,9 +113,28 @@ def manual_map(table: str) -> dict[str, dict[str, str]]:
         return {}
     links = table == "rais_vinc"
     fields, lists, pairs = (C.CENSUS_LINK_FIELDS, C.CENSUS_LINK_LISTS, C.CENSUS_LINK_PAIRS) if links else (C.CENSUS_ESTAB_FIELDS, C.CENSUS_ESTAB_LISTS, C.CENSUS_ESTAB_PAIRS)
-    found = {c: {"estilo": "cagestid", "aba": "raisd_layout" if links else "estb_layout", "campo": f} for c, f in fields.items()}
-    found |= {c: {"estilo": "colon", "aba": s} for c, s in lists.items()}
-    return found | {c: {"estilo": "titulo_codigo", "aba": s, "col_cod": code, "col_desc": text} for c, (s, code, text) in pairs.items()}
+    book = {"planilha": C.CENSUS_WORKBOOKS[table]}
+    found = {c: {"estilo": "cagestid", "aba": C.CENSUS_LAYOUT_SHEETS[table], "campo": f} | book for c, f in fields.items()}
+    found |= {c: {"estilo": "colon", "aba": s} | book for c, s in lists.items()}
+    return found | {c: {"estilo": "titulo_codigo", "aba": s, "col_cod": code, "col_desc": text} | book for c, (s, code, text) in pairs.items()}
+
+
+def dictionaries_of(table: str, columns: list[str], load: Callable[[str | None, str], DataFrame | None]) -> dict[str, DataFrame]:
+    """Dictionaries of a table's columns by its map. load gives a workbook's sheet, or None; a column whose sheet is not there,
+    cannot be read or has no rows for it stays untranslated."""
+    found = {}
+    for c, m in manual_map(table).items():
+        if c not in columns:
+            continue
+        where = {k: v for k, v in m.items() if k not in ("estilo", "aba", "planilha")}
+        try:
+            sheet = load(m.get("planilha"), m["aba"])
+            book = None if sheet is None else dictionary(sheet, m["estilo"], **where)
+        except (AnalysisException, Py4JJavaError):
+            continue
+        if book is not None:
+            found[c] = book
+    return found
 
 
 def translation_map(table: str, columns: list[str], sheets: set[str]) -> dict[str, dict[str, str]]:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
 
+_SCHEME = r"^[A-Za-z0-9+.-]+:/+"
 _END = r"\.(?:7z|zip)$"
+# The names of the archive's files.
 #: Tried in this order: (pattern, table, group of the year, group of the month, group of the slice). Group 0: the folder's
 #: year; a table in braces takes the group in lower case.
 _FILES = (
@@ -44,16 +48,17 @@ def classify_files(files: DataFrame, name: str = "nome_arquivo", folder_year: Co
     return files.withColumn("_f", out).select("*", "_f.*").drop("_f")
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, extensions: tuple[str, ...] = C.ARCHIVES, skipped: tuple[str, ...] = C.SKIPPED_FOLDERS) -> DataFrame:
     """(caminho_remoto, nome_arquivo, tamanho, parcial, ano_pasta, dataset) of the archives below root; folders to be skipped
     don't count. The year and the word parcial are inherited from the deepest, and from any, folder."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    return inventory_of(found.select(F.col("path"), F.col("length")), root)
+    return inventory_of(found, root, extensions, skipped)
 
 
-def inventory_of(paths: DataFrame, root: str = "") -> DataFrame:
+def inventory_of(paths: DataFrame, root: str = "", extensions: tuple[str, ...] = C.ARCHIVES, skipped: tuple[str, ...] = C.SKIPPED_FOLDERS) -> DataFrame:
     """file_inventory for a table (path, length)."""
-    below = F.regexp_replace(F.col("path"), "^.*?" + _quoted(root.rstrip("/") + "/") if root else "^$", "")
+    plain = re.sub(_SCHEME, "/", root).rstrip("/") + "/"  # the same path may be written with one slash or three
+    below = F.regexp_replace(F.regexp_replace("path", _SCHEME, "/"), "^.*?" + _quoted(plain) if root else "^$", "")
     parts = F.split(below, "/")
     folders = F.slice(parts, 1, F.size(parts) - 1)
     years = F.filter(F.transform(folders, lambda x: F.regexp_extract(x, r"(\d{4})", 1)), lambda y: y != "")
@@ -62,8 +67,8 @@ def inventory_of(paths: DataFrame, root: str = "") -> DataFrame:
         F.exists(folders, lambda x: F.lower(x).contains("parcial")).alias("parcial"), F.try_element_at(years, F.lit(-1)).cast("int").alias("ano_pasta"),
         F.when(F.size(folders) > 0, F.element_at(parts, 1)).alias("dataset"), folders.alias("_folders"),
     )
-    skipped = F.exists("_folders", lambda x: F.lower(F.trim(x)).isin(*C.SKIPPED_FOLDERS))
-    return out.filter(F.lower("nome_arquivo").rlike(r"\.(?:%s)$" % "|".join(C.ARCHIVES)) & ~skipped).drop("_folders")
+    passed = F.exists("_folders", lambda x: F.lower(F.trim(x)).isin(*skipped))
+    return out.filter(F.lower("nome_arquivo").rlike(r"\.(?:%s)$" % "|".join(extensions)) & ~passed).drop("_folders")
 
 
 def _quoted(text: str) -> str:
@@ -122,8 +127,9 @@ def latest_per_key(ledger: DataFrame, keys: tuple[str, ...] = ("tabela", "arquiv
 
 
 def volume(current: DataFrame) -> DataFrame:
-    """Rows by table over items that went well, and the total (tabela null)."""
-    return current.filter("status = 'ok'").rollup("tabela").agg(F.sum("linhas").alias("linhas"), F.count("*").alias("itens"))
+    """Rows and bytes by table over items that went well, and the total (tabela null)."""
+    out = [F.sum("linhas").alias("linhas"), F.sum("bytes_compactado").alias("bytes"), F.count("*").alias("itens")]
+    return current.filter("status = 'ok'").rollup("tabela").agg(*out)
 
 
 def status(current: DataFrame) -> DataFrame:
@@ -177,12 +183,13 @@ def missing_months(months: DataFrame, month: str) -> DataFrame:
 
 def coverage(periods: DataFrame) -> DataFrame:
     """inicio, fim, presentes, faltando of (ano, mes) rows: by month if any row has one, else by year. Only gaps inside
-    count."""
+    count. Without any period there is one row, with none present."""
     known = periods.filter("ano IS NOT NULL").distinct()
     monthly = F.max(F.col("mes").isNotNull())
     number = F.col("ano") * 12 + F.col("mes") - 1
     both = known.agg(monthly.alias("monthly"), F.array_sort(F.collect_set(number)).alias("months"), F.array_sort(F.collect_set(F.when(F.col("mes").isNull(), F.col("ano")))).alias("years"))
-    have = both.select("monthly", F.when(F.col("monthly"), F.col("months")).otherwise(F.col("years")).alias("have")).filter(F.size("have") > 0)
+    have = both.select("monthly", F.when(F.col("monthly"), F.col("months")).otherwise(F.col("years")).alias("have"))
     label = lambda x: F.when(F.col("monthly"), F.concat(F.floor(x / 12).cast("string"), F.lit("-"), F.lpad((x % 12 + 1).cast("string"), 2, "0"))).otherwise(x.cast("string"))
-    gaps = F.array_except(F.sequence(F.element_at("have", 1), F.element_at("have", -1)), "have")
-    return have.select(label(F.element_at("have", 1)).alias("inicio"), label(F.element_at("have", -1)).alias("fim"), F.size("have").alias("presentes"), F.transform(F.array_sort(gaps), label).alias("faltando"))
+    first, last = F.try_element_at("have", F.lit(1)), F.try_element_at("have", F.lit(-1))
+    gaps = F.when(F.size("have") > 0, F.array_except(F.sequence(first, last), "have")).otherwise(F.col("have"))
+    return have.select(label(first).alias("inicio"), label(last).alias("fim"), F.size("have").alias("presentes"), F.transform(F.array_sort(gaps), label).alias("faltando"))

@@ -73,13 +73,6 @@ def read_root(spark: SparkSession, root: str, merge: bool = False) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge).parquet(root)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table in a few small files would be read, and worked on, by as few tasks; such a one is dealt out by a key. Tables of
-    many files are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) * 2 < cores else df
-
-
 def read_hive(spark: SparkSession, root: str) -> DataFrame:
     """Parquet files with columns from folder names, by which Spark prunes."""
     return spark.read.parquet(root)

@@ -5,16 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder named by spark.checkpoint.dir; where that is unset (tests, one machine), below a
-    temporary one."""
+    """A new path below the shared folder named by spark.checkpoint.dir; where that is unset on one machine (tests), below
+    a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{label}-{uuid.uuid4().hex}"
@@ -41,6 +43,20 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     _writer(dealt, BRONZE_ROWS).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def write_silver_per_file(silver: DataFrame, path: str, file: str = "arquivo_fonte") -> None:
+    """The silver of each bronze file in a folder of its own, so that a run that was stopped goes on with the files that are
+    left (see files_done), and a file that is built again replaces just its own."""
+    write_partitioned(silver, path, [file])
+
+
+def files_done(spark: SparkSession, path: str, file: str = "arquivo_fonte") -> DataFrame | None:
+    """(file) of the bronze files whose silver is there; None before the first run."""
+    try:
+        return spark.read.parquet(path).select(file).distinct()
+    except AnalysisException:
+        return None
+
+
 def write_sorted(df: DataFrame, path: str, by: str | None, files: int | None = None) -> None:
     """Sorted by a column over all files, so that readers skip row groups; unsorted if the column isn't there. files: a
     fixed number of them, for small tables."""

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from ..functions.columns import clean_text_columns
 from ..operators.ledger import latest_per_key
 
+#: Versions of a state from one that holds all items to the next.
+WHOLE = 20
+
 
 def ingest_new(spark: SparkSession, landing: str, schema: T.StructType, out: str, checkpoint: str, fmt: str = "csv", **options: str) -> None:
     """Cleans new files of landing (text columns of schema) and appends them to out, with arquivo_fonte and data_ingestao."""
@@ -20,18 +23,30 @@ def ingest_new(spark: SparkSession, landing: str, schema: T.StructType, out: str
 
 
 def keep_current(spark: SparkSession, ledger: str, schema: T.StructType, state: str, checkpoint: str) -> None:
-    """Keeps the last row of each item of an append-only ledger as a table, a new version for each batch; latest() reads it.
-    A batch that runs again after a failure writes the same version."""
+    """Keeps the last row of each item of an append-only ledger. A batch writes just the items that it has, as a version, and
+    every WHOLE-th version holds all items; latest() reads the versions from the last whole one on. A version counts once
+    it is marked as ended, and a batch that runs again after a failure writes the same one."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        both = batch if number == 0 else batch.unionByName(spark.read.parquet(f"{state}/v={number - 1}"))
-        latest_per_key(both).write.mode("overwrite").parquet(f"{state}/v={number}")
+        rows = batch.unionByName(_rows(spark, state, number - 1)) if _is_whole(number) else batch
+        latest_per_key(rows).write.mode("overwrite").parquet(f"{state}/rows/v={number}")
+        spark.range(1).write.mode("overwrite").parquet(f"{state}/done/n={number}")
 
     rows = spark.readStream.schema(schema).parquet(ledger)
     rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _is_whole(number: int) -> bool:
+    return number % WHOLE == WHOLE - 1
+
+
+def _rows(spark: SparkSession, state: str, last: int) -> DataFrame:
+    """Rows of the ended versions up to last, from the last whole one on."""
+    ended = spark.read.parquet(f"{state}/done").filter(F.col("n") <= last).select("n").distinct()
+    numbers = sorted(r["n"] for r in ended.collect())  # a number for each batch
+    first = max((n for n in numbers if _is_whole(n)), default=0)
+    return spark.read.parquet(f"{state}/rows").filter(F.col("v").isin([n for n in numbers if n >= first])).drop("v")
+
+
 def latest(spark: SparkSession, state: str) -> DataFrame:
-    versions = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(state)
-    n = versions.agg(F.max(F.regexp_extract("path", r"/v=(\d+)/", 1).cast("int"))).first()[0]
-    return spark.read.parquet(f"{state}/v={n}")
+    return latest_per_key(_rows(spark, state, 2**31 - 1))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from microlake import constants as C
 from microlake.operators import dictionaries as D
 from microlake.operators import silver as S
+from microlake.sources import files
 
 
 def pairs(df):
@@ -52,6 +53,17 @@ def test_maps():
     assert D.manual_map("unknown") == {}
 
 
+def test_books_come_from_their_workbook_and_unreadable_sheets_are_passed_over(spark, tmp_path):
+    mine, other = C.CENSUS_WORKBOOKS["rais_vinc"], "rais_vinculos_layout2012"
+    for book, word in ((mine, "right"), (other, "wrong")):
+        spark.createDataFrame([(f"1:{word}",)], "col_00 string").write.parquet(files.sheet_path(str(tmp_path), "rais_layouts", "municipio", book))
+    (tmp_path / "rais_layouts" / mine / "ocupacao.parquet").write_text("no parquet")
+    load = lambda book, sheet: spark.read.parquet(files.sheet_path(str(tmp_path), "rais_layouts", sheet, book))
+    found = D.dictionaries_of("rais_vinc", ["municipio", "cbo_ocupacao_2002", "sexo_trabalhador", "idade"], load)
+    assert {c: b.first()["descricao"] for c, b in found.items()} == {"municipio": "right"}
+    assert all(m["planilha"] == C.CENSUS_WORKBOOKS[t] for t in C.CENSUS_TABLES for m in D.manual_map(t).values())
+
+
 def test_sheet_rows(spark):
     raw = spark.createDataFrame([("a", None, "nan"), (None, None, "NaT"), ("b", None, "c")], "x string, y string, z string")
     out = D.sheet_rows(raw, "aba", "livro")

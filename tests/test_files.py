@@ -1,8 +1,12 @@
+import datetime as dt
+import shutil
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from microlake.operators import gold as G
+from microlake.plans import lake
 from microlake.sources import files, sinks
 from microlake.streaming import ingest
 
@@ -45,6 +49,41 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     assert sorted((r["ano"], r["x"]) for r in files.read_hive(spark, out).collect()) == [(1, "a"), (2, "c")]
 
 
+def test_silver_per_file_goes_on_where_it_was_stopped(spark, tmp_path):
+    out, rows = str(tmp_path / "k2"), spark.createDataFrame([("f1", 1), ("f1", 2), ("f2", 3)], "arquivo_fonte string, x int")
+    assert sinks.files_done(spark, out) is None
+    sinks.write_silver_per_file(rows.filter("arquivo_fonte = 'f1'"), out)
+    left = rows.join(sinks.files_done(spark, out), "arquivo_fonte", "left_anti")
+    assert [r["x"] for r in left.collect()] == [3]
+    sinks.write_silver_per_file(left, out)
+    sinks.write_silver_per_file(rows.filter("x = 1"), out)  # a file built again replaces its own
+    assert sorted((r["arquivo_fonte"], r["x"]) for r in spark.read.parquet(out).collect()) == [("f1", 1), ("f2", 3)]
+
+
+def test_layers_are_built_once_and_again_when_they_are_gone(spark, tmp_path):
+    made = []
+    get = lambda: lake.built(spark, "d", "test", lambda path: (made.append(path), spark.range(3).write.parquet(path)))
+    assert get().count() == get().count() == 3 and len(made) == 1
+    shutil.rmtree(made[0].removeprefix("file://"))
+    assert get().count() == 3 and len(made) == 2
+    lake.forget(spark)
+    assert get().count() == 3 and len(made) == 3
+
+
+def test_a_state_is_read_without_versions_that_did_not_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "WHOLE", 3)
+    schema = "tabela string, arquivo_fonte string, seq long, data_hora timestamp, status string"
+    state, log, check = (str(tmp_path / x) for x in ("state", "log", "check"))
+    for n in range(5):
+        rows = [("a", f"f{k}", n, dt.datetime(2024, 1, 1 + n), "ok") for k in (0, n)]
+        spark.createDataFrame(rows, schema).dropDuplicates().write.mode("append").parquet(log)
+        ingest.keep_current(spark, log, spark.createDataFrame([], schema).schema, state, check)
+    want = [("f0", 4), ("f1", 1), ("f2", 2), ("f3", 3), ("f4", 4)]
+    assert sorted((r["arquivo_fonte"], r["seq"]) for r in ingest.latest(spark, state).collect()) == want
+    spark.createDataFrame([("a", "f0", 9, dt.datetime(2025, 1, 1), "erro")], schema).write.parquet(f"{state}/rows/v=5")  # its batch was stopped
+    assert sorted((r["arquivo_fonte"], r["seq"]) for r in ingest.latest(spark, state).collect()) == want
+
+
 def test_fallback(spark, tmp_path):
     spark.range(0).write.parquet(str(tmp_path / "none"))
     spark.range(2).write.parquet(str(tmp_path / "some"))

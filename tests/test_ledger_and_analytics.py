@@ -25,12 +25,20 @@ def test_inventory(spark):
     assert got == [("A.ZIP", 2002, False, "CAGED"), ("SP.7z", 2019, True, "RAIS")]
 
 
+def test_inventory_of_a_folder_by_any_way_to_write_it(spark, tmp_path):
+    for folder in ("caged/2001 Parcial", "caged/Legado/2002"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "CAGEDMOV200101.7z").write_text("x")
+    for root in (f"{tmp_path}", f"file:{tmp_path}/", f"file://{tmp_path}"):
+        assert [(r["dataset"], r["ano_pasta"], r["parcial"], r["tamanho"]) for r in L.file_inventory(spark, root).collect()] == [("caged", 2001, True, 1)]
+
+
 def test_coverage(spark):
     months = spark.createDataFrame([(2020, 1), (2020, 2), (2020, 5), (2020, 5)], "ano int, mes int")
     assert tuple(L.coverage(months).first()) == ("2020-01", "2020-05", 3, ["2020-03", "2020-04"])
     years = spark.createDataFrame([(2018, None), (2020, None)], "ano int, mes int")
     assert tuple(L.coverage(years).first()) == ("2018", "2020", 2, ["2019"])
-    assert L.coverage(months.limit(0)).count() == 0
+    assert tuple(L.coverage(months.limit(0)).first()) == (None, None, 0, [])
 
 
 def test_latest_row_of_one_second(spark):
