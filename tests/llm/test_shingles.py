@@ -70,10 +70,14 @@ def test_large_groups_are_split(docs_of, monkeypatch):
 
     rng = random.Random(9)
     words = [f"w{i}" for i in range(300)]
-    texts = [" ".join(w if rng.random() > 0.003 else f"x{rng.randrange(99)}" for w in words) for _ in range(90)]
+    texts = [" ".join(w if rng.random() > rng.choice([0.003, 0.02]) else f"x{rng.randrange(99)}" for w in words) for _ in range(90)]
+    want = brute_components(texts)
+    assert len(set(want)) > 3
     whole = {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()}
+    assert sum(whole[i] == c for i, c in enumerate(want)) > 80
     monkeypatch.setattr(simhash, "LARGE_GROUP", 16)
     monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(S, "BLOCK", 4)
     assert {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()} == whole
 
 
