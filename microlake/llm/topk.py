@@ -36,7 +36,7 @@ SCALE = 256
 ROWS_A_SHARD = 8192
 QUERIES_A_BLOCK = 512
 LEAF = 128
-#: Vectors at most that the cells of shards are made from.
+#: Pivots at most; fewer vectors have one for each shard.
 PIVOTS = 512
 #: Shards, in order of their bound, that a block searches in each round; all that are left in the last.
 ROUNDS = (1, 4, None)
@@ -235,7 +235,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, rows_a_shard: int = R
     """(query_id, rank, vec_id, score): for each vector for which queries holds, its k highest inner products. counts: gets
     the number of pairs of block and shard, and of those searched."""
     usable = stored(quantized(vectors), "vectors")
-    pivots = usable.select("dim", "v", F.xxhash64("vec_id", F.lit(2)).alias("at")).orderBy("at", "v").limit(PIVOTS)
+    cells_wanted = max(1, min(PIVOTS, usable.count() // rows_a_shard))
+    pivots = usable.select("dim", "v", F.xxhash64("vec_id", F.lit(2)).alias("at")).orderBy("at", "v").limit(cells_wanted)
     rows = stored(in_cells(usable, stored(pivots, "pivots")), "cells")
     numbered = lambda df, name: stored(stored(df, name).withColumn(name, F.monotonically_increasing_id()), name)
     shards = numbered(packs(rows, rows_a_shard), "shard")
