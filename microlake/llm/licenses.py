@@ -2,7 +2,7 @@
 
 A rule is a regular expression over the text's lower-cased words, joined by single spaces, with a label, a priority and
 the keywords one of which must occur for it to be tried; an Aho-Corasick automaton finds all keywords of a text in one
-pass, so most of the several hundred expressions never run on it. Detections that lie inside one of higher priority, or
+pass, so most of the many hundred expressions, of which some 250 are single ones, never run on it. Detections that lie inside one of higher priority, or
 of equal priority and greater length, are suppressed. The labels of the base phrases always stay.
 
 Defined cases: null and empty texts have no words, no labels (an empty string) and score 0; rows that repeat get the same
@@ -159,6 +159,192 @@ proprietary | 52 | prohibited | unauthorized (?:copying|reproduction|distributio
 free-use | 30 | freely | may be freely (?:distributed|copied|used)(?: and (?:distributed|copied|modified|used))*
 share-alike | 30 | alike | share ?alike
 non-commercial | 30 | commercial | for non ?commercial use only
+mit | 57 | noninfringement | the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement
+mit | 56 | sublicense | to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software
+mit | 48 | mit | (?:released|licensed|distributed|available|published) under (?:the )?(?:terms of the )?mit
+mit | 46 | mit | spdx license identifier mit
+mit | 44 | mit | license mit
+mit-modern | 60 | modern | mit license modern variant
+mit-advertising | 60 | enlightenment | mit enlightenment (?:license|advertising)
+bsd-2-clause | 54 | retain | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+bsd-2-clause | 53 | reproduce | redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer
+bsd-2-clause-patent | 62 | patent | bsd 2 clause plus patent license
+bsd-3-clause-clear | 62 | clear | (?:the )?clear bsd license
+bsd-3-clause-lbnl | 62 | lawrence | lawrence berkeley national labs bsd variant license
+bsd-4-clause | 59 | acknowledgement | this product includes software developed by .{1,60}? acknowledgement
+bsd-protection | 62 | protection | bsd protection license
+bsd-source-code | 62 | attribution | bsd source code attribution
+bsd | 35 | bsd | (?:released|licensed|distributed|available) under (?:the |a )?bsd
+0bsd | 56 | 0bsd | (?:license )?0bsd
+isc | 50 | isc | (?:released|licensed|distributed) under (?:the )?isc
+isc | 48 | isc | spdx license identifier isc
+apache | 45 | apache | (?:released|licensed|distributed|available) under (?:the )?(?:terms of the )?apache
+apache-2.0 | 66 | apache | licensed under the apache license version 2 0 the license
+apache-2.0 | 64 | limitations | see the license for the specific language governing permissions and limitations under the license
+apache-2.0 | 64 | compliance | you may not use this file except in compliance with the license
+apache-2.0 | 65 | apache | http www apache org licenses license 2 0
+apache-2.0 | 58 | apache2|asl | (?:apache2|asl ?2 0)
+gpl | 45 | gpl | (?:released|licensed|distributed|available|free software) under (?:the )?(?:terms of the )?(?:gnu )?gpl
+gpl | 42 | warranty | this program is distributed in the hope that it will be useful but without any warranty
+gpl | 43 | franklin | write to the free software foundation inc (?:51|59) .{1,40}? franklin
+gpl-2 | 63 | gplv2 | (?:gnu )?gplv2
+gpl-3 | 63 | gplv3 | (?:gnu )?gplv3
+gpl-2-or-later | 67 | gplv2 | (?:gnu )?gplv2 (?:plus|or later)
+gpl-3-or-later | 67 | gplv3 | (?:gnu )?gplv3 (?:plus|or later)
+gpl | 41 | gnu | www gnu org licenses gpl(?: 2 0| 3 0)?(?: html| txt)?
+lgpl | 41 | gnu | www gnu org licenses lgpl(?: 2 1| 3 0)?(?: html| txt)?
+agpl | 41 | gnu | www gnu org licenses agpl(?: 3 0)?(?: html| txt)?
+lgpl-2.1 | 63 | lgplv2 | (?:gnu )?lgplv2(?: 1)?
+lgpl-3 | 63 | lgplv3 | (?:gnu )?lgplv3
+agpl-3 | 63 | agplv3 | (?:gnu )?agplv3
+gpl-classpath-exception | 68 | classpath | (?:with (?:the )?)?classpath exception
+gpl-linking-exception | 68 | linking | (?:with (?:the |a )?)?(?:static |special )?linking exception
+gpl-font-exception | 68 | font | gpl font exception
+gpl-bison-exception | 68 | bison | bison exception
+gpl-autoconf-exception | 68 | autoconf | autoconf (?:configure script )?exception
+gcc-runtime-exception | 68 | gcc | gcc runtime library exception
+openssl-exception | 68 | openssl | openssl (?:linking )?exception
+llvm-exception | 68 | llvm | (?:apache 2 0 )?with llvm exceptions?
+gfdl | 47 | documentation | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
+gfdl | 44 | invariant | with no invariant sections
+mpl | 47 | mozilla | http (?:www )?mozilla org mpl
+mpl-2.0 | 66 | mpl | this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed
+epl | 47 | eclipse | https? www eclipse org (?:legal )?epl
+cddl | 46 | cddl | (?:released|licensed|distributed) under (?:the )?cddl
+cpl | 46 | cpl | (?:released|licensed|distributed) under (?:the )?cpl
+unlicense | 54 | unlicense | (?:http|https) unlicense org
+unlicense | 57 | heirs | for the benefit of the public at large and to the detriment of our heirs and successors
+cc0 | 57 | cc0 | cc0 1 0 universal public domain dedication
+cc0 | 56 | waived | has waived all copyright and related or neighboring rights
+cc0 | 54 | publicdomain | creativecommons org publicdomain zero 1 0
+cc-pdm | 54 | publicdomain | creativecommons org publicdomain mark 1 0
+cc-pdm | 52 | mark | public domain mark(?: 1 0)?
+cc-sampling | 52 | sampling | creative commons sampling(?: plus)?
+cc-devnations | 52 | developing | creative commons developing nations
+creative-commons | 25 | creative | creative commons
+public-domain | 46 | domain | (?:this|the) (?:work|file|code|text|software|document) is in the public domain
+public-domain | 46 | domain | no copyright (?:is )?(?:claimed )?public domain
+public-domain | 47 | government | work of the (?:united states|u s) government
+public-domain | 44 | expired | copyright (?:has|have) expired
+zlib | 56 | altered | altered source versions must be plainly marked as such
+zlib | 56 | commercial | permission is granted to anyone to use this software for any purpose including commercial applications
+boost | 58 | boost | distributed under the boost software license
+boost | 56 | boost | http www boost org license 1 0 txt
+python | 52 | python | python license 2 0
+python | 52 | cnri | cnri python(?: open source)? license
+artistic | 48 | perl | (?:the )?same terms as perl(?: itself)?
+artistic-perl | 50 | clarified | clarified artistic license
+php | 48 | php | (?:released|licensed) under (?:the )?php license
+openssl | 52 | ssleay | (?:original )?ssleay license
+openssl | 55 | toolkit | this product includes software developed by the openssl project for use in the openssl toolkit
+x11 | 52 | consortium | x consortium license
+x11-distribute | 54 | x11 | x11 license distribution modification variant
+ijg | 52 | jpeg | this software is based in part on the work of the independent jpeg group
+ntp | 52 | ntp | ntp license
+tcl | 52 | tcl | tcl tk license
+bzip2 | 52 | bzip2 | bzip2 (?:and libbzip2 )?license
+icu | 52 | icu | icu license
+unicode | 50 | unicode | unicode (?:license|terms of use)
+libtiff | 52 | libtiff | libtiff license
+netcdf | 52 | netcdf | netcdf license
+sqlite-blessing | 56 | forgiveness | may you find forgiveness for yourself and forgive others
+sqlite-blessing | 55 | blessing | in place of a legal notice here is a blessing
+beerware | 55 | beer | you can buy me a beer in return
+catosl | 52 | computer | computer associates trusted open source license
+condor | 52 | condor | condor public license
+cua | 52 | cua | cua office public license
+ecos | 52 | ecos | ecos license
+efl | 52 | eiffel | eiffel forum license (?:1|2)(?: 0)?
+eudatagrid | 52 | datagrid | eu datagrid software license
+frameworx | 52 | frameworx | frameworx (?:open )?license
+gust-font | 52 | gust | gust font (?:source )?license
+lucent | 52 | lucent | lucent public license
+miros | 52 | miros | (?:the )?miros licen[cs]e
+multics | 52 | multics | multics license
+nethack | 52 | nethack | nethack general public license
+nlpl | 52 | limit | no limit public license
+ngpl | 52 | nethack | nethack gpl
+noweb | 52 | noweb | noweb license
+nposl | 52 | profit | non profit open software license
+oclc | 52 | oclc | oclc research public license
+oset | 52 | oset | oset public license
+parity | 52 | parity | parity public license
+prosperity | 52 | prosperity | prosperity public license
+realnetworks | 52 | realnetworks | realnetworks public source license
+ricoh | 52 | ricoh | ricoh source code public license
+sax | 52 | sax | sax public domain notice
+sendmail | 52 | sendmail | sendmail license
+simpl | 52 | simple | simple public license
+sissl | 52 | sun | sun industry standards source license
+tmate | 52 | tmate | tmate open source license
+torque | 52 | torque | torque v2 5 software license
+unlicense-libtelnet | 52 | libtelnet | libtelnet license
+vovida | 52 | vovida | vovida software license
+vsl | 52 | vovida | vovida license
+wxwindows | 54 | wxwindows | wxwindows library licen[cs]e
+yahoo | 52 | yahoo | yahoo public license
+zimbra | 52 | zimbra | zimbra public license
+hippocratic | 52 | hippocratic | hippocratic license
+anti996 | 52 | 996 | anti 996 license
+commons-clause | 58 | commons | commons clause(?: license condition)?
+confluent | 52 | confluent | confluent community license
+cockroach | 52 | cockroach | cockroach(?:db)? community license
+mongodb | 50 | mongodb | mongodb public license
+redis-source | 52 | redis | redis source available license
+timescale | 52 | timescale | timescale license
+fair-source | 52 | fair | fair source license
+functional-source | 52 | functional | functional source license
+polyform | 50 | polyform | polyform (?:shield|strict|internal use|free trial|perimeter) license
+openrail | 56 | rail | (?:creative ml )?open ?rail(?: m| d| s)?
+llama-community | 56 | llama | llama (?:2|3|3 1|3 2) community license(?: agreement)?
+bloom-rail | 56 | bigscience | bigscience (?:bloom )?rail license
+odc-by | 52 | odc | odc by(?: 1 0)?
+odbl | 52 | odbl | (?:released|licensed|made available) under (?:the )?odbl
+pddl | 52 | pddl | pddl(?: 1 0)?
+cdla-permissive | 56 | permissive | community data license agreement permissive(?: (?:1|2) 0)?
+cdla-sharing | 56 | sharing | community data license agreement sharing(?: 1 0)?
+ogl-uk | 52 | contains | contains public sector information licensed under the open government licen[cs]e
+ogl-canada | 54 | canada | open government licen[cs]e canada
+dl-de-by | 56 | datenlizenz | datenlizenz deutschland namensnennung
+dl-de-zero | 56 | datenlizenz | datenlizenz deutschland zero
+etalab | 56 | etalab | (?:licence ouverte|open licence) (?:v2 0 )?etalab
+iodl | 56 | italian | italian open data license
+kogl | 56 | korea | korea open government license
+norwegian-open-data | 56 | norwegian | norwegian licen[cs]e for open government data
+opl | 52 | publication | open publication license
+open-game | 54 | gaming|game | open (?:game|gaming) license
+free-art | 56 | art | free art license|licence art libre
+design-science | 52 | science | design science license
+against-drm | 52 | drm | against drm
+ofl | 55 | reserved | with reserved font name
+bitstream-vera | 56 | bitstream | bitstream vera fonts? (?:copyright|license)
+arphic | 56 | arphic | arphic public license
+ubuntu-font | 56 | ubuntu | ubuntu font licen[cs]e
+ipa-font | 56 | ipa | ipa font license
+stix-font | 56 | stix | stix fonts? (?:user )?license
+lppl | 56 | lppl|latex | (?:latex project public license|lppl) (?:maintenance status|maintained)
+knuth-ctan | 54 | ctan | knuth ctan license
+cecill-b | 58 | cecill | cecill b(?: free software)?(?: license(?: agreement)?)?
+cecill-c | 58 | cecill | cecill c(?: free software)?(?: license(?: agreement)?)?
+licence-libre-quebec | 56 | québec | licence libre du québec
+mulan | 50 | mulan|木兰 | 木兰宽松许可证|mulan psl
+nasa | 50 | nasa | nasa open source
+noassertion-eula | 48 | user | end user licen[cs]e agreement
+proprietary | 50 | property | (?:this (?:file|document|software) is )?the (?:confidential|exclusive) property of
+proprietary | 51 | trade | (?:contains|constitutes) (?:confidential )?trade secrets
+proprietary | 48 | permission | may not be (?:reproduced|copied|distributed|used) (?:in any form )?without (?:the )?(?:prior )?(?:express )?(?:written )?permission
+proprietary | 48 | consent | without (?:the )?(?:prior )?(?:express )?written consent
+proprietary | 46 | unpublished | unpublished (?:work|source code|rights reserved)
+evaluation-only | 48 | evaluation | for (?:internal )?evaluation purposes only
+academic-only | 48 | academic|educational|research | for (?:academic|educational|research)(?: and (?:academic|educational|research))? (?:use|purposes) only
+personal-use | 40 | personal | for personal use only
+no-derivatives | 34 | derivative | no derivative works?
+attribution-required | 32 | attribution | (?:proper )?attribution (?:is )?required
+dual-license | 36 | dual|dually | (?:dual|dually) licen[cs]ed
+multi-license | 36 | choice|option | (?:at your choice|at your option) (?:of )?(?:either|any) (?:of the following )?licen[cs]es?
+license-file | 15 | license|copying|licence | see (?:the )?(?:file )?(?:license|licence|copying)(?: txt| md)?(?: file)?(?: for details)?
+all-wrongs | 40 | wrongs | all wrongs reserved
+copyleft | 34 | copyleft | copyleft(?: all wrongs reserved)?
 spdx | 20 | spdx | spdx license identifier
 copyright-notice | 10 | copyright | copyright(?: c)? (?:19|20)[0-9]{2}
 """
@@ -166,7 +352,7 @@ copyright-notice | 10 | copyright | copyright(?: c)? (?:19|20)[0-9]{2}
 
 def build_rules() -> list[Rule]:
     """All rules; a rule's place in the list settles ties of priority and length."""
-    single = [_rule(*(f(x.strip()) for f, x in zip((str, int, str, str), line.split("|", 3), strict=True))) for line in _SINGLE.strip().splitlines()]
+    single = [_rule(*(f(x.strip()) for f, x in zip((str, int, str, str), line.split(" | ", 3), strict=True))) for line in _SINGLE.strip().splitlines()]
     return [*_families(), *single]
 
 
