@@ -237,14 +237,17 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, rows_a_shard: int = R
     usable = stored(quantized(vectors), "vectors")
     cells_wanted = max(1, min(PIVOTS, usable.count() // rows_a_shard))
     pivots = usable.select("dim", "v", F.xxhash64("vec_id", F.lit(2)).alias("at")).orderBy("at", "v").limit(cells_wanted)
-    rows = stored(in_cells(usable, stored(pivots, "pivots")), "cells")
-    numbered = lambda df, name: stored(stored(df, name).withColumn(name, F.monotonically_increasing_id()), name)
+    rows = stored(in_cells(usable, pivots), "cells")
+    numbered = lambda df, name: stored(df.withColumn(name, F.monotonically_increasing_id()), name)
     shards = numbered(packs(rows, rows_a_shard), "shard")
     blocks = numbered(packs(rows.filter(queries), QUERIES_A_BLOCK), "block")
     of_block = stored(blocks.select("dim", "block", F.explode(_ids("ids")).alias("query_id")), "queries")
     cells = stored(cells_of(blocks, shards), "bounds")
+    most = shards.groupBy("dim").count().agg(F.max("count")).first()[0] or 0
     found, done, searched = None, 0, 0
     for n in ROUNDS:
+        if found is not None and done >= most:
+            break  # all shards have been searched
         now, floors = cells.filter(F.col("place") > done), None
         if found is not None:
             kth = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
