@@ -55,6 +55,26 @@ def test_keywords_gate_only_what_cannot_match():
         assert not any(r.pattern.search(text) for i, r in enumerate(rules) if i not in tried)
 
 
+def plain(rules, text):
+    """Labels and score with every rule tried on the whole text and each detection compared with every other."""
+    normal = " ".join(L.WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text)))
+    found = [(m.start(), m.end(), r.priority, r.label) for r in rules for m in r.pattern.finditer(normal)]
+    inside = lambda x, y: y[0] <= x[0] and x[1] <= y[1]
+    longer = lambda x, y: (y[1] - y[0]) > (x[1] - x[0])
+    kept = [x for i, x in enumerate(found) if not any(inside(x, y) and (y[2] > x[2] or y[2] == x[2] and (longer(x, y) or y[:2] == x[:2] and j < i)) for j, y in enumerate(found))]
+    base = set(filter(None, brute(text)[4].split(",")))
+    return ",".join(sorted(base | {x[3] for x in kept})), max([0.0, *(min(1.0, x[2] / 100) for x in kept), *(0.5 for _ in base)])
+
+
+def test_labels_and_score_against_a_plain_evaluation():
+    rules, rng = L.build_rules(), random.Random(12)
+    scanner = L.Scanner(rules)
+    for _ in range(120):
+        parts = [_match_of(re._parser.parse(rng.choice(rules).pattern.pattern), rng) for _ in range(3)] + ["of this", "MIT License,", "CC-BY", "version 2 or later"]
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(1, 7)))
+        assert scanner.scan(text)[5:] == plain(rules, text), text
+
+
 def test_odd_and_empty(odd, empty):
     out = L.scan_licenses(odd)
     assert out.columns == [*odd.columns, "license_scan_"] and out.count() == odd.count()

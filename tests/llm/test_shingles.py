@@ -1,6 +1,5 @@
 import random
 
-import corpus_pipeline as P
 from microlake.llm import shingles as S
 
 
@@ -81,15 +80,6 @@ def test_large_groups_are_split(docs_of, monkeypatch):
     assert {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()} == whole
 
 
-def test_the_stage_finds_copies_of_similarity_0_8(spark, docs_of):
-    rng, texts = random.Random(5), []
-    for _ in range(20):
-        words = [f"w{rng.randrange(9999)}" for _ in range(100)]
-        texts += [" ".join(words), " ".join([*words[:50], "another", *words[51:]])]  # 91 of 101 shingles
-    kept = P.drop_near_duplicates(spark, docs_of(texts), "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
-
-
 def test_odd_and_empty(odd, empty):
     assert S.deduplicate(empty).count() == 0 and S.near_duplicates(empty).count() == 0
     out = S.deduplicate(odd)

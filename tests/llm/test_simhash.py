@@ -92,3 +92,24 @@ def test_deduplicate_odd_and_empty(odd, empty, docs_of):
     assert out.columns == odd.columns
     kept = [(r["doc_id"], r["text"]) for r in out.collect()]
     assert kept.count((4, "same row here")) == 1 and (1, None) in kept and (2, "") not in kept
+
+
+def test_query_end_to_end(spark, tmp_path):
+    """Fingerprints and components of whole texts, nulls and ties among them, against brute force."""
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(400)]
+    texts = [None, "", " \t", "One", "one", "a b c", "A b  c\n"]
+    for _ in range(6):
+        base = rng.choices(words, k=rng.choice([40, 300]))
+        for _ in range(6):
+            now = list(base)
+            for _ in range(rng.choice([0, 1, 2])):
+                now[rng.randrange(len(now))] = rng.choice(words)
+            texts.append(" ".join(now))
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = [(i, texts[k]) for i, k in enumerate(order)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    prints = [brute_print(t) for _, t in rows]
+    want = {(i, f"{x:016x}", c) for (i, _), x, c in zip(rows, prints, brute_components(prints), strict=True)}
+    got = {tuple(r) for r in S.op5_simhash_near_dedup(spark, str(tmp_path)).select("doc_id", "fingerprint", "component_id").collect()}
+    assert got == want and len({c for *_, c in want}) < len(rows) - 10
