@@ -32,6 +32,8 @@ SEED = 42
 LARGE_GROUP = 4096
 BLOCK = 2048
 BROADCAST_ROWS = 200_000
+#: Rows of the sorted table that are worked on together.
+ROWS_AT_ONCE = 1 << 16
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -85,24 +87,30 @@ def entries(fps: DataFrame, centres: list[Column], ball: Callable[[Column], Colu
 
 def by_group(table: DataFrame, work: Callable[..., pd.DataFrame], schema: str) -> DataFrame:
     """Calls work with arrays of the columns of entries: rows sorted by key and slot, and then by the other columns, of whole
-    groups, of many at once."""
+    groups, of many at once. Groups of one row are left out."""
     names = table.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, n = [], 0
+
+        def several(rows: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+            if len(rows[0]):
+                _, sizes = group_starts(rows[0], rows[1])
+                stay = np.repeat(sizes > 1, sizes)
+                if stay.any():
+                    yield work(*[x[stay] for x in rows])
+
         for b in batches:
-            now = [b[c].to_numpy() for c in names]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            if not len(now[0]):
-                continue
-            last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
-            cut = last[-1] + 1 if len(last) else 0
-            held = [x[cut:] for x in now]  # the last group may go on in the next batch
-            if cut:
-                yield work(*[x[:cut] for x in now])
-        if held is not None and len(held[0]):
-            yield work(*held)
+            held.append([b[c].to_numpy() for c in names])
+            n += len(b)
+            if n >= ROWS_AT_ONCE:
+                now = [np.concatenate(x) for x in zip(*held, strict=True)]
+                last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+                cut = last[-1] + 1 if len(last) else 0
+                held, n = [[x[cut:] for x in now]], len(now[0]) - cut  # the last group may go on in the next batch
+                yield from several([x[:cut] for x in now])
+        if n:
+            yield from several([np.concatenate(x) for x in zip(*held, strict=True)])
 
     return table.repartition("key", "slot").sortWithinPartitions(*names).mapInPandas(run, schema)
 
