@@ -13,7 +13,8 @@ Texts with one shingle set are one class before that. Under each segment, all cl
 What these links join needs no further comparison, so a large group of near copies costs its size and not its square. What
 stood near the smallest but is not joined to it makes a region with it; in a region, blocks of classes are compared with
 each other, but for those that are joined already, and leave a spanning forest of their links. Last, classes of different regions
-that meet under some key are compared. Keys and regions with very many members are split into pairs of blocks.
+that meet under some key are compared; under crowded keys by the complete distance at once. Keys and regions with very many
+members are split into pairs of blocks.
 
 Defined cases: null and empty texts have no shingles and are one class; texts of fewer words than a shingle have one, of
 all their words; a null id is smaller than all others; rows that repeat are alike; an empty table gives an empty result.
@@ -21,6 +22,7 @@ Columns other than doc_id and text pass through deduplicate() untouched. Texts a
 """
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NOT_SPACE, ODD, WordHashes, mixed, stored, with_key
-from .simhash import by_group, components, entries, group_starts, one_of_each
+from .simhash import by_group, components, crowded, entries, group_starts, one_of_each
 
 SHINGLE = 5
 #: The least similarity, as a fraction of whole numbers.
@@ -42,6 +44,8 @@ NEAR_FIRST, NEAR_ALL = 16, 94
 SHARE = 256
 #: Classes of a region's block.
 BLOCK = 512
+#: Members of a key from which their whole fingerprints are sent there.
+CROWD = 24
 SEED = 42
 _STEPS = np.array([ODD * (i + 1) % 2**64 for i in range(WORDS)], np.uint64)
 _PLACES = np.array([pow(ODD, i + 1, 2**64) for i in range(SHINGLE)], np.uint64)
@@ -209,16 +213,17 @@ def inside_regions(rooted: DataFrame, docs: DataFrame, classes: DataFrame) -> Da
     return sent.groupBy("group").applyInPandas(compare, "a long, b long")
 
 
-def _apart(key: np.ndarray, slot: np.ndarray, region: np.ndarray, fp: np.ndarray, first: np.ndarray) -> pd.DataFrame:
-    """Pairs of one group, of different regions, whose first 64 bits are near; rows are sorted by key, slot, region."""
+def _apart(limit: int, key: np.ndarray, slot: np.ndarray, region: np.ndarray, fp: np.ndarray, *words: np.ndarray) -> pd.DataFrame:
+    """Pairs of one group, of different regions, with limit differing bits in words at most; rows are sorted by key, slot, region."""
     starts, sizes = group_starts(key, slot)
-    bits = first.view(np.uint64)
+    bits = np.stack(words, 1).view(np.uint64)
+    near = lambda x, y: np.bitwise_count(x ^ y).sum(1) <= limit
     found = [np.zeros((0, 2), np.int64)]
     # small groups: all of them at once, pair by pair of places
     behind = np.repeat(starts + sizes, sizes) - np.arange(len(key)) - 1
     at, step = np.flatnonzero((behind > 0) & (np.repeat(sizes, sizes) <= 64)), 1
     while len(at):
-        hit = (region[at] != region[at + step]) & (np.bitwise_count(bits[at] ^ bits[at + step]) <= NEAR_FIRST)
+        hit = (region[at] != region[at + step]) & near(bits[at], bits[at + step])
         found.append(np.stack([fp[at[hit]], fp[at[hit] + step]], 1))
         step += 1
         at = at[behind[at] >= step]
@@ -228,7 +233,7 @@ def _apart(key: np.ndarray, slot: np.ndarray, region: np.ndarray, fp: np.ndarray
             other = i + 1 + np.searchsorted(region[i + 1 : end], region[i], "right")
             if other >= end:
                 break
-            hit = other + np.flatnonzero(np.bitwise_count(bits[other:end] ^ bits[i]) <= NEAR_FIRST)
+            hit = other + np.flatnonzero(near(bits[other:end], bits[i]))
             found.append(np.stack([np.full(len(hit), fp[i]), fp[hit]], 1))
     pairs = np.concatenate(found)
     return pd.DataFrame({"a": pairs.max(1, initial=-(2**63)), "b": pairs.min(1, initial=2**63 - 1)}).drop_duplicates()
@@ -248,7 +253,11 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     rooted = some.join(named(linked, "root"), "fp", "left").join(named(star, "region"), "fp", "left")
     rooted = stored(rooted.select("fp", "bits", first, F.coalesce("root", "fp").alias("root"), F.coalesce("region", "fp").alias("region")), "rooted")
     inside = stored(inside_regions(rooted, docs, classes), "inside")
-    met = by_group(entries(rooted, _segments(), _ball, "region", "fp", "bits0"), _apart, "a long, b long").distinct()
+    crowds = crowded(rooted, _segments(), _ball, CROWD, 2)
+    met = by_group(entries(rooted, _segments(), _ball, "region", "fp", "bits0", but=crowds), partial(_apart, NEAR_FIRST), "a long, b long")
+    words = {f"w{i}": F.col("bits")[i] for i in range(WORDS)}
+    met_in_crowds = by_group(entries(rooted.withColumns(words), _segments(), _ball, "region", "fp", *words, only=crowds), partial(_apart, NEAR_ALL), "a long, b long")
+    met = met.unionByName(met_in_crowds).distinct()
     between = verified(stored(near_enough(met, some), "pairs"), docs, classes)
     return linked.unionByName(inside).unionByName(between)
 

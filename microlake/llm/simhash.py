@@ -72,13 +72,24 @@ def _segments() -> list[Column]:
     return [F.shiftrightunsigned(fp, 32), fp.bitwiseAND(0xFFFFFFFF).bitwiseOR(1 << 32)]
 
 
-def entries(fps: DataFrame, centres: list[Column], ball: Callable[[Column], Column], *carried: str) -> DataFrame:
+def crowded(fps: DataFrame, centres: list[Column], ball: Callable[[Column], Column], least: int, least_centre: int) -> DataFrame:
+    """(key, n): keys with about least members or more, counting centres that have least_centre at least."""
+    often = fps.select(F.explode(F.array(*centres)).alias("centre")).groupBy("centre").count().filter(F.col("count") >= least_centre)
+    keys = often.select(F.explode(ball(F.col("centre"))).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("n"))
+    return stored(keys.filter(F.col("n") >= least), "large-keys")
+
+
+def entries(fps: DataFrame, centres: list[Column], ball: Callable[[Column], Column], *carried: str, only: DataFrame | None = None, but: DataFrame | None = None) -> DataFrame:
     """(key, slot, *carried): where each fingerprint stands in the table, under all keys of the balls around its centres, the
-    segments. slot is 0 but for keys with large groups, of which each pair of blocks has a slot."""
+    segments. slot is 0 but for keys with large groups, of which each pair of blocks has a slot. only, but: keys (key) that alone
+    are wanted, or that are not."""
     # centres with a few members already lead to all keys with large groups
-    often = fps.select(F.explode(F.array(*centres)).alias("centre")).groupBy("centre").count().filter(F.col("count") >= LARGE_GROUP // 64)
-    large = stored(often.select(F.explode(ball(F.col("centre"))).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("n")).filter(F.col("n") >= LARGE_GROUP // 2), "large-keys")
-    table = fps.select(F.explode(F.concat(*[ball(c) for c in centres])).alias("key"), *carried).join(small(large, BROADCAST_ROWS), "key", "left")
+    large = crowded(fps, centres, ball, LARGE_GROUP // 2, LARGE_GROUP // 64)
+    table = fps.select(F.explode(F.concat(*[ball(c) for c in centres])).alias("key"), *carried)
+    for keys, how in ((only, "left_semi"), (but, "left_anti")):
+        if keys is not None:
+            table = table.join(small(keys.select("key"), BROADCAST_ROWS), "key", how)
+    table = table.join(small(large, BROADCAST_ROWS), "key", "left")
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     mine = F.pmod(F.xxhash64("fp", "key"), blocks)
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: F.least(mine, b) * blocks + F.greatest(mine, b) + 1)

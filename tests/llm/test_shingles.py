@@ -77,6 +77,7 @@ def test_large_groups_are_split(docs_of, monkeypatch):
     monkeypatch.setattr(simhash, "LARGE_GROUP", 16)
     monkeypatch.setattr(simhash, "BLOCK", 8)
     monkeypatch.setattr(S, "BLOCK", 4)
+    monkeypatch.setattr(S, "CROWD", 3)
     assert {r["_id"]: r["component"] for r in S.near_duplicates(docs_of(texts)).collect()} == whole
 
 
