@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from ..functions.columns import normalized_names
 
 
+#: Rows up to which spread() shuffles a table.
+SPREAD_ROWS = 5_000_000
+
+
 def delimiter_of(line: Column) -> Column:
     """; or , by which the line has more of; ; if it has as many."""
     return F.when(F.regexp_count(line, F.lit(",")) > F.regexp_count(line, F.lit(";")), ",").otherwise(";")
@@ -73,6 +77,12 @@ def read_root(spark: SparkSession, root: str, merge: bool = False) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge).parquet(root)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of SPREAD_ROWS rows at most, which may stand in one file and so be read by one task, dealt out over the cores by a
+    key; larger ones are left as they are read. Rows are counted from the files' footers."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if df.count() <= SPREAD_ROWS else df
+
+
 def read_hive(spark: SparkSession, root: str) -> DataFrame:
     """Parquet files with columns from folder names, by which Spark prunes."""
     return spark.read.parquet(root)
