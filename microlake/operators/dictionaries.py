@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ from .. import constants as C
 from ..functions.columns import canonical_key, trimmed
 
 
+#: What Spark says of a file that is no table of its kind.
+_UNREADABLE = ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA")
+
+
 def sheet_rows(raw: DataFrame, sheet: str, workbook: str) -> DataFrame:
     """A sheet as read, as text: without rows and columns that are all null, columns renamed col_00 and so on, the words
     nan and NaT as null, and aba_origem and planilha_origem at the end."""
@@ -120,20 +125,26 @@ def manual_map(table: str) -> dict[str, dict[str, str]]:
 
 
 def dictionaries_of(table: str, columns: list[str], load: Callable[[str | None, str], DataFrame | None]) -> dict[str, DataFrame]:
-    """Dictionaries of a table's columns by its map. load gives a workbook's sheet, or None; a column whose sheet is not there,
-    cannot be read or has no rows for it stays untranslated."""
+    """Dictionaries of a table's columns by its map. load gives a workbook's sheet, or None. A column whose sheet is not there, is no
+    table or has no rows for it stays untranslated, with a warning; a sheet that breaks when its rows are read is an error."""
     found = {}
     for c, m in manual_map(table).items():
         if c not in columns:
             continue
         where = {k: v for k, v in m.items() if k not in ("estilo", "aba", "planilha")}
         try:
-            sheet = load(m.get("planilha"), m["aba"])
-            book = None if sheet is None else dictionary(sheet, m["estilo"], **where)
-        except (AnalysisException, Py4JJavaError):
-            continue
+            sheet, why = load(m.get("planilha"), m["aba"]), "is not there"
+        except AnalysisException:
+            sheet, why = None, "is not there"
+        except (Py4JJavaError, PySparkException) as e:
+            if not any(x in str(e) for x in _UNREADABLE):
+                raise
+            sheet, why = None, "cannot be read"
+        book = None if sheet is None else dictionary(sheet, m["estilo"], **where)
         if book is not None:
             found[c] = book
+        else:
+            warnings.warn(f"{table}.{c} stays untranslated: sheet {m['aba']} of {m.get('planilha', 'any workbook')} {why if sheet is None else 'has no rows for it'}", stacklevel=2)
     return found
 
 

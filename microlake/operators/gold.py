@@ -61,6 +61,32 @@ def gold(silver: DataFrame, name: str) -> DataFrame:
     return aggregate(base, keys, metrics(wage_name="salario_medio_admissao", age_name="idade_media_admissao"), needed, least)
 
 
+#: Columns of partials that add up.
+_SUMS = ("admissoes", "desligamentos", "saldo", "salario_soma", "salario_n", "idade_soma", "idade_n", "_rows")
+MONTH = ("ano_particao", "mes_particao")
+
+
+def gold_partials(silver: DataFrame, name: str) -> DataFrame:
+    """What a gold table needs of each month of the silver, by month and the table's keys: counts and exact sums, which add up. A
+    month's partials depend on its rows alone, so a month that is new or has changed is built by itself."""
+    keys, needed, _ = GOLD[name]
+    base = with_lenses(silver)
+    if name == "ti_setor_vs_ocupacao":
+        base = base.filter(F.col("ocupacao_ti") | F.col("setor_ti"))
+    b, wage, age = F.col("saldomovimentacao"), F.col("salario"), F.col("idade")
+    paid, aged = F.when((b == 1) & (wage > 0), wage).cast("decimal(28,6)"), F.when(b == 1, age).cast("decimal(28,6)")
+    sums = (F.count_if(b == 1), F.count_if(b == -1), F.sum(b).cast("long"), F.sum(paid), F.count(paid), F.sum(aged), F.count(aged), F.count("*"))
+    return aggregate(base, {m: m for m in MONTH} | {k: c for k, c in keys.items()}, [x.alias(n) for x, n in zip(sums, _SUMS, strict=True)], needed)
+
+
+def gold_of_partials(partials: DataFrame, name: str) -> DataFrame:
+    """The gold table of the partials of all months; the same as gold() of all rows."""
+    keys, _, least = GOLD[name]
+    one = partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS]).filter(F.col("_rows") >= least)
+    mean = lambda s, n, places: F.round(F.col(s).cast("double") / F.nullif(F.col(n), F.lit(0)), places)
+    return one.select(*keys, "admissoes", "desligamentos", "saldo", mean("salario_soma", "salario_n", 2).alias("salario_medio_admissao"), mean("idade_soma", "idade_n", 1).alias("idade_media_admissao"))
+
+
 def published(silver: DataFrame, name: str) -> DataFrame:
     """One of the six published tables."""
     if name == "lentes":

@@ -16,36 +16,55 @@ _END = r"\.(?:7z|zip)$"
 #: Tried in this order: (pattern, table, group of the year, group of the month, group of the slice). Group 0: the folder's
 #: year; a table in braces takes the group in lower case.
 _FILES = (
-    (rf"(?i)^CAGED(MOV|FOR|EXC)(\d{{4}})(\d{{2}}){_END}", "caged_{1}", 2, 3, None),
-    (rf"(?i)^CAGEDEST_AJUSTES_(\d{{2}})(\d{{4}}){_END}", "caged_ajustes", 2, 1, None),
-    (rf"(?i)^CAGEDEST_AJUSTES_(\d{{4}}){_END}", "caged_ajustes", 1, None, None),
-    (rf"(?i)^CAGEDEST_(\d{{2}})(\d{{4}}){_END}", "caged_old", 2, 1, None),
-    (rf"(?i)^RAIS_ESTAB_PUB{_END}", "rais_estab", 0, None, None),
-    (rf"(?i)^RAIS_VINC_PUB_(.+?){_END}", "rais_vinc", 0, None, 1),
-    (rf"(?i)^ESTB(\d{{4}}){_END}", "rais_estab", 1, None, None),
-    (rf"(?i)^IGNORAN?DOS?(\d{{4}}){_END}", "rais_vinc", 1, None, "ignorado"),
-    (rf"(?i)^([A-Za-z]{{2}})(\d{{4}}){_END}", "rais_vinc", 2, None, 1),
+    (r"CAGED(MOV|FOR|EXC)(\d{4})(\d{2})", "caged_{1}", 2, 3, None),
+    (r"CAGEDEST_AJUSTES_(\d{2})(\d{4})", "caged_ajustes", 2, 1, None),
+    (r"CAGEDEST_AJUSTES_(\d{4})", "caged_ajustes", 1, None, None),
+    (r"CAGEDEST_(\d{2})(\d{4})", "caged_old", 2, 1, None),
+    (r"RAIS_ESTAB_PUB", "rais_estab", 0, None, None),
+    (r"RAIS_VINC_PUB_(.+?)", "rais_vinc", 0, None, 1),
+    (r"ESTB(\d{4})", "rais_estab", 1, None, None),
+    (r"IGNORAN?DOS?(\d{4})", "rais_vinc", 1, None, "ignorado"),
+    (r"([A-Za-z]{2})(\d{4})", "rais_vinc", 2, None, 1),
 )
+_CUT = "\x01"
+
+
+def _groups() -> list[int]:
+    """Where each pattern stands among the groups of all patterns in one, each in a group of its own."""
+    out, at = [], 1
+    for pattern, *_ in _FILES:
+        out.append(at)
+        at += 1 + re.compile(pattern).groups
+    return [*out, at]
 
 
 def classify_files(files: DataFrame, name: str = "nome_arquivo", folder_year: Column | None = None) -> DataFrame:
     """Adds tabela, ano, mes and recorte by the file's name; all null for a file that is none of the known ones, or
-    that needs its folder's year and has none."""
-    c = F.col(name)
+    that needs its folder's year and has none. All patterns stand in one, which runs once over a name."""
+    at = _groups()
+    whole = "(?i)^(?:" + "|".join(f"({p})" for p, *_ in _FILES) + ")" + _END
+    parts = F.split(F.regexp_replace(F.col(name), whole, "".join(f"{_CUT}${g}" for g in range(1, at[-1]))), _CUT)
     folder = F.lit(None).cast("int") if folder_year is None else folder_year.cast("int")
-    out = None
-    for pattern, table, year, month, part in _FILES:
-        group = lambda n, p=pattern: F.regexp_extract(c, p, n)
+    empty = F.lit("").alias("x")
+    of = lambda x, some: F.concat(empty, *[x[g] for g in some])  # noqa: E731  one of them at most has matched
+
+    def fields(x: Column) -> Column:
+        """Of the groups' texts, or one text for a name that no pattern matches."""
+        which = F.array_position(F.transform(F.array(*[x[g] for g in at[:-1]]), lambda g: g != ""), True)
+        kind = lambda values: F.get(F.array(*[F.lit(v) for v in values]), (which - 1).cast("int"))
+        month = of(x, [at[i] + f[3] for i, f in enumerate(_FILES) if f[3]])
+        year = of(x, [at[i] + f[2] for i, f in enumerate(_FILES) if f[2]])
+        part = of(x, [at[i] + f[4] for i, f in enumerate(_FILES) if isinstance(f[4], int)])
+        first = of(x, [at[i] + 1 for i, f in enumerate(_FILES) if "{" in f[1]])
+        years = F.when(kind([f[2] == 0 for f in _FILES]), folder).otherwise(F.nullif(year, F.lit("")).cast("int"))
         made = F.struct(
-            (F.concat(F.lit(table[:-3]), F.lower(group(1))) if "{" in table else F.lit(table)).alias("tabela"),
-            (group(year).cast("int") if year else folder).alias("ano"),
-            (group(month).cast("int") if month else F.lit(None).cast("int")).alias("mes"),
-            (F.lit(part) if isinstance(part, str) else F.lower(group(part)) if part else F.lit(None).cast("string")).alias("recorte"),
-        )
-        hit = c.rlike(pattern)
-        made = made if year else F.when(folder.isNotNull(), made)
-        out = F.when(hit, made) if out is None else out.when(hit, made)
-    return files.withColumn("_f", out).select("*", "_f.*").drop("_f")
+            F.concat(kind([f[1].removesuffix("{1}") for f in _FILES]), F.lower(first)).alias("tabela"), years.alias("ano"), F.nullif(month, F.lit("")).cast("int").alias("mes"),
+            F.coalesce(F.nullif(F.lower(part), F.lit("")), kind([f[4] if isinstance(f[4], str) else None for f in _FILES])).alias("recorte"),
+        )
+        return F.when(years.isNotNull(), made)
+
+    known = F.filter(F.transform(F.filter(F.array(parts), lambda x: F.size(x) == at[-1]), fields), lambda x: x.isNotNull())
+    return files.select("*", F.inline_outer(known))
 
 
 def file_inventory(spark: SparkSession, root: str, extensions: tuple[str, ...] = C.ARCHIVES, skipped: tuple[str, ...] = C.SKIPPED_FOLDERS) -> DataFrame:

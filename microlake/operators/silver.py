@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,8 @@ from .. import constants as C
 from ..functions.columns import canonical_key, clean_text_columns, decimal_comma, technology_scope, yyyymm
 from .dictionaries import translation_map
 
-#: Rows of a dictionary up to which it is broadcast.
-BROADCAST_ROWS = 200_000
+#: Bytes of dictionaries that a projection holds at most, all together.
+LOOKUP_BYTES = 8 << 20
 
 
 def add_lineage(df: DataFrame, year: Column | int, month: Column | int | None, part: str | None, file: Column | str, path: Column | str) -> DataFrame:
@@ -31,25 +32,59 @@ def bronze(raw: DataFrame, year: Column | int, month: Column | int | None = None
     return add_lineage(clean_text_columns(raw), year, month, part, file, path)
 
 
-def sized(dictionaries: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The dictionaries, marked for broadcast where they have at most BROADCAST_ROWS rows; larger ones are left to be
-    joined by a shuffle. All are counted in one job."""
-    parts = [d.limit(BROADCAST_ROWS + 1).select(F.lit(c).alias("c")) for c, d in dictionaries.items()]
-    if not parts:
-        return {}
-    counts = reduce(lambda a, b: a.union(b), parts).groupBy("c").count()
-    rows = {r["c"]: r["count"] for r in counts.collect()}  # a row for each dictionary
-    return {c: F.broadcast(d) if rows.get(c, 0) <= BROADCAST_ROWS else d for c, d in dictionaries.items()}
+@dataclass(frozen=True)
+class Book:
+    """A dictionary (codigo_norm, descricao; one row for each key). buckets: those of its table in a projection; None for one that
+    is so large that it is joined."""
+
+    rows: DataFrame
+    buckets: int | None = None
 
 
-def translate(fact: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
-    """Adds <column>_descricao after each column that has a dictionary (codigo_norm, descricao; one row for each key; see
-    sized). Rows and codes stay as they are."""
+def sized(dictionaries: dict[str, DataFrame]) -> dict[str, Book]:
+    """The dictionaries by their size, the smallest first, as long as all together are within LOOKUP_BYTES. All are measured in
+    one job."""
+    size = F.octet_length("codigo_norm") + F.coalesce(F.octet_length("descricao"), F.lit(0)) + 32
+    parts = [d.filter("codigo_norm IS NOT NULL").select(F.lit(c).alias("c"), size.alias("size")) for c, d in dictionaries.items()]
+    if not parts:
+        return {}
+    found = reduce(lambda a, b: a.union(b), parts).groupBy("c").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    held, sizes = {}, {r["c"]: (r["size"], r["n"]) for r in found.collect()}  # a row for each dictionary
+    for c in sorted(dictionaries, key=lambda c: sizes.get(c, (0, 0))):
+        size, n = sizes.get(c, (0, 0))
+        held[c] = size + sum(sizes.get(x, (0, 0))[0] for x, kept in held.items() if kept) <= LOOKUP_BYTES
+    return {c: Book(d, max(1, sizes.get(c, (0, 0))[1]) if held[c] else None) for c, d in dictionaries.items()}
+
+
+def _table(book: Book) -> Column:
+    """The book as a hash table that a projection can hold: an array of maps, one for each bucket. A scalar subquery, so it is made
+    once and sent with the tasks."""
+    n, entry = book.buckets, F.struct("codigo_norm", "descricao")
+    placed = book.rows.filter("codigo_norm IS NOT NULL").select(F.pmod(F.xxhash64("codigo_norm"), F.lit(n)).alias("place"), entry.alias("entry"))
+    every = placed.sparkSession.range(n).select(F.col("id").alias("place"), F.lit(None).cast(placed.schema["entry"].dataType).alias("entry"))
+    buckets = placed.unionByName(every).groupBy("place").agg(F.collect_list("entry").alias("entries"))
+    in_order = F.array_sort(F.collect_list(F.struct("place", "entries")))
+    return buckets.agg(F.transform(in_order, lambda x: F.map_from_entries(x["entries"])).alias("buckets")).scalar()
+
+
+def looked_up(code: Column, book: Book) -> Column:
+    """Description of a code, by its canonical key; null for one that the book does not have."""
+    key = canonical_key(code)
+    return F.try_element_at(F.get(_table(book), F.pmod(F.xxhash64(key), F.lit(book.buckets))), key)
+
+
+def translate(fact: DataFrame, books: dict[str, Book]) -> DataFrame:
+    """Adds <column>_descricao after each column that has a book (see sized). Rows and codes stay as they are. All columns of books
+    with buckets are looked up in one projection, without a join; each of the others costs a join on the canonical key."""
     out, names = fact, []
     for c in fact.columns:
         names.append(F.col(f"`{c}`"))
-        if c in dictionaries:
-            d = dictionaries[c].select(F.col("codigo_norm").alias("_key"), F.col("descricao").alias(f"{c}_descricao"))
+        if c not in books:
+            continue
+        if books[c].buckets:
+            names.append(looked_up(F.col(f"`{c}`"), books[c]).alias(f"{c}_descricao"))
+        else:
+            d = books[c].rows.select(F.col("codigo_norm").alias("_key"), F.col("descricao").alias(f"{c}_descricao"))
             out = out.join(d, canonical_key(F.col(f"`{c}`")) == F.col("_key"), "left").drop("_key")
             names.append(F.col(f"{c}_descricao"))
     return out.select(*names)
@@ -74,7 +109,7 @@ def layout_of(table: str) -> tuple[dict[str, str], tuple[str, ...]]:
     return (C.NUMBERS_OLD, C.MONTHS_OLD) if table in C.OLD_TABLES else (C.NUMBERS_CENSUS, ())
 
 
-def build_silver(table: str, fact: DataFrame, dictionaries: dict[str, DataFrame], full_market: bool = False) -> DataFrame:
+def build_silver(table: str, fact: DataFrame, dictionaries: dict[str, Book], full_market: bool = False) -> DataFrame:
     """The typed layer of a table. Rows outside the technology scope go before anything is joined, unless the full market
     is asked for or the table has no column to tell by."""
     scope = None if full_market else technology_scope(table, fact.columns)

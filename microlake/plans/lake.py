@@ -7,23 +7,33 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import sinks
 
-_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILT: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
 
-def built(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> DataFrame:
-    """The layer; write(path) makes it where it is not there yet, or not there any more."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key in _BUILT:
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Of the files below the paths: how many there are, their bytes, and a digest of their names, sizes and times of change. The
+    files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", "length", "modificationTime")
+    return tuple(files.agg(F.count("*"), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
+def built(spark: SparkSession, folder: str, name: str, write: Callable[[str], None], tables: tuple[str, ...] = ()) -> DataFrame:
+    """The layer; write(path) makes it where it is not there yet, or not there any more, or where files of the tables have changed
+    since."""
+    key, now = (spark.sparkContext.applicationId, folder, name), fingerprint(spark, [f"{folder}/{t}.parquet" for t in tables]) if tables else ()
+    made_of, path = _BUILT.get(key, (None, ""))
+    if made_of == now:
         try:
-            return spark.read.parquet(_BUILT[key])
+            return spark.read.parquet(path)
         except AnalysisException:  # the shared folder has been cleared
-            del _BUILT[key]
+            pass
     path = sinks.work_dir(spark, name)
     write(path)
-    _BUILT[key] = path
+    _BUILT[key] = (now, path)
     return spark.read.parquet(path)
 
 

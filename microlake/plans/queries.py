@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -14,6 +13,7 @@ from ..operators import analytics as A
 from ..operators import dictionaries as D
 from ..operators import gold as G
 from ..operators import ledger as L
+from ..operators import order as P
 from ..operators import silver as S
 from ..sources import files, sinks
 from ..streaming import ingest
@@ -24,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 OLD_BEFORE = 1999
+#: Tables that the layers are made of.
+SOURCES = ("lineitem", "supplier", "nation", "region", "part")
 
 
 def query(name: str, oracle: str | None = None):
@@ -71,13 +73,13 @@ def dictionary(spark: SparkSession, d: str, column: str, read: dict[str, DataFra
     return D.unique_key(made(sql(spark, d, text, read)))
 
 
-def dictionaries(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def dictionaries(spark: SparkSession, d: str) -> dict[str, S.Book]:
     def write(path: str) -> None:
         read: dict[str, DataFrame] = {}
         books = files.union_by_name([dictionary(spark, d, c, read).withColumn("coluna", F.lit(c)) for c in T.SHEETS])
         sinks.write_partitioned(books, path, ["coluna"])
 
-    books = built(spark, d, "books", write)
+    books = built(spark, d, "books", write, SOURCES)
     return S.sized({c: books.filter(F.col("coluna") == c).drop("coluna") for c in T.SHEETS})
 
 
@@ -98,19 +100,19 @@ def _with_section(silver: DataFrame) -> DataFrame:
 def new_silver(spark: SparkSession, d: str) -> DataFrame:
     """The technology silver, by year."""
     made = lambda: _with_section(S.build_silver("caged_mov", mov(spark, d), dictionaries(spark, d)))
-    return built(spark, d, "silver", lambda path: sinks.write_partitioned(made(), path, ["ano_particao"]))
+    return built(spark, d, "silver", lambda path: sinks.write_partitioned(made(), path, ["ano_particao"]), SOURCES)
 
 
 def unified(spark: SparkSession, d: str) -> DataFrame:
-    """The years before OLD_BEFORE in the old layout, the others in the new one; sorted by month."""
+    """The years before OLD_BEFORE in the old layout, which has no section, the others in the new one; sorted by month."""
 
     def made() -> DataFrame:
-        books = dictionaries(spark, d)
-        renamed = mov(spark, d).filter(F.col("ano_particao") < OLD_BEFORE).withColumnsRenamed(_OLD_NAMES)
-        old = S.build_silver("caged_old", renamed, {_OLD_NAMES.get(c, c): b for c, b in books.items()})
-        return G.unify(new_silver(spark, d).filter(F.col("ano_particao") >= OLD_BEFORE), old)
+        silver = new_silver(spark, d)
+        names = {old + end: new + end for old, new in _OLD_NAMES.items() for end in ("", "_descricao", "_data") if old + end in silver.columns}
+        old = silver.filter(F.col("ano_particao") < OLD_BEFORE).drop("secao_descricao").withColumnsRenamed(names)
+        return G.unify(silver.filter(F.col("ano_particao") >= OLD_BEFORE), old)
 
-    return built(spark, d, "unified", lambda path: sinks.write_sorted(made(), path, "competencia"))
+    return built(spark, d, "unified", lambda path: sinks.write_sorted(made(), path, "competencia"), SOURCES)
 
 
 # --- the same in the oracle's SQL ---
@@ -409,14 +411,19 @@ _top("t7_top_occupations", "l_ocupacao_longa", "ocupacao", "saldo", 14, lambda s
 query("f11_period_slice", f"SELECT ano, CAST(sum(saldo) AS BIGINT) AS saldo FROM {_level('l_setor_longo')} WHERE {_IN} GROUP BY 1")(lambda s, d: _sliced("setor_longo")(s, d).groupBy("ano").agg(F.sum("saldo").alias("saldo")))
 
 
-def placed(df: DataFrame, *by: str) -> DataFrame:
-    """Adds lugar, the place that a row has in the order it comes in (in its group by)."""
-    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn("lugar", F.row_number().over(W.partitionBy(*by).orderBy("_at"))).drop("_at")
+_T1_KEYS = ["setor_ti", "ocupacao_ti", "setor_empresa"]
 
 
-_T1_KEYS = ["setor_ti", "ocupacao_ti", "setor_empresa"]
-query("t1_order_by_keys", f"SELECT ano, {', '.join(_T1_KEYS)}, admissoes, CAST(row_number() OVER (PARTITION BY ano ORDER BY admissoes DESC, setor_ti, ocupacao_ti, setor_empresa NULLS FIRST) AS INT) AS lugar FROM {_level('g_ti_setor_vs_ocupacao')}")(
-    lambda s, d: placed(G.gold(new_silver(s, d), "ti_setor_vs_ocupacao").select("ano", *_T1_KEYS, "admissoes").orderBy(F.asc_nulls_last("ano"), F.desc("admissoes"), *_T1_KEYS), "ano"))
+@query(
+    "t1_order_by_keys",
+    f"""SELECT ano, {', '.join(_T1_KEYS)}, admissoes,
+      CAST(row_number() OVER (PARTITION BY ano ORDER BY admissoes DESC, setor_ti, ocupacao_ti, setor_empresa NULLS FIRST) AS INT) AS lugar
+    FROM {_level('g_ti_setor_vs_ocupacao')}""",
+)
+def _(s, d):
+    made = G.gold(new_silver(s, d), "ti_setor_vs_ocupacao").select("ano", *_T1_KEYS, "admissoes")
+    return P.placed(made, [F.desc("admissoes"), *_T1_KEYS], by=["ano"])
+
 
 # --- windows over events ---
 
@@ -427,11 +434,27 @@ def _(s, d):
     return D.forward_fill(e, "furado", ["event_id"], ["user_id"], "cheio").select("event_id", "cheio")
 
 
+@query("w1_forward_fill_long", "SELECT event_id, last_value(CASE WHEN event_id % 97 = 5 THEN value END IGNORE NULLS) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cheio FROM events")
+def _(s, d):
+    """All events are one series, with long gaps; it is filled by as many tasks as there are ranges."""
+    e = s.read.parquet(f"{d}/events.parquet").select("event_id", F.when(F.col("event_id") % 97 == 5, F.col("value")).alias("cheio"))
+    return P.forward_fill_long(e, "cheio", ["event_id"])
+
+
 @query("w2_row_ordinal", "SELECT CAST(file_row_number AS BIGINT) AS row_index, p_partkey FROM (SELECT row_number() OVER () - 1 AS file_row_number, p_partkey FROM part)")
 def _(s, d):
     return files.row_ordinal(s.read.parquet(f"{d}/part.parquet")).select("row_index", "p_partkey")
 
 
+@query("w2_table_ordinal", "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS lugar, o_orderkey FROM orders")
+def _(s, d):
+    """Orders are written in order as many files; a row's place is then told from the files' row counts."""
+    out = sinks.work_dir(s, "ordered")
+    orders = s.read.parquet(f"{d}/orders.parquet").select("o_orderdate", "o_orderkey")
+    orders.repartitionByRange("o_orderdate", "o_orderkey").sortWithinPartitions("o_orderdate", "o_orderkey").write.parquet(out)
+    return P.table_ordinal(s, out).select("lugar", "o_orderkey")
+
+
 _LATEST = f"(SELECT * FROM ({T.LEDGER}) QUALIFY row_number() OVER (PARTITION BY tabela, arquivo_fonte ORDER BY data_hora DESC, seq DESC) = 1)"
 _current = lambda s, d: L.latest_per_key(ledger(s, d))
 query("w4_latest_per_key", f"SELECT tabela, arquivo_fonte, seq, status, linhas FROM {_LATEST}")(lambda s, d: _current(s, d).select("tabela", "arquivo_fonte", "seq", "status", "linhas"))
@@ -452,8 +475,17 @@ query("s3_destination_path", f"""SELECT item, 's3://bronze/' || tabela || '/ano=
 query("a3_plan_summary", f"SELECT tabela, count(*) AS arquivos, min(ano) AS ano_min, max(ano) AS ano_max, CAST(sum(tamanho) AS BIGINT) AS bytes FROM {_ITEMS} WHERE tabela IS NOT NULL GROUP BY ROLLUP (tabela)")(lambda s, d: L.plan_summary(items(s, d)))
 query("f6_exclude_partial", f"SELECT item, tabela FROM {_ITEMS} WHERE NOT parcial AND tabela IS NOT NULL")(lambda s, d: L.plan(items(s, d)).select("item", "tabela"))
 query("f7_table_filter", f"SELECT item, tabela, ano FROM {_ITEMS} WHERE NOT parcial AND tabela IN ('caged_mov', 'rais_estab') AND ano BETWEEN 1996 AND 1998")(lambda s, d: L.plan(items(s, d), 1996, 1998, ["caged_mov", "rais_estab"]).select("item", "tabela", "ano"))
-query("t2_sort_plan", f"SELECT tabela, ano, mes, recorte, nome_arquivo, CAST(row_number() OVER (PARTITION BY tabela ORDER BY ano, coalesce(mes, 0), coalesce(recorte, ''), nome_arquivo) AS INT) AS lugar FROM {_ITEMS} WHERE tabela IS NOT NULL")(
-    lambda s, d: placed(L.plan(items(s, d), partial=True), "tabela").select("tabela", "ano", "mes", "recorte", "nome_arquivo", "lugar"))
+@query(
+    "t2_sort_plan",
+    f"""SELECT tabela, ano, mes, recorte, nome_arquivo,
+      CAST(row_number() OVER (PARTITION BY tabela ORDER BY ano, coalesce(mes, 0), coalesce(recorte, ''), nome_arquivo) AS INT) AS lugar
+    FROM {_ITEMS} WHERE tabela IS NOT NULL""",
+)
+def _(s, d):
+    found = items(s, d).filter("tabela IS NOT NULL").select("tabela", "ano", "mes", "recorte", "nome_arquivo")
+    return P.placed(found, ["ano", F.coalesce("mes", F.lit(0)), F.coalesce("recorte", F.lit("")), "nome_arquivo"], by=["tabela"])
+
+
 query("t4_limit_items", f"SELECT tabela, ano, mes, recorte, nome_arquivo FROM {_ITEMS} WHERE tabela IS NOT NULL AND NOT parcial ORDER BY tabela, ano, coalesce(mes, 0), coalesce(recorte, ''), nome_arquivo LIMIT 20")(lambda s, d: L.plan(items(s, d), limit=20).select("tabela", "ano", "mes", "recorte", "nome_arquivo"))
 query("f13_data_files", "WITH f AS (SELECT o_orderkey, o_custkey AS archive, 'f' || CAST(o_orderkey AS VARCHAR) || CASE o_orderkey % 3 WHEN 0 THEN '.TXT' WHEN 1 THEN '.pdf' ELSE '' END AS nome, CAST(round(o_totalprice / 10) AS BIGINT) AS t FROM orders), b AS (SELECT *, t >= 10240 AND lower(nome) LIKE '%.txt' AS ok FROM f) SELECT o_orderkey FROM (SELECT *, bool_or(ok) OVER (PARTITION BY archive) AS held FROM b) WHERE CASE WHEN held THEN ok ELSE t >= 10240 AND nome NOT LIKE '%.%' END")(
     lambda s, d: L.data_files(sql(s, d, "SELECT o_orderkey, o_custkey AS archive, concat('f', CAST(o_orderkey AS STRING), CASE o_orderkey % 3 WHEN 0 THEN '.TXT' WHEN 1 THEN '.pdf' ELSE '' END) AS nome_arquivo, CAST(round(o_totalprice / 10) AS BIGINT) AS tamanho FROM orders")).select("o_orderkey"))
@@ -511,19 +543,29 @@ query("u4_distinct_rows", "SELECT DISTINCT p_brand, p_type FROM part")(lambda s,
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
 
 
-@query("s4_csv_scan_text", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CASE WHEN o_orderkey % 10 <> 4 THEN o_orderstatus END AS o_orderstatus,
-  CASE WHEN o_orderkey % 10 <> 4 THEN o_orderpriority END AS o_orderpriority, o_orderkey % 10 IN (4, 8) AS torta FROM orders""")
-def _(s, d):
-    """Rows with two and with five fields stand among those with the header's four."""
+def _landed(s: SparkSession, d: str) -> files.Landed:
+    """Orders as text files with two delimiters and orders of columns. By the last digit of the key, a row has two fields (4), five (8),
+    an empty fifth (6), fields in quotation marks with a delimiter inside (2), an open quotation mark (0), or the header's four."""
     out = sinks.work_dir(s, "csv")
-    text = {c: F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")}
-    whole = s.read.parquet(f"{d}/orders.parquet").select("*", (F.col("o_orderkey") % 10).alias("kind"))
-    lines = lambda sep, names: F.concat_ws(sep, *[text[c] for c in names])
-    some = list(text)
-    made = F.when(F.col("kind") == 4, lines(";", some[:2])).when(F.col("kind") == 8, F.concat(lines(";", some), F.lit(";more"))).otherwise(lines(";", some))
-    _with_header(whole.filter("o_orderkey % 2 = 0").select(made), ";".join(some), f"{out}/a")
-    _with_header(whole.filter("o_orderkey % 2 = 1").select(lines(",", some[::-1])), ",".join(some[::-1]), f"{out}/b")
-    return files.read_landed(s, out).select(*some, F.col("_corrupt_record").isNotNull().alias("torta"))
+    some = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    whole = s.read.parquet(f"{d}/orders.parquet").select(*[F.col(c).cast("string").alias(c) for c in some], (F.col("o_orderkey") % 10).alias("kind"), "o_orderkey").toDF(*some, "kind", "key")
+    for rest, (sep, names) in enumerate(((";", some), (",", some[::-1]))):
+        plain = F.concat_ws(sep, *names)
+        quoted = F.concat_ws(sep, *[F.concat(F.lit('"'), F.col(c), F.lit(f'{sep}"')) if c == "o_orderpriority" else F.col(c) for c in names])
+        line = F.when(F.col("kind") == 4, F.concat_ws(sep, *names[:2])).when(F.col("kind") == 8, F.concat(plain, F.lit(f"{sep}more"))).when(F.col("kind") == 6, F.concat(plain, F.lit(sep)))
+        line = line.when(F.col("kind") == 2, quoted).when(F.col("kind") == 0, F.concat(F.lit('"'), plain)).otherwise(plain)
+        _with_header(whole.filter((F.col("key") % 3 == 0) == F.lit(rest == 1)).repartition(8, "key").select(line), sep.join(names), f"{out}/{rest}")
+    return files.read_landed(s, out)
+
+
+_LANDED = """SELECT CASE WHEN o_orderkey % 10 = 4 AND o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+  CASE WHEN o_orderkey % 10 = 4 AND o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+  CASE WHEN o_orderkey % 10 = 4 AND o_orderkey % 3 <> 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 10 = 4 AND o_orderkey % 3 <> 0 THEN NULL WHEN o_orderkey % 10 = 2 THEN o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN ',' ELSE ';' END ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderkey % 10 NOT IN (8, 0)"""
+query("s4_csv_scan_text", _LANDED)(lambda s, d: _landed(s, d).rows)
+query("s4_landed_counts", "SELECT count(*) FILTER (WHERE o_orderkey % 10 NOT IN (8, 0)) AS linhas, count(*) FILTER (WHERE o_orderkey % 10 = 4) AS curtas, count(*) FILTER (WHERE o_orderkey % 10 IN (8, 0)) AS descartadas FROM orders")(
+    lambda s, d: _landed(s, d).counts.agg(*[F.sum(c).alias(c) for c in ("linhas", "curtas", "descartadas")]))
 
 
 def _with_header(lines: DataFrame, header: str, path: str) -> None:
@@ -531,13 +573,24 @@ def _with_header(lines: DataFrame, header: str, path: str) -> None:
     lines.toDF(header).write.csv(path, header=True, sep="\x01", quote="\x02", escape="\x02")
 
 
-@query("s14_s15_file_profiles", "SELECT 'ISO-8859-1' AS encoding, ';' AS delimiter UNION ALL SELECT 'UTF-8', ','")
+@query(
+    "s14_s15_file_profiles",
+    """SELECT pasta, CAST(month(o_orderdate) AS INT) AS mes, CASE WHEN pasta = 'utf' AND o_orderstatus <> 'F' THEN 'UTF-8' ELSE 'ISO-8859-1' END AS encoding,
+      CASE WHEN pasta = 'utf' THEN ',' ELSE ';' END AS delimiter, count(*) AS linhas
+    FROM orders, (SELECT unnest(['utf', 'latin']) AS pasta) GROUP BY ALL""",
+)
 def _(s, d):
+    """Files in both encodings, for each month and for orders of status F and others; those of F have no letters beyond ASCII. Each file's
+    profile is told from its bytes, and its rows are counted by it."""
     out = sinks.work_dir(s, "profiles")
-    made = s.read.parquet(f"{d}/orders.parquet").select(F.concat(F.lit("competência "), "o_orderpriority").alias("área"), F.col("o_orderkey").cast("string").alias("b"))
-    made.coalesce(1).write.option("encoding", "ISO-8859-1").csv(f"{out}/a", header=True, sep=";")
-    made.coalesce(1).write.csv(f"{out}/b", header=True, sep=",")
-    return files.file_profiles(s, out).select("encoding", "delimiter")
+    ascii_only = F.col("o_orderstatus") == "F"
+    word = F.when(ascii_only, "competencia ").otherwise("competência ")
+    made = s.read.parquet(f"{d}/orders.parquet").select(F.month("o_orderdate").alias("m"), ascii_only.alias("f"), F.concat(word, "o_orderpriority").alias("area"), F.col("o_orderkey").cast("string").alias("b"))
+    for folder, sep, encoding in (("utf", ",", "UTF-8"), ("latin", ";", "ISO-8859-1")):
+        made.repartition("m", "f").write.partitionBy("m", "f").option("encoding", encoding).csv(f"{out}/{folder}", header=True, sep=sep)
+    found = files.file_profiles(s, out).join(files.read_landed(s, out).counts, "path")
+    told = found.select(F.regexp_extract("path", "/(utf|latin)/m=", 1).alias("pasta"), F.regexp_extract("path", r"/m=(\d+)/", 1).cast("int").alias("mes"), "encoding", "delimiter", "linhas")
+    return told.groupBy("pasta", "mes", "encoding", "delimiter").agg(F.sum("linhas").alias("linhas"))
 
 
 @query("s5_parquet_scan", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
@@ -563,17 +616,25 @@ def _(s, d):
     return s.read.parquet(out).groupBy("competenciamov").agg(F.count("*").alias("n")).withColumn("conferido", F.lit(sinks.verified(s, out, n)))
 
 
-@query("k2_write_silver_per_file", f"{SILVER} SELECT 'CAGEDMOV' || competenciamov AS arquivo_fonte, count(*) AS n, CAST(sum(n_saldo) AS BIGINT) AS saldo, CAST(1 AS BIGINT) AS pastas FROM silver GROUP BY 1")
+_FILE_NAME = "CONCAT('CAGEDMOV', CAST(ano_particao AS VARCHAR(5)), '_', subclasse, '_', cbo2002ocupacao)"
+
+
+@query(
+    "k2_write_silver_per_file",
+    f"""{SILVER}, b AS (SELECT {_FILE_NAME} AS arquivo_fonte, count(*) AS linhas_bronze FROM mov GROUP BY 1),
+    k AS (SELECT {_FILE_NAME} AS arquivo_fonte, count(*) AS n, CAST(sum(n_saldo) AS BIGINT) AS s FROM silver GROUP BY 1)
+    SELECT arquivo_fonte, linhas_bronze, coalesce(n, 0) AS linhas, coalesce(n, 0) AS lidas, s AS saldo FROM b LEFT JOIN k USING (arquivo_fonte)""",
+)
 def _(s, d):
-    """The first run writes some files' silver and is stopped; the second takes the files that are left."""
+    """Files of which many have no rows in scope. The first run builds some of them and ends; the second takes those that are left. Rows
+    are counted in the manifest and in what is read."""
     out = sinks.work_dir(s, "per-file")
-    bronze = mov(s, d).withColumn("arquivo_fonte", F.concat(F.lit("CAGEDMOV"), "competenciamov"))
-    for part in (bronze.filter("mes_particao < 4"), bronze):
-        done = sinks.files_done(s, out)
-        left = part if done is None else L.skip_existing(part, F.broadcast(done), "arquivo_fonte")
-        sinks.write_silver_per_file(S.build_silver("caged_mov", left, dictionaries(s, d)), out)
-    held = s.read.parquet(out).groupBy("arquivo_fonte").agg(F.count("*").alias("n"), F.sum("saldomovimentacao").cast("long").alias("saldo"))
-    return held.join(sinks.files_done(s, out).groupBy("arquivo_fonte").agg(F.count("*").alias("pastas")), "arquivo_fonte")
+    bronze = mov(s, d).withColumn("arquivo_fonte", F.expr(_FILE_NAME))
+    build = lambda rows: S.build_silver("caged_mov", rows, dictionaries(s, d))
+    for part in (bronze.filter("ano_particao < 1998"), bronze):
+        sinks.build_per_file(part, build, out, ("ano_particao",))
+    read = sinks.read_per_file(s, out).groupBy(F.col("arquivo_fonte").cast("string").alias("arquivo_fonte")).agg(F.count("*").alias("lidas"), F.sum("saldomovimentacao").cast("long").alias("saldo"))
+    return sinks.manifest(s, out).drop("lote").join(read, "arquivo_fonte", "left").fillna(0, ["lidas"])
 
 
 @query("k4_k7_write_unified_sorted", f"{UNIFIED} SELECT competencia, count(*) AS n FROM u GROUP BY 1")
@@ -592,6 +653,18 @@ def _(s, d):
     return files.first_available(s, [out + "-empty", out]).select("ano", "setor", "saldo")
 
 
+@query("k5_incremental_gold", ORACLE["g_saldo_uf"])
+def _(s, d):
+    """Partials of all months but one, with another one that is wrong; then the missing month comes in and the wrong one is replaced, each
+    from its own rows alone."""
+    out, silver = sinks.work_dir(s, "partials"), new_silver(s, d)
+    late, wrong = F.expr("ano_particao = 1999 AND mes_particao = 7"), F.expr("ano_particao = 1998 AND mes_particao = 2")
+    first = silver.filter(~late).withColumn("salario", F.when(wrong, F.lit(1.0)).otherwise(F.col("salario")))
+    for rows in (first, silver.filter(late), silver.filter(wrong)):
+        sinks.write_partitioned(G.gold_partials(rows, "saldo_uf"), out, list(G.MONTH))
+    return G.gold_of_partials(s.read.parquet(out), "saldo_uf")
+
+
 @query("k9_append_ledger", f"SELECT tabela, count(*) AS n FROM ({T.LEDGER}) GROUP BY 1")
 def _(s, d):
     out = sinks.work_dir(s, "ledger")
@@ -602,6 +675,16 @@ def _(s, d):
 
 
 query("s11_row_count", "SELECT count(*) AS n FROM lineitem")(lambda s, d: files.read_root(s, f"{d}/lineitem.parquet").agg(F.count("*").alias("n")))
+@query("s11_row_count_by_file", "SELECT CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS pasta, count(*) AS n FROM orders GROUP BY 1")
+def _(s, d):
+    """Files of three folders, counted from their footers."""
+    out = sinks.work_dir(s, "counted")
+    kind = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
+    s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", kind.alias("k")).write.partitionBy("k").parquet(out)
+    folder = F.regexp_extract("arquivo", r"/k=(\d)/", 1).cast("int").alias("pasta")
+    return files.row_counts(s, out).groupBy(folder).agg(F.sum("n").alias("n"))
+
+
 query("s7_sheet_rows", "SELECT CAST(p_partkey AS VARCHAR) AS col_00, p_name AS col_01, 'aba' AS aba_origem, 'livro' AS planilha_origem FROM part WHERE p_partkey % 5 > 0")(
     lambda s, d: D.sheet_rows(sql(s, d, "SELECT CASE WHEN p_partkey % 5 > 0 THEN p_partkey END AS a, CAST(NULL AS STRING) AS b, CASE WHEN p_partkey % 5 > 0 THEN p_name ELSE 'nan' END AS c FROM part"), "aba", "livro"))
 
@@ -635,14 +718,29 @@ def _(s, d):
     return s.read.parquet(f"{base}/out").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("st2_current_state", f"SELECT status, count(*) AS n FROM {_LATEST} GROUP BY 1")
+@query("st1_ingest_with_ledger", "SELECT o_orderstatus, count(*) AS n, count(*) AS no_ledger FROM orders GROUP BY 1")
+def _(s, d):
+    """Files of one status each, taken in small batches by two runs; the ledger has each file's rows."""
+    base = sinks.work_dir(s, "ledgered")
+    text = s.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").cast("string"), "o_orderstatus")
+    for rest in (0, 1):
+        some = text.filter(F.col("o_orderkey").cast("long") % 2 == rest).withColumn("k", F.col("o_orderstatus"))
+        some.repartition("k").write.mode("append").partitionBy("k").csv(f"{base}/in/{rest}", header=True)
+        ingest.ingest_with_ledger(s, f"{base}/in/*/*", text.schema, f"{base}/out", f"{base}/ledger", f"{base}/check", "pedidos", files_per_batch=2, header="true")
+    rows = ingest.ingested(s, f"{base}/out", f"{base}/ledger")
+    listed = ingest.read_ledger(s, f"{base}/ledger").select("caminho_fonte", "linhas")
+    by_file = rows.groupBy("caminho_fonte", "o_orderstatus").agg(F.count("*").alias("n")).join(listed, "caminho_fonte")
+    return by_file.groupBy("o_orderstatus").agg(F.sum("n").alias("n"), F.sum("linhas").alias("no_ledger"))
+
+
+@query("st2_current_state", f"SELECT status, count(*) AS n, CAST(sum(linhas) AS BIGINT) AS linhas FROM {_LATEST} GROUP BY 1")
 def _(s, d):
     base = sinks.work_dir(s, "state")
     rows = ledger(s, d)
     for rest in (0, 1):
         sinks.append_ledger(rows.filter(F.col("seq") % 2 == rest), f"{base}/ledger")
-        ingest.keep_current(s, f"{base}/ledger", rows.schema, f"{base}/state", f"{base}/check")
-    return ingest.latest(s, f"{base}/state").groupBy("status").agg(F.count("*").alias("n"))
+        ingest.keep_current(s, f"{base}/ledger", rows.schema, f"{base}/check")
+    return ingest.latest(s, f"{base}/check").groupBy("status").agg(F.count("*").alias("n"), F.sum("linhas").alias("linhas"))
 
 
 # --- census tables and adjustments, by workbook ---

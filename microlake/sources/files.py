@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import normalized_names
 
@@ -28,28 +28,62 @@ def file_profiles(spark: SparkSession, root: str) -> DataFrame:
     raw = F.col("value").cast("binary")
     beyond = F.octet_length(F.decode(raw, "ISO-8859-1").cast("binary")) > F.octet_length(raw)
     head = F.when(F.col("_metadata.file_block_start") == 0, raw)  # of the first split, the first line
-    tested = lines.select(F.col("_metadata.file_path").alias("path"), beyond.alias("beyond"), F.is_valid_utf8("value").alias("valid"), head.alias("head"))
-    files = tested.groupBy("path").agg(F.max("beyond").alias("beyond"), F.min("valid").alias("valid"), F.first("head", ignorenulls=True).alias("head"))
+    tested = lines.select(F.col("_metadata.file_path").alias("path"), beyond.alias("beyond"), F.is_valid_utf8("value").alias("valid"), head.alias("head"), F.monotonically_increasing_id().alias("at"))
+    first = F.min_by("head", F.when(F.col("head").isNotNull(), F.col("at")))  # a split is read from its start on, by one task
+    files = tested.groupBy("path").agg(F.max("beyond").alias("beyond"), F.min("valid").alias("valid"), first.alias("head"))
     encoding = F.when(F.col("beyond") & F.col("valid"), "UTF-8").otherwise("ISO-8859-1")
     header = F.when(encoding == "UTF-8", F.decode("head", "UTF-8")).otherwise(F.decode("head", "ISO-8859-1"))
     return files.select("path", encoding.alias("encoding"), header.alias("header")).withColumn("delimiter", delimiter_of(F.col("header")))
 
 
-def read_text_table(spark: SparkSession, paths: list[str], header: list[str], delimiter: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """Delimited text with all columns as text, for files with one header. Short rows are filled with nulls, long ones
-    cut; both are marked in _corrupt_record."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*normalized_names(header), "_corrupt_record"]])
-    options = {"header": True, "sep": delimiter, "encoding": encoding, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "enforceSchema": True}
-    return spark.read.options(**options).schema(schema).csv(paths)
-
-
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """All text files below root, one scan for each profile, united by column name. _corrupt_record marks ragged rows."""
-    profiles: dict[tuple[str, str, str], list[str]] = {}
-    for p in file_profiles(spark, root).toLocalIterator():  # one small row for each file
-        profiles.setdefault((p["encoding"], p["delimiter"], p["header"]), []).append(p["path"])
-    parts = [read_text_table(spark, paths, [x.strip('"') for x in header.split(d)], d, e) for (e, d, header), paths in profiles.items()]
-    return union_by_name(parts)
+#: Stands behind the last field while a line is parsed, so that empty fields at the end are told from missing ones.
+_END = "\x01end"
+
+
+@dataclass(frozen=True)
+class Landed:
+    """Rows of text files, united by column name; every column is text. Beside them, how many rows each file has of each kind."""
+
+    rows: DataFrame
+    counts: DataFrame
+
+
+def read_landed(spark: SparkSession, root: str) -> Landed:
+    """All text files below root, whatever their encodings, delimiters and headers are, in one scan: each line is parsed by its
+    file's profile. Rows with too few fields are filled with nulls. Rows with too many are dropped (unless
+    those beyond are empty), and so are rows whose quotation marks do not close. Lines that repeat the header of their file are headers.
+    counts has (path, linhas, curtas, descartadas); linhas are those kept, curtas the ones of them that were filled."""
+    profiles = file_profiles(spark, root)
+    kinds = profiles.select("header", "delimiter").distinct().filter("header IS NOT NULL").orderBy("header").collect()  # different headers, not files
+    headers = [(k["header"], [x.strip('"') for x in k["header"].split(k["delimiter"])]) for k in kinds]
+    names = {h: normalized_names(fields) for h, fields in headers}
+    columns = list(dict.fromkeys(c for some in names.values() for c in some))
+    widest = max((len(some) for some in names.values()), default=0)
+    lines = spark.read.option("recursiveFileLookup", True).text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("raw"))
+    told = lines.join(profiles, "path").withColumn("line", F.when(F.col("encoding") == "UTF-8", F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1")))
+    told = told.filter((F.col("line") != F.col("header")) & (F.trim("line") != ""))
+    told = told.withColumn("core", F.rtrim("line", F.col("delimiter"))).withColumn("empty", F.length("line") - F.length("core"))
+    marked = F.concat("core", "delimiter", F.lit(_END))
+    schema = ", ".join(f"c{i} string" for i in range(widest + 3))
+    parsed = lambda sep: F.from_csv(marked, F.lit(schema), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    one = told.withColumn("fields", F.when(F.col("delimiter") == ";", parsed(";")).otherwise(parsed(",")))
+    cells = F.array(*[F.col(f"fields.c{i}") for i in range(widest + 3)])
+    of = F.create_map(*[F.lit(x) for h, some in names.items() for x in (h, len(some))]) if names else F.lit(None).cast("map<string,int>")
+    sized = one.select("path", "header", "empty", cells.alias("cells"), F.try_element_at(of, F.col("header")).alias("width"))
+    found = (F.array_position("cells", _END) - 1).cast("int").alias("found")  # fields but for empty ones at the end; -1: too many, or an open quotation mark
+    beyond = F.slice("cells", F.col("width") + 1, F.greatest(F.lit(0), F.col("found") - F.col("width")))
+    kept = (F.col("found") >= 0) & F.forall(beyond, lambda x: F.coalesce(x, F.lit("")) == "")
+    judged = sized.select("*", found).select("*", kept.alias("kept"), (F.col("found") + F.col("empty") < F.col("width")).alias("short"))
+
+    def cell(column: str) -> Column:
+        places = [(h, some.index(column)) for h, some in names.items() if column in some]
+        at = F.try_element_at(F.create_map(*[F.lit(x) for place in places for x in place]), F.col("header"))
+        return F.when(at < F.col("found"), F.get("cells", at)).alias(column)
+
+    rows = judged.filter("kept").select(*[cell(c) for c in columns])
+    n = lambda c: F.count_if(c)
+    counts = judged.groupBy("path").agg(n(F.col("kept")).alias("linhas"), n(F.col("kept") & F.col("short")).alias("curtas"), n(~F.col("kept")).alias("descartadas"))
+    return Landed(rows, counts)
 
 
 def union_by_name(parts: list[DataFrame]) -> DataFrame:
@@ -93,6 +127,11 @@ def row_count(spark: SparkSession, root: str) -> int:
     return read_root(spark, root).count()
 
 
+def row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(arquivo, n) of the Parquet files below root that have rows, by path; no column is read."""
+    return read_root(spark, root).groupBy(F.col("_metadata.file_path").alias("arquivo")).agg(F.count("*").alias("n"))
+
+
 def first_available(spark: SparkSession, roots: list[str]) -> DataFrame | None:
     """The first root that can be read and isn't empty."""
     for root in roots:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +16,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -43,18 +44,47 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     _writer(dealt, BRONZE_ROWS).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def write_silver_per_file(silver: DataFrame, path: str, file: str = "arquivo_fonte") -> None:
-    """The silver of each bronze file in a folder of its own, so that a run that was stopped goes on with the files that are
-    left (see files_done), and a file that is built again replaces just its own."""
-    write_partitioned(silver, path, [file])
+def build_per_file(bronze: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, by: tuple[str, ...] = (), file: str = "arquivo_fonte", force: bool = False) -> DataFrame:
+    """Builds the silver of the bronze files that are not built yet (all of them if force), and returns their rows of the manifest:
+    (file, lote, linhas_bronze, linhas). A file of which no row is in scope is in the manifest with none, so it is done too.
+
+    The rows stand below path/dados in a folder for each build and, as in bronze, for each value of by and each file. What counts
+    is the last row of the manifest for a file: a file that is built again, even to no rows, loses its old ones with that
+    row. A build that is stopped before it leaves nothing that is read, and the next one begins with the same files."""
+    spark = bronze.sparkSession
+    held = manifest(spark, path, file)
+    todo = bronze.groupBy(file).agg(F.count("*").alias("linhas_bronze"))
+    if held is not None and not force:
+        todo = todo.join(held.select(file), file, "left_anti")
+        bronze = bronze.join(held.select(file), file, "left_anti")
+    number = 1 + (0 if held is None else held.agg(F.max("lote")).first()[0] or 0)
+    out = f"{path}/dados/lote={number}"
+    write_partitioned(build(bronze), out, [*by, file])
+    todo.write.mode("overwrite").parquet(f"{path}/pedidos/lote={number}")
+    wanted = spark.read.parquet(f"{path}/pedidos/lote={number}")
+    try:
+        made = spark.read.parquet(out).groupBy(F.col(file).cast("string").alias(file)).agg(F.count("*").alias("linhas"))
+        rows = wanted.join(made, file, "left").fillna(0, ["linhas"])
+    except AnalysisException:  # no file has rows in scope
+        rows = wanted.withColumn("linhas", F.lit(0).cast("long"))
+    rows.select(file, F.lit(number).alias("numero"), "linhas_bronze", "linhas").write.mode("overwrite").parquet(f"{path}/manifesto/lote={number}")
+    return spark.read.parquet(f"{path}/manifesto/lote={number}").select(file, F.col("numero").alias("lote"), "linhas_bronze", "linhas")
 
 
-def files_done(spark: SparkSession, path: str, file: str = "arquivo_fonte") -> DataFrame | None:
-    """(file) of the bronze files whose silver is there; None before the first run."""
+def manifest(spark: SparkSession, path: str, file: str = "arquivo_fonte") -> DataFrame | None:
+    """The last row of each file, (file, lote, linhas_bronze, linhas); None before the first build has ended."""
     try:
-        return spark.read.parquet(path).select(file).distinct()
+        rows = spark.read.parquet(f"{path}/manifesto")
     except AnalysisException:
         return None
+    return rows.groupBy(file).agg(F.max_by(F.struct("numero", "linhas_bronze", "linhas"), "numero").alias("x")).select(file, F.col("x.numero").alias("lote"), "x.linhas_bronze", "x.linhas")
+
+
+def read_per_file(spark: SparkSession, path: str, file: str = "arquivo_fonte") -> DataFrame:
+    """The rows that count, with their file."""
+    held = manifest(spark, path, file).filter("linhas > 0").select(F.col(file).alias("_f"), F.col("lote").alias("_l"))
+    rows = spark.read.option("basePath", f"{path}/dados").parquet(f"{path}/dados")
+    return rows.join(held, (F.col(file).cast("string") == F.col("_f")) & (F.col("lote") == F.col("_l")), "left_semi").drop("lote")
 
 
 def write_sorted(df: DataFrame, path: str, by: str | None, files: int | None = None) -> None:

@@ -27,17 +27,34 @@ def test_layout_sheet_in_any_physical_order(spark):
     assert pairs(D.layout_field(sheet, "Grau Instr")) == [("1", "Analfabeto"), ("2", "Até 5ª")]
 
 
-def test_rows_are_not_multiplied(spark):
-    book = D.unique_key(spark.createDataFrame([("1", "b"), ("01", "a"), ("x", "c"), (None, "d")], "codigo string, descricao string"))
-    assert sorted(tuple(r) for r in book.collect()) == [("1", "01", "a"), ("x", "x", "c")]
-    fact = spark.createDataFrame([("001", "p"), ("1", "q"), ("z", "r"), (None, "s")], "uf string, k string")
-    for books in ({"uf": book}, S.sized({"uf": book})):
+def test_rows_are_not_multiplied(spark, monkeypatch):
+    """Looked up in a projection or joined, by the size of the books."""
+    book = D.unique_key(spark.createDataFrame([("1", "b"), ("01", "a"), ("x", "c"), (None, "d"), ("8", None)], "codigo string, descricao string"))
+    assert sorted(tuple(r) for r in book.select("codigo_norm", "codigo", "descricao").collect() if r["descricao"]) == [("1", "01", "a"), ("x", "x", "c")]
+    fact = spark.createDataFrame([("001", "p"), ("1", "q"), ("z", "r"), (None, "s"), ("08", "t"), ("", "u")], "uf string, k string")
+    small = S.sized({"uf": book, "k": book.limit(0)})
+    monkeypatch.setattr(S, "LOOKUP_BYTES", 10)
+    large = S.sized({"uf": book})
+    assert small["uf"].buckets == 3 and small["k"].buckets == 1 and large["uf"].buckets is None
+    for books in (small, large):
         out = S.translate(fact, books)
-        assert out.columns == ["uf", "uf_descricao", "k"]
-        assert sorted((r["k"], r["uf_descricao"]) for r in out.collect()) == [("p", "a"), ("q", "a"), ("r", None), ("s", None)]
+        assert out.columns[:3] == ["uf", "uf_descricao", "k"]
+        assert sorted((r["k"], r["uf_descricao"]) for r in out.collect()) == [("p", "a"), ("q", "a"), ("r", None), ("s", None), ("t", None), ("u", None)]
     assert S.sized({}) == {}
 
 
+def test_all_columns_are_looked_up_without_a_join_or_an_exchange(spark):
+    """A thousand codes in each of twelve columns, in one projection."""
+    book = spark.range(1000).select(F.col("id").cast("string").alias("codigo_norm"), F.concat(F.lit("d"), "id").alias("descricao"))
+    books = S.sized({f"c{i}": book for i in range(12)})
+    fact = spark.range(5000).select(*[F.lpad(((F.col("id") * (i + 1)) % 1100).cast("string"), 5, "0").alias(f"c{i}") for i in range(12)])
+    out = S.translate(fact, books)
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted").split("===== Subqueries =====")[0]
+    assert "Join" not in plan and "Exchange" not in plan
+    wrong = [F.count_if(~F.col(f"c{i}_descricao").eqNullSafe(F.when(F.col(f"c{i}").cast("int") < 1000, F.concat(F.lit("d"), F.col(f"c{i}").cast("int"))))) for i in range(12)]
+    assert list(out.agg(*wrong).first()) == [0] * 12
+
+
 def test_dispatch(spark):
     sheet = spark.createDataFrame([("1:a", "2:b")], "col_00 string, col_01 string")
     assert pairs(D.dictionary(sheet, "colon_coluna", coluna="col_01")) == [("2", "b")]
@@ -59,11 +76,23 @@ def test_books_come_from_their_workbook_and_unreadable_sheets_are_passed_over(sp
         spark.createDataFrame([(f"1:{word}",)], "col_00 string").write.parquet(files.sheet_path(str(tmp_path), "rais_layouts", "municipio", book))
     (tmp_path / "rais_layouts" / mine / "ocupacao.parquet").write_text("no parquet")
     load = lambda book, sheet: spark.read.parquet(files.sheet_path(str(tmp_path), "rais_layouts", sheet, book))
-    found = D.dictionaries_of("rais_vinc", ["municipio", "cbo_ocupacao_2002", "sexo_trabalhador", "idade"], load)
+    with pytest.warns(UserWarning) as told:
+        found = D.dictionaries_of("rais_vinc", ["municipio", "cbo_ocupacao_2002", "sexo_trabalhador", "idade"], load)
+    assert sorted(str(w.message).split()[0] for w in told if "untranslated" in str(w.message)) == ["rais_vinc.cbo_ocupacao_2002", "rais_vinc.sexo_trabalhador"]
     assert {c: b.first()["descricao"] for c, b in found.items()} == {"municipio": "right"}
     assert all(m["planilha"] == C.CENSUS_WORKBOOKS[t] for t in C.CENSUS_TABLES for m in D.manual_map(t).values())
 
 
+def test_a_sheet_that_breaks_when_it_is_read_is_an_error(spark, tmp_path):
+    path = tmp_path / "municipio.parquet"
+    spark.createDataFrame([("1:a",)], "col_00 string").write.parquet(str(path))
+    sheet = spark.read.parquet(str(path))
+    for part in path.glob("part-*"):
+        part.write_text("broken")
+    with pytest.raises(Exception, match="(?i)parquet|checksum"):
+        D.dictionaries_of("rais_vinc", ["municipio"], lambda book, name: sheet)
+
+
 def test_sheet_rows(spark):
     raw = spark.createDataFrame([("a", None, "nan"), (None, None, "NaT"), ("b", None, "c")], "x string, y string, z string")
     out = D.sheet_rows(raw, "aba", "livro")
