@@ -1,10 +1,11 @@
 """Filter interaction audit over a sparse document-term matrix.
 
-Documents are cut into shards of bounded size; a shard is a block of the matrix in compressed rows, encoded by a dictionary of
-its own. The words of all shards make one global dictionary; each shard's dictionary meets it with one row a word, however often
-the word stands there, and the shard's columns are then renumbered. Sums and nonzero counts of the rows are the documents' words
-and distinct words. From these, two flags of the text and the copies of each text come the filters that a document
-fails; documents are counted by part and set of failed filters, and each order of the filters is told from these counts.
+Words are encoded by one global dictionary: a word's column is its 64-bit hash, and the dictionary, in which each word stands once,
+proves that no two words share a column; otherwise the hash gets another seed. The matrix is cut into shards of bounded size,
+blocks of documents in compressed rows, which tasks build by themselves as soon as the dictionary is proven. Sums and nonzero
+counts of the rows are the documents' words and distinct words. From these, two flags of the text and the copies of each text come
+the filters that a document fails; documents are counted by part and set of failed filters, and each order of the filters is told
+from these counts.
 
 Defined cases: a null text is an empty one and has no words; a null source is part ''; a null id is smaller than all
 others; rows that repeat id and text are no copies of each other; of several labels of an id, one with 1 suffices; an empty
@@ -15,108 +16,123 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count, permutations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import NO_ID, stored, table
 
 LETTERS = "ABCDE"
 #: Words from which a shard is closed; it holds one document more than that at most.
 TOKENS = 1 << 17
+#: Different words that a task gathers for the dictionary before it sends them on.
+GATHERED = 1 << 19
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 50, 65, 5
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _SIGNS = re.compile(rb"[#$%&*|]")
-_ROWS = "ids array<long>, parts array<string>, texts array<binary>, flags array<int>"
-SHARD = f"shard long, {_ROWS}, starts array<int>, columns array<int>, counts array<int>, words array<binary>"
-MATRIX = f"shard long, {_ROWS}, starts array<int>, columns array<long>, counts array<int>, sums array<long>, nonzeros array<long>"
+MATRIX = """shard long, ids array<long>, parts array<string>, texts array<binary>, flags array<int>,
+starts array<int>, columns array<long>, counts array<int>, sums array<long>, nonzeros array<long>"""
+
+
+def words_of(text: str) -> tuple[bytes, list[bytes]]:
+    raw = text.encode("utf-8", "surrogatepass")
+    return raw, raw.split()  # of bytes: at ASCII white space alone
+
+
+def column_of(word: bytes, seed: int) -> int:
+    """The word's column, as a signed integer."""
+    return (xxhash.xxh64_intdigest(word, seed) ^ (1 << 63)) - (1 << 63)
+
+
+class _Columns(dict):
+    """Word: its column."""
+
+    def __init__(self, seed: int):
+        super().__init__()
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = column_of(word, self.seed)
+        return found
 
 
 class _Shard:
-    """Rows of a block and its dictionary, which numbers words in the order they come in."""
+    """Rows of a block of documents."""
 
-    def __init__(self):
-        self.number = defaultdict(count().__next__)
+    def __init__(self, seed: int):
+        self.of = _Columns(seed)
         self.rows, self.columns, self.counts, self.tokens = [], [], [], 0
 
     def add(self, row_id: int, part: str, text: str) -> None:
-        raw = text.encode("utf-8", "surrogatepass")
-        words = raw.split()  # of bytes: at ASCII white space alone
-        ids, counts = np.unique(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)), return_counts=True)
+        raw, words = words_of(text)
+        columns, counts = np.unique(np.fromiter(map(self.of.__getitem__, words), np.int64, len(words)), return_counts=True)
         capitals = len(raw) - len(raw.translate(None, _CAPITALS))
         flags = 4 * (100 * capitals > MOST_CAPITALS * len(text)) + 8 * bool(_SIGNS.search(raw))
         self.rows.append((row_id, part, hashlib.sha256(raw).digest(), flags))
-        self.columns.append(ids)
+        self.columns.append(columns)
         self.counts.append(counts)
         self.tokens += len(words)
 
     def frame(self, shard: int) -> pd.DataFrame:
         ids, parts, texts, flags = map(list, zip(*self.rows, strict=True))
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in self.columns])]).astype(np.int32)
-        columns, counts = np.concatenate(self.columns), np.concatenate(self.counts).astype(np.int32)
-        one = {"shard": shard, "ids": ids, "parts": parts, "texts": texts, "flags": flags, "starts": starts, "columns": columns, "counts": counts, "words": list(self.number)}
+        nonzeros, counts = np.array([len(x) for x in self.columns], np.int64), np.concatenate(self.counts)
+        starts, total = np.concatenate([[0], np.cumsum(nonzeros)]), np.concatenate([[0], np.cumsum(counts)])
+        sums = total[starts[1:]] - total[starts[:-1]]
+        one = {"shard": shard, "ids": ids, "parts": parts, "texts": texts, "flags": flags, "starts": starts.astype(np.int32), "columns": np.concatenate(self.columns), "counts": counts.astype(np.int32), "sums": sums, "nonzeros": nonzeros}
         return pd.DataFrame({k: [v] for k, v in one.items()})
 
 
-def _sharded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    numbers, shard = count(TaskContext.get().partitionId() << 32), _Shard()
-    for b in batches:
-        for row in zip(b["_id"], b["part"], b["text"], strict=True):
-            shard.add(*row)
-            if shard.tokens >= TOKENS:
-                yield shard.frame(next(numbers))
-                shard = _Shard()
-    if shard.rows:
-        yield shard.frame(next(numbers))
+def dictionary(texts: DataFrame, seed: int) -> DataFrame:
+    """(column, word, other) of all words of the column text; other is another word that has the column, if there is one."""
+
+    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: set[bytes] = set()
+        send = lambda: pd.DataFrame({"column": [column_of(w, seed) for w in found], "word": list(found)})
+        for b in batches:
+            for text in b["text"]:
+                found.update(words_of(text)[1])
+                if len(found) >= GATHERED:
+                    yield send()
+                    found.clear()
+        if found:
+            yield send()
 
+    words = texts.select("text").mapInPandas(gathered, "column long, word binary")
+    held = words.groupBy("column").agg(F.min("word").alias("word"), F.max("word").alias("last"))
+    return held.select("column", "word", F.when(F.col("word") != F.col("last"), F.col("last")).alias("other"))
 
-def shards(docs: DataFrame) -> DataFrame:
-    """Blocks of the matrix with dictionaries of their own, in the shared folder."""
+
+def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matrix and its global dictionary (column, word). A row of the matrix is a block of documents in compressed rows: document
+    i has counts[starts[i]:starts[i + 1]] in the columns of these places, in ascending order; sums and nonzeros are those of the rows."""
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return stored(rows.mapInPandas(_sharded, SHARD), "shards")
-
-
-def dictionary(blocks: DataFrame) -> DataFrame:
-    """(word, column): all words of all shards, numbered from 0 on without gaps."""
-    words = stored(blocks.select(F.explode("words").alias("word")).distinct().withColumn("at", F.monotonically_increasing_id()), "words")
-    run, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = words.groupBy(run.alias("run")).agg(F.count("*").alias("n"))  # a row for each file's partition
-    before = sizes.select("run", (F.sum("n").over(W.orderBy("run").rowsBetween(W.unboundedPreceding, -1))).alias("before"))
-    return words.withColumn("run", run).join(F.broadcast(before), "run").select("word", (place + F.coalesce("before", F.lit(0))).alias("column"))
-
-
-def _renumbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = []
-        for starts, columns, counts, numbers in zip(b["starts"], b["columns"], b["counts"], b["numbers"], strict=True):
-            size, row = np.diff(starts), np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            found = np.asarray([] if numbers is None else numbers, np.int64)[columns]
-            order = np.lexsort((found, row))
-            total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            out.append((found[order], counts[order], total[starts[1:]] - total[starts[:-1]], size.astype(np.int64)))
-        yield b.drop(columns="numbers").assign(**{k: [x[i] for x in out] for i, k in enumerate(("columns", "counts", "sums", "nonzeros"))})
-
-
-def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The matrix and its global dictionary. A row of the matrix is a block of documents in compressed rows: document i has
-    counts[starts[i]:starts[i + 1]] in the columns of these places, in ascending order; sums and nonzeros are those of the rows."""
-    blocks = shards(docs)
-    words = stored(dictionary(blocks), "dictionary")
-    met = blocks.select("shard", F.posexplode("words").alias("at", "word")).join(words, "word")
-    numbers = met.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("at", "column"))).alias("x"))  # as many as the shard has words
-    encoded = blocks.drop("words").join(numbers.select("shard", F.col("x.column").alias("numbers")), "shard", "left")
-    return encoded.mapInPandas(_renumbered, MATRIX), words
+    for seed in count():
+        words = stored(dictionary(rows, seed), "dictionary")
+        if words.filter("other IS NOT NULL").isEmpty():
+            break
+
+    def sharded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers, shard = count(TaskContext.get().partitionId() << 32), _Shard(seed)
+        for b in batches:
+            for row in zip(b["_id"], b["part"], b["text"], strict=True):
+                shard.add(*row)
+                if shard.tokens >= TOKENS:
+                    yield shard.frame(next(numbers))
+                    shard = _Shard(seed)
+        if shard.rows:
+            yield shard.frame(next(numbers))
+
+    return rows.mapInPandas(sharded, MATRIX), words.select("column", "word")
 
 
 def failures(docs: DataFrame) -> DataFrame:
