@@ -44,6 +44,8 @@ LEAST_LETTERS, LEAST_TEXTS, LEAST_SHARE, MILD_SHARE = 3, 4, 0.98, 0.7
 #: Stems that may pass by chance, of all that are tried, and stems that are kept at most, the most significant ones.
 BY_CHANCE, LEXICON = 0.05, 2000
 LONGEST = 12
+#: Words that are sent on together while stems are learned.
+ROWS_AT_ONCE = 1 << 15
 #: Words over which a negation reaches, and that may stand between a match and its target.
 SCOPE, NEAR = 3, 4
 
@@ -164,7 +166,7 @@ class Machine:
 class Lexicon(dict):
     """Word in lower case: its symbol. Stems are looked up as words come in and remembered; a stem that ends in a space is a whole word."""
 
-    REMEMBERED = 1 << 20
+    REMEMBERED = 1 << 17
 
     def __init__(self, stems: tuple[str, ...], mild: tuple[str, ...] = ()):
         super().__init__()
@@ -236,7 +238,7 @@ def steps(counts: list[int]) -> list[int]:
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(word, around, doc, label): the words of a text, with a hash of the words around them where the label is 1."""
     for b in batches:
-        found = {"word": [], "around": [], "doc": [], "label": []}
+        found: dict[str, list] = {"word": [], "around": [], "doc": [], "label": []}
         for doc, text, label in zip(b["doc_id"], b["text"], b["label"], strict=True):
             words = _LETTERS.findall((text or "").lower())
             if label:
@@ -248,6 +250,9 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found["around"] += [a for _, a in rows]
             found["doc"] += [doc] * len(rows)
             found["label"] += [label] * len(rows)
+            if len(found["word"]) >= ROWS_AT_ONCE:
+                yield pd.DataFrame(found)
+                found = {k: [] for k in found}
         yield pd.DataFrame(found)
 
 
