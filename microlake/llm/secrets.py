@@ -3,7 +3,9 @@
 The whole text is searched for three kinds of secret (the base), and then for encoded layers: URL escapes, Unicode and
 byte escapes, base64 runs, and compressed data inside base64. Each decoded layer is searched and unwrapped again until
 nothing new comes up; a layer that was seen before, in the same place, ends its branch, so cycles stop. Escapes of the sign
-that begins an escape ('%252541' and so on) are undone to their end in one layer, so a text's layers are few however deep they nest.
+that begins an escape ('%252541' and so on), and of its digits ('%4%31'), are undone to their end in one layer, so a text's layers are
+few however deep they nest. Compressed data is tried from each place that looks like its beginning, and base64, where a whole run is
+neither text nor compressed, from behind each sign that may also part a path.
 A layer's characters carry the span of the original text they come from, so what is found in it is reported as a span of
 the original, in code points.
 
@@ -47,9 +49,16 @@ _URL = re.compile(rf"(?:%|\\{_TO_SLASH}*{_TO_PERCENT})(?:25|5[cC]{_TO_SLASH}*{_T
 _ESCAPE = re.compile(rf"(?:\\|%(?:25)*5[cC])(?:{_TO_SLASH}|{_TO_PERCENT}(?:25)*5[cC])*{_CODE}")
 #: Runs of either alphabet, on one line and going on over whole lines.
 _BASE64 = [re.compile(p.replace("A", a)) for a in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]") for p in (r"A{%d,}={0,2}" % LEAST_BASE64, r"(?<!A)A{%d,}+(?:[\x20\t]*+\r?\n[\x20\t]*+A++)++={0,2}" % LEAST_BASE64)]
-#: Compressed bytes, by how they start, written with URL or byte escapes and plain characters.
-_URL_PACKED = re.compile(r"(?i:%1f%8b|(?:x|%78)(?:%01|%5e|\^|%9c|%da)|BZh|%42%5a%68|%fd(?:7zXZ|%37%7a%58%5a)%00)(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
-_BYTE_PACKED = re.compile(r"(?i:\\x1f\\x8b|(?:x|\\x78)(?:\\x01|\\x5e|\^|\\x9c|\\xda)|BZh|\\x42\\x5a\\x68|\\xfd(?:7zXZ|\\x37\\x7a\\x58\\x5a)\\x00)(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv\\'\"]|[\x20-\[\]-~])*")
+#: How compressed bytes start, written with URL or byte escapes and plain characters, and what may follow.
+_URL_MAGIC = re.compile(r"(?i:%1f%8b|(?:x|%78)(?:%01|%5e|\^|%9c|%da)|BZh|%42%5a%68|%fd(?:7zXZ|%37%7a%58%5a)%00)")
+_URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
+_BYTE_MAGIC = re.compile(r"(?i:\\x1f\\x8b|(?:x|\\x78)(?:\\x01|\\x5e|\^|\\x9c|\\xda)|BZh|\\x42\\x5a\\x68|\\xfd(?:7zXZ|\\x37\\x7a\\x58\\x5a)\\x00)")
+_BYTE_RUN = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv\\'\"]|[\x20-\[\]-~])*")
+#: Characters from which a beginning is told, before more is decoded.
+_HEADS = (64, 4096)
+#: An escape among whose digits another one begins.
+_NESTED = re.compile(r"(?:%[0-9A-Fa-f]?|\\(?:x[0-9A-Fa-f]?|u[0-9A-Fa-f]{0,3}|U[0-9A-Fa-f]{0,7}|u\{[0-9A-Fa-f]{0,5}))(?:%[0-9A-Fa-f%\\]|\\[xuU])")
+_SIGN = re.compile(r"[+/_-]+")
 _BYTE = re.compile(r"\\x([0-9A-Fa-f]{2})|\\([abfnrtv\\'\"])")
 _BYTE_NAMES = dict(zip("abfnrtv\\'\"", "\a\b\f\n\r\t\v\\'\"", strict=True))
 _IS_CUT = bytes(ord("c") if chr(i) in "\0,;()<>[]!?*#&@|~$^`" else ord(".") for i in range(256))
@@ -231,14 +240,83 @@ def _unescaped_unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, found, *(np.array([x[i] for x in found], np.int64) for i in (0, 1))) if found else None
 
 
+def _code_at(out: list, i: int) -> tuple[int, int] | None:
+    """The code and the number of characters of an escape that begins with out[-1] and goes on towards the list's front; i: its sign."""
+    text = lambda n: "".join(x[0] if isinstance(x[0], str) else "\xff" for x in out[-1 : -1 - n : -1])
+    found = _ESCAPE_AT.match(text(11)) if i else _URL_AT.match(text(3))
+    if not found:
+        return None
+    code = int(next(g for g in found.groups() if g), 16)
+    return (code, found.end()) if code < 0x110000 else None
+
+
+_URL_AT, _ESCAPE_AT = re.compile(r"%([0-9A-Fa-f]{2})"), re.compile(r"\\" + _CODE)
+
+
+def _collapsed(layer: Layer) -> Layer:
+    """The layer with all its URL, Unicode and byte escapes undone, also those whose signs or digits are escapes, in one pass from its
+    end to its start. A character of the result is kept with its first and last place; bytes beyond ASCII are read as UTF-8."""
+    out: list[tuple[str | int, int, int]] = []
+    for at in range(len(layer.text) - 1, -1, -1):
+        out.append((layer.text[at], at, at))
+        while out[-1][0] in ("%", "\\") and (met := _code_at(out, "%\\".index(out[-1][0]))):
+            url, (code, size) = out[-1][0] == "%", met
+            made = (code if url and code > 0x7F else chr(code), out[-1][1], out[-size][2])
+            del out[-size:]
+            out.append(made)
+    chars, starts, ends, run = [], [], [], []
+
+    def close() -> None:
+        at = 0
+        for c in bytes(x[0] for x in run).decode("utf-8", "replace"):
+            n = 1 if c == "\ufffd" else len(c.encode())
+            chars.append(c)
+            starts.append(run[min(at, len(run) - 1)][1])
+            at += n
+            ends.append(run[min(at, len(run)) - 1][2] + 1)
+        run.clear()
+
+    for x in reversed(out):
+        if isinstance(x[0], int):
+            run.append(x)
+            continue
+        if run:
+            close()
+        chars.append(x[0])
+        starts.append(x[1])
+        ends.append(x[2] + 1)
+    if run:
+        close()
+    return Layer("".join(chars), *layer.spans(np.array(starts, np.int64), np.array(ends, np.int64)))
+
+
+def _may_be_packed(data: bytes) -> bool:
+    """Whether data begins like compressed data and goes on without a fault."""
+    decoder = _decoder(data)
+    try:
+        return decoder is not None and (decoder.decompress(data, 1 << 16), True)[1]
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+        return False
+
+
+def _byte_data(text: str) -> bytes:
+    return _BYTE.sub(lambda b: chr(int(b[1], 16)) if b[1] else _BYTE_NAMES[b[2]], text).encode("latin-1")
+
+
 def _escaped_packed(layer: Layer) -> Iterator[Layer]:
-    if "%" in layer.text:
-        for m in _URL_PACKED.finditer(layer.text):
-            yield from _packed_layers(urllib.parse.unquote_to_bytes(m[0]), *layer.span(m.start(), m.end())) or ()
-    if "\\x" in layer.text:
-        for m in _BYTE_PACKED.finditer(layer.text):
-            data = _BYTE.sub(lambda b: chr(int(b[1], 16)) if b[1] else _BYTE_NAMES[b[2]], m[0]).encode("latin-1")
-            yield from _packed_layers(data, *layer.span(m.start(), m.end())) or ()
+    """Compressed data behind escapes, from each of its beginnings."""
+    for sign, magic, run, data in (("%", _URL_MAGIC, _URL_RUN, urllib.parse.unquote_to_bytes), ("\\x", _BYTE_MAGIC, _BYTE_RUN, _byte_data)):
+        if sign not in layer.text:
+            continue
+        for m in magic.finditer(layer.text):
+            if all(_may_be_packed(data(run.match(layer.text, m.start(), m.start() + n)[0])) for n in _HEADS):
+                whole = run.match(layer.text, m.start())
+                yield from _packed_layers(data(whole[0]), *layer.span(whole.start(), whole.end())) or ()
+
+
+def _decoded(body: str) -> bytes:
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
@@ -248,28 +326,46 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
             continue
         done.add(m.span())
         wrapped = "\n" in m[0]
-        body = re.sub(r"[\x20\t\r\n]", "", m[0]).rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            if not wrapped:
+        written = re.sub(r"[\x20\t\r\n]", "", m[0]).rstrip("=")
+        body = written.replace("-", "+").replace("_", "/")
+        at = None
+        for start in itertools.chain([0], (x.end() for x in _SIGN.finditer(written))):
+            if start:  # behind a sign: only what begins like text or compressed data is read whole
+                head = _decoded(body[start : start + 64])
+                if len(body) - start < LEAST_BASE64 or not (_may_be_packed(head) or _begins_like_text(head)):
+                    continue
+            some = body[start:]
+            if len(some) % 4 == 1:
+                if not wrapped and not start:
+                    continue
+                some = some[:-1]  # a word of the next line was taken for a part
+            data = _decoded(some)
+            packed = _packed_layers(data, *layer.span(m.start(), m.end()))
+            if packed is not None:
+                yield from packed
+                if start == 0 or _may_be_packed(data):
+                    break
                 continue
-            body = body[:-1]  # a word of the next line was taken for a part
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        packed = _packed_layers(data, *layer.span(m.start(), m.end()))
-        if packed is not None:
-            yield from packed
-            continue
-        text = _readable(data)
-        if text is None:
-            continue
-        # byte n comes from characters 4n/3 to 4(n+1)/3 of the run
-        at = np.flatnonzero(~np.isin(np.frombuffer(m[0].encode(), np.uint8), list(b" \t\r\n="))) + m.start()
-        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        size = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
-        over = np.cumsum(size)
-        yield Layer(text, *layer.spans(at[(over - size) * 4 // 3], at[np.minimum(len(body), -(-over * 4 // 3)) - 1] + 1))
+            text = _readable(data)
+            if text is None:
+                continue
+            # byte n comes from characters 4n/3 to 4(n+1)/3 of the run
+            if at is None:
+                at = np.flatnonzero(~np.isin(np.frombuffer(m[0].encode(), np.uint8), list(b" \t\r\n="))) + m.start()
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            size = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+            over = np.cumsum(size)
+            yield Layer(text, *layer.spans(at[start + (over - size) * 4 // 3], at[start + np.minimum(len(some), -(-over * 4 // 3)) - 1] + 1))
+            break
+
+
+def _begins_like_text(head: bytes) -> bool:
+    """Whether these bytes are UTF-8, but for a character that is cut at the end."""
+    try:
+        head.decode("utf-8")
+    except UnicodeDecodeError as e:
+        return e.start >= max(1, len(head) - 3) and e.reason == "unexpected end of data"
+    return bool(head)
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -293,7 +389,7 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
             spans.update((kind, *layer.span(a, b)) for kind, a, b in base_spans(layer.text, raw))
         found = []
         if "%" in layer.text or "\\" in layer.text:
-            found += [_unescaped_url(layer), _unescaped_unicode(layer)]
+            found += [_collapsed(layer)] if _NESTED.search(layer.text) else [_unescaped_url(layer), _unescaped_unicode(layer)]
         todo += [iter([x for x in found if x is not None]), _escaped_packed(layer)]
         if b"b" * LEAST_BASE64 in raw.translate(_IS_BASE64):
             todo.append(_base64_layers(layer))
