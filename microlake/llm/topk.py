@@ -13,9 +13,10 @@ block's kth scores never meet, and the shard isn't sent there; a shard's tree is
 Defined cases: components become floor(256 x), x as double; vectors that are null, empty, or hold null or non-finite
 components, take no part, nor do rows without an id; rows that repeat id and vector count once; all rows with the
 query's id are its own; vectors of different lengths are not compared; ties go to the smaller id; a query with fewer
-candidates gets them all, and an empty table gives an empty result. Scores are exact while sums of products stay below
-2**63, which components below 2**31 / sqrt(length) do; larger ones raise an error. Columns other than vec_id and embedding
-are not read.
+candidates gets them all, and an empty table gives an empty result. Scores are exact at any size of the components: vectors of a length
+of 2**31 or more (LARGE) are left out of the trees and multiplied in whole numbers of any width. A score beyond 64 bits is given as the
+greatest or least that these can hold, and such ones are ranked by what they are. A component of which 256 x is beyond the doubles
+is not finite. Columns other than vec_id and embedding are not read.
 """
 
 import heapq
@@ -36,6 +37,8 @@ SCALE = 256
 ROWS_A_SHARD = 8192
 QUERIES_A_BLOCK = 512
 LEAF = 128
+#: Length from which a vector is multiplied by itself; two shorter ones have a product within 64 bits.
+LARGE = 2.0**31
 #: Pivots at most; fewer vectors have one for each shard.
 PIVOTS = 512
 #: Shards, in order of their bound, that a block searches in each round; all that are left in the last.
@@ -43,28 +46,69 @@ ROUNDS = (1, 4, None)
 #: Parts that the blocks of a shard are dealt out to.
 SALTS = 4
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_id long, vec_id long, score long, wide string"
+_MOST, _LEAST = 2**63 - 1, -(2**63)
+#: Digits that the product of any two vectors of doubles has at most, and some more.
+_DIGITS = 700
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
-    """(vec_id, dim, v): distinct usable vectors in integers."""
-    e = F.col("embedding")
+    """(vec_id, dim, v): distinct usable vectors in whole numbers, as doubles."""
+    e = F.transform("embedding", lambda x: x.cast("double") * SCALE)
     usable = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    ints = F.transform(e, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    ints = F.transform(e, lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
     rows = vectors.filter(F.col("vec_id").isNotNull() & (F.size(e) > 0)).filter(usable)
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.size(e).alias("dim"), ints.alias("v")).distinct()
 
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of integers."""
+    """Exact inner products of rows of integers that are shorter than LARGE."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2**53:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if most >= 2**63:
+    longest = lambda x: np.linalg.norm(x.astype(np.float64), axis=1).max(initial=0)
+    if longest(a) * longest(b) >= 2**63:
         raise OverflowError("inner products beyond 64 bits")
     return a @ b.T
 
 
+def _whole(rows: np.ndarray) -> np.ndarray:
+    """The rows as whole numbers of any width."""
+    return np.array([[int(x) for x in r] for r in rows.tolist()], object).reshape(rows.shape)
+
+
+def wide(score: int) -> tuple[int, str]:
+    """The score within 64 bits, and, at their ends, a text by which such scores are in order."""
+    if score >= _MOST:
+        return _MOST, f"{score:0{_DIGITS}}"
+    return (_LEAST, f"{10**_DIGITS + score:0{_DIGITS}}") if score <= _LEAST else (score, "")
+
+
+class Shard:
+    """A tree of the vectors that are shorter than LARGE, and the others."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        small = np.linalg.norm(rows, axis=1) < LARGE
+        self.tree = BallTree(ids[small], rows[small].astype(np.int64))
+        self.ids, self.rows = ids[~small], _whole(rows[~small])
+
+    def search(self, ids: np.ndarray, rows: np.ndarray, k: int, floor: np.ndarray) -> pd.DataFrame:
+        """(query_id, vec_id, score, wide) of the k best for each query, at least."""
+        small = np.linalg.norm(rows, axis=1) < LARGE
+        found, scores = self.tree.search(ids[small], rows[small].astype(np.int64), k, floor[small])
+        at, col = np.nonzero(found != -1)
+        out = [pd.DataFrame({"query_id": ids[small][at], "vec_id": found[at, col], "score": scores[at, col], "wide": ""})]
+        more = []
+        for chosen, other_ids, other in ((np.arange(len(ids)), self.ids, self.rows), (np.flatnonzero(~small), self.tree.ids, self.tree.rows.astype(object))):
+            if not len(other_ids):
+                continue
+            for q in chosen.tolist():
+                products = other @ _whole(rows[q : q + 1])[0]
+                best = heapq.nsmallest(k, ((-p, i) for p, i in zip(products.tolist(), other_ids.tolist(), strict=True) if i != ids[q]))
+                more += [(int(ids[q]), i, *wide(-p)) for p, i in best]
+        return pd.concat([*out, pd.DataFrame(more, columns=["query_id", "vec_id", "score", "wide"])]) if more else out[0]
+
+
 class BallTree:
     """Rows in tree order; nodes as (start, end, left, right) with centres and radii; leaves have left = -1."""
 
@@ -136,12 +180,8 @@ class BallTree:
         return best_id, best
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a, np.int64).tobytes()
-
-
-def _ints(raw: bytes, *dims: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64).reshape(dims)
+def _pack(a: np.ndarray, kind: type) -> bytes:
+    return np.ascontiguousarray(a, kind).tobytes()
 
 
 def in_cells(rows: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -172,10 +212,11 @@ def packs(rows: DataFrame, rows_a_pack: int) -> DataFrame:
 
     def one(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
-        matrix = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), k[0])
-        centre = matrix.mean(0)
-        radius = np.linalg.norm(matrix - centre, axis=1).max()
-        return pd.DataFrame({"dim": [k[0]], "cell": [k[1]], "part": [k[2]], "ids": [_pack(pdf["vec_id"].to_numpy())], "rows": [_pack(matrix)], "centre": [centre.tolist()], "radius": [float(radius)]})
+        matrix = np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), k[0])
+        with np.errstate(all="ignore"):  # what is beyond the doubles makes a bound that leaves nothing out
+            centre = matrix.mean(0)
+            radius = np.linalg.norm(matrix - centre, axis=1).max()
+        return pd.DataFrame({"dim": [k[0]], "cell": [k[1]], "part": [k[2]], "ids": [_pack(pdf["vec_id"].to_numpy(), np.int64)], "rows": [_pack(matrix, np.float64)], "centre": [centre.tolist()], "radius": [float(radius)]})
 
     dealt = rows.join(F.broadcast(parts), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
     return dealt.groupBy("dim", "cell", "part").applyInPandas(one, "dim int, cell int, part int, ids binary, rows binary, centre array<double>, radius double")
@@ -189,7 +230,8 @@ def cells_of(blocks: DataFrame, shards: DataFrame) -> DataFrame:
     q = blocks.select("dim", "block", F.col("centre").alias("qc"), F.col("radius").alias("qr"), size("centre").alias("qs"))
     s = shards.select("dim", "shard", F.col("centre").alias("c"), F.col("radius").alias("r"), size("centre").alias("cs"))
     bound = dot + F.col("qs") * F.col("r") + F.col("qr") * (F.col("cs") + F.col("r"))
-    both = q.join(s, "dim").select("dim", "block", "shard", (bound + F.abs(bound) * 1e-9 + 0.5).alias("bound"))
+    safe = F.when(F.isnan(bound), float("inf")).otherwise(bound + F.abs(bound) * 1e-9 + 0.5)
+    both = q.join(s, "dim").select("dim", "block", "shard", safe.alias("bound"))
     return both.withColumn("place", F.row_number().over(W.partitionBy("dim", "block").orderBy(F.desc("bound"), "shard")))
 
 
@@ -206,20 +248,16 @@ def _search(cells: DataFrame, blocks: DataFrame, shards: DataFrame, floors: Data
     trees = used.join(shards.select("dim", "shard", "ids", "rows"), ["dim", "shard"]).withColumns({"floors": F.lit(None).cast("array<struct<query_id:long,kth:long>>"), "is_block": F.lit(0)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = None
+        shard = None
         for b in batches:
             for r in b.itertuples(index=False):
-                ids = _ints(r.ids, -1)
-                rows = _ints(r.rows, len(ids), r.dim)
+                ids = np.frombuffer(r.ids, np.int64)
+                rows = np.frombuffer(r.rows, np.float64).reshape(len(ids), r.dim)
                 if not r.is_block:
-                    tree = BallTree(ids, rows)
+                    shard = Shard(ids, rows)
                     continue
-                least = np.iinfo(np.int64).min
                 known = {x["query_id"]: x["kth"] for x in r.floors} if r.floors is not None else {}
-                floor = np.array([known.get(x, least) for x in ids.tolist()], np.int64)
-                found, scores = tree.search(ids, rows, k, floor)
-                at, col = np.nonzero(found != -1)
-                yield pd.DataFrame({"query_id": ids[at], "vec_id": found[at, col], "score": scores[at, col]})
+                yield shard.search(ids, rows, k, np.array([known.get(x, _LEAST) for x in ids.tolist()], np.int64))
 
     names = ["dim", "shard", "salt", "is_block", "ids", "rows", "floors"]
     both = trees.select(*names).unionByName(sent.select(*names)).repartition("dim", "shard", "salt")
@@ -227,7 +265,7 @@ def _search(cells: DataFrame, blocks: DataFrame, shards: DataFrame, floors: Data
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("wide"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 

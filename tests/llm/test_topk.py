@@ -71,3 +71,26 @@ def test_sums_beyond_64_bits_are_an_error():
     with pytest.raises(OverflowError):
         K._dot(big, big)
     assert K._dot(big[:, :1], big[:, :1])[0, 0] == 2**62
+
+
+def test_components_of_any_size(spark):
+    """Among usual vectors, ones whose products are beyond 64 bits, or cancel out there."""
+    from math import floor, isfinite
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3).tolist()) for i in range(40)]
+    rows += [(50, [1e38, 1e38, 0.0]), (51, [-1e38, 2e38, 5.0]), (52, [1e17, 0.0, 1.0]), (53, [1e17, -1e17, 1e17]), (100, [1e17, 1e17, 0.0]), (101, [9e6, 9e6, 9e6]), (150, [-1e38, -1e38, -1e38])]
+    rows += [(54, [1e38, 1e38, 0.0]), (55, [1e38, 1.0, 0.0]), (56, [1e300, -1e300, 0.0]), (57, [1e307, 0.0, 0.0]), (200, [1.0, 0.0, 0.0])]
+    got = K.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    kept = [(i, [int(floor(256 * x)) for x in v]) for i, v in rows if all(isfinite(256 * x) for x in v)]
+    expected = []
+    for q, v in kept:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in kept if i != q)[:5]
+            expected += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
+def test_wide_scores_are_in_order():
+    values = [-(10**90), -(2**63) - 1, -(2**63), -5, 0, 7, 2**63 - 2, 2**63 - 1, 2**63, 10**80]
+    assert sorted(reversed(values), key=K.wide) == values
