@@ -135,25 +135,36 @@ def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.mapInPandas(sharded, MATRIX), words.select("column", "word")
 
 
-def failures(docs: DataFrame) -> DataFrame:
-    """(_id, part, fails) for each document; fails has bit i for the i-th of LETTERS."""
+def own_failures(docs: DataFrame) -> DataFrame:
+    """(_id, key, part, fails, times): the documents by the failures that their own text tells, and a digest of it; fails has bit i for
+    the i-th of LETTERS. Rows that repeat are counted in times."""
     matrix, _ = document_term_matrix(docs)
     rows = matrix.select(F.explode(F.arrays_zip("ids", "parts", "texts", "flags", "sums", "nonzeros")).alias("x"))
     short, poor = F.col("x.sums") < LEAST_WORDS, 100 * F.col("x.nonzeros") < LEAST_DISTINCT * F.col("x.sums")
     own = F.col("x.flags") + short.cast("int") + 2 * poor.cast("int")
-    flat = stored(rows.select(F.col("x.ids").alias("_id"), F.col("x.parts").alias("part"), F.col("x.texts").alias("key"), own.alias("fails")), "flags")
-    firsts = flat.groupBy("key").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).filter("first < last").drop("last")
-    copy = F.coalesce(F.col("_id") > F.col("first"), F.lit(False))
-    return flat.join(firsts, "key", "left").select("_id", "part", (F.col("fails") + 16 * copy.cast("int")).alias("fails"))
+    flat = rows.select(F.col("x.ids").alias("_id"), F.col("x.parts").alias("part"), F.col("x.texts").alias("key"), own.alias("fails"))
+    return flat.groupBy("_id", "key", "part", "fails").agg(F.count("*").alias("times"))
 
 
-def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row for each part, order of the five filters and step."""
+def counted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(part, fails, n, good, toxic): documents by part and set of failed filters. Copies of a text are summed up before they meet, so a
+    large group of them is a row for each part and label; all but those of the smallest id fail the last filter."""
     marked = lambda c: F.max(F.coalesce(F.col(c) == 1, F.lit(False))).alias(c)
     label = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(marked("quality"), marked("toxic"))
-    rows = failures(docs).join(label, "_id", "left")
-    counted = rows.groupBy("part", "fails").agg(F.count("*").alias("n"), F.count_if("quality").alias("good"), F.count_if("toxic").alias("toxic"))
-    parts = counted.groupBy("part").agg(F.collect_list(F.struct("fails", "n", "good", "toxic")).alias("sets"))  # 32 at most
+    rows = own_failures(docs).join(label, "_id", "left")
+    kinds = [F.col("part"), F.col("fails"), *[F.coalesce(c, F.lit(False)).alias(c) for c in ("quality", "toxic")]]
+    groups = stored(rows.groupBy("key", *kinds).agg(F.sum("times").alias("n"), F.min(F.struct("_id", "times")).alias("lo")), "copies")
+    met = groups.join(groups.groupBy("key").agg(F.min("lo._id").alias("first")), "key")
+    first = F.when(F.col("lo._id") == F.col("first"), F.col("lo.times")).otherwise(0)
+    two = F.array(F.struct(F.col("fails").alias("fails"), first.alias("n")), F.struct((F.col("fails") + 16).alias("fails"), (F.col("n") - first).alias("n")))
+    both = met.select("part", "quality", "toxic", F.explode(two).alias("x")).select("part", "quality", "toxic", "x.*")
+    of = lambda c: F.sum(F.when(F.col(c), F.col("n")).otherwise(0))
+    return both.filter("n > 0").groupBy("part", "fails").agg(F.sum("n").alias("n"), of("quality").alias("good"), of("toxic").alias("bad")).withColumnRenamed("bad", "toxic")
+
+
+def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row for each part, order of the five filters and step."""
+    parts = counted(docs, labels).groupBy("part").agg(F.collect_list(F.struct("fails", "n", "good", "toxic")).alias("sets"))  # 32 at most
     orders = ",".join("".join(p) for p in permutations(LETTERS))
     ordered = parts.withColumn("filter_order", F.explode(F.split(F.lit(orders), ",")))
     steps = ordered.select("*", F.posexplode(F.split("filter_order", "")).alias("step", "letter"))
