@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import canonical_key, clean_text_columns, decimal_comma, technology_scope, yyyymm
+from ..sources.sinks import work_dir
 from .dictionaries import translation_map
 
 #: Bytes of dictionaries that a projection holds at most, all together.
@@ -34,43 +35,60 @@ def bronze(raw: DataFrame, year: Column | int, month: Column | int | None = None
 
 @dataclass(frozen=True)
 class Book:
-    """A dictionary (codigo_norm, descricao; one row for each key). buckets: those of its table in a projection; None for one that
-    is so large that it is joined."""
+    """A dictionary (codigo_norm, descricao; one row for each key). table: the same as a hash table in one row (see write_tables), with so
+    many buckets; None for one that is so large that it is joined."""
 
     rows: DataFrame
     buckets: int | None = None
+    table: DataFrame | None = None
 
 
-def sized(dictionaries: dict[str, DataFrame]) -> dict[str, Book]:
-    """The dictionaries by their size, the smallest first, as long as all together are within LOOKUP_BYTES. All are measured in
-    one job."""
+_TABLES = "coluna string, n long, buckets array<map<string,string>>"
+
+
+def write_tables(dictionaries: dict[str, DataFrame], path: str) -> None:
+    """Writes a row for each dictionary: how many buckets its hash table has, and the table, an array of maps. The smallest dictionaries
+    have one, as long as all together are within LOOKUP_BYTES; the others have none."""
+    spark = SparkSession.active()
+    parts = [d.filter("codigo_norm IS NOT NULL").select(F.lit(c).alias("coluna"), "codigo_norm", "descricao") for c, d in dictionaries.items()]
+    every = reduce(lambda a, b: a.union(b), parts)
     size = F.octet_length("codigo_norm") + F.coalesce(F.octet_length("descricao"), F.lit(0)) + 32
-    parts = [d.filter("codigo_norm IS NOT NULL").select(F.lit(c).alias("c"), size.alias("size")) for c, d in dictionaries.items()]
-    if not parts:
-        return {}
-    found = reduce(lambda a, b: a.union(b), parts).groupBy("c").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    held, sizes = {}, {r["c"]: (r["size"], r["n"]) for r in found.collect()}  # a row for each dictionary
-    for c in sorted(dictionaries, key=lambda c: sizes.get(c, (0, 0))):
-        size, n = sizes.get(c, (0, 0))
-        held[c] = size + sum(sizes.get(x, (0, 0))[0] for x, kept in held.items() if kept) <= LOOKUP_BYTES
-    return {c: Book(d, max(1, sizes.get(c, (0, 0))[1]) if held[c] else None) for c, d in dictionaries.items()}
+    found = {r["coluna"]: (r["bytes"], r["n"]) for r in every.groupBy("coluna").agg(F.sum(size).alias("bytes"), F.count("*").alias("n")).collect()}  # a row for each dictionary
+    held, room = {}, LOOKUP_BYTES
+    for c in sorted(dictionaries, key=lambda c: found.get(c, (0, 0))):
+        room -= found.get(c, (0, 0))[0]
+        held[c] = max(1, found.get(c, (0, 0))[1]) if room >= 0 else None
+    numbers = spark.createDataFrame([(c, n) for c, n in held.items()], "coluna string, n long")
+    small = numbers.filter("n IS NOT NULL")
+    placed = every.join(F.broadcast(small), "coluna").select("coluna", "n", F.pmod(F.xxhash64("codigo_norm"), "n").alias("place"), F.struct("codigo_norm", "descricao").alias("entry"))
+    empty = small.select("coluna", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("place"), F.lit(None).cast(placed.schema["entry"].dataType).alias("entry"))
+    buckets = placed.unionByName(empty).groupBy("coluna", "n", "place").agg(F.collect_list("entry").alias("entries"))
+    in_order = F.array_sort(F.collect_list(F.struct("place", "entries")))  # within LOOKUP_BYTES
+    tables = buckets.groupBy("coluna", "n").agg(F.transform(in_order, lambda x: F.map_from_entries(x["entries"])).alias("buckets"))
+    tables.unionByName(numbers.filter("n IS NULL"), allowMissingColumns=True).coalesce(1).write.parquet(path)
+
+
+def books_of(dictionaries: dict[str, DataFrame], tables: DataFrame) -> dict[str, Book]:
+    """The dictionaries with their hash tables, as write_tables has written them."""
+    sizes = {r["coluna"]: r["n"] for r in tables.select("coluna", "n").collect()}  # a row for each dictionary
+    return {c: Book(d, sizes[c], tables.filter(F.col("coluna") == c).select("buckets")) for c, d in dictionaries.items()}
 
 
-def _table(book: Book) -> Column:
-    """The book as a hash table that a projection can hold: an array of maps, one for each bucket. A scalar subquery, so it is made
-    once and sent with the tasks."""
-    n, entry = book.buckets, F.struct("codigo_norm", "descricao")
-    placed = book.rows.filter("codigo_norm IS NOT NULL").select(F.pmod(F.xxhash64("codigo_norm"), F.lit(n)).alias("place"), entry.alias("entry"))
-    every = placed.sparkSession.range(n).select(F.col("id").alias("place"), F.lit(None).cast(placed.schema["entry"].dataType).alias("entry"))
-    buckets = placed.unionByName(every).groupBy("place").agg(F.collect_list("entry").alias("entries"))
-    in_order = F.array_sort(F.collect_list(F.struct("place", "entries")))
-    return buckets.agg(F.transform(in_order, lambda x: F.map_from_entries(x["entries"])).alias("buckets")).scalar()
+def sized(dictionaries: dict[str, DataFrame]) -> dict[str, Book]:
+    """The dictionaries as translate() takes them, with tables in the shared folder."""
+    if not dictionaries:
+        return {}
+    spark = SparkSession.active()
+    path = work_dir(spark, "tables")
+    write_tables(dictionaries, path)
+    return books_of(dictionaries, spark.read.schema(_TABLES).parquet(path))
 
 
 def looked_up(code: Column, book: Book) -> Column:
-    """Description of a code, by its canonical key; null for one that the book does not have."""
+    """Description of a code, by its canonical key; null for one that the book does not have. The table is a scalar subquery, so it is read
+    once and sent with the tasks."""
     key = canonical_key(code)
-    return F.try_element_at(F.get(_table(book), F.pmod(F.xxhash64(key), F.lit(book.buckets))), key)
+    return F.try_element_at(F.get(book.table.scalar(), F.pmod(F.xxhash64(key), F.lit(book.buckets))), key)
 
 
 def translate(fact: DataFrame, books: dict[str, Book]) -> DataFrame:

@@ -80,7 +80,8 @@ def dictionaries(spark: SparkSession, d: str) -> dict[str, S.Book]:
         sinks.write_partitioned(books, path, ["coluna"])
 
     books = built(spark, d, "books", write, SOURCES)
-    return S.sized({c: books.filter(F.col("coluna") == c).drop("coluna") for c in T.SHEETS})
+    parts = {c: books.filter(F.col("coluna") == c).drop("coluna") for c in T.SHEETS}
+    return S.books_of(parts, built(spark, d, "book-tables", lambda path: S.write_tables(parts, path), SOURCES))
 
 
 _OLD_NAMES = {

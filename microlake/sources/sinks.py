@@ -11,16 +11,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder named by spark.checkpoint.dir; where that is unset on one machine (tests), below
-    a temporary one."""
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir; where that is unset on one machine (tests), a new temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    return base
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 BRONZE_ROWS, PUBLISHED_ROWS = 250_000, 50_000

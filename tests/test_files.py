@@ -165,6 +165,28 @@ def test_the_state_of_a_ledger_goes_on_after_a_restart(spark, tmp_path):
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")  # set for the query alone
 
 
+class _Session:
+    def __init__(self, **conf):
+        self.conf = self
+        self.held = {"spark." + k.replace("_", "."): v for k, v in conf.items()}
+
+    def get(self, name, other=None):
+        return self.held.get(name, other)
+
+    def set(self, name, value):
+        self.held[name] = value
+
+
+def test_only_one_machine_gets_a_folder_of_its_own():
+    for master in ("local", "local[4]", "local[*]"):
+        one = _Session(master=master)
+        assert sinks.shared_dir(one) == sinks.shared_dir(one)
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError):
+            sinks.shared_dir(_Session(master=master))
+        assert sinks.work_dir(_Session(master=master, checkpoint_dir="s3://x"), "a").startswith("s3://x/a-")
+
+
 def test_fallback(spark, tmp_path):
     spark.range(0).write.parquet(str(tmp_path / "none"))
     spark.range(2).write.parquet(str(tmp_path / "some"))
