@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,18 +32,24 @@ def sheet_rows(raw: DataFrame, sheet: str, workbook: str) -> DataFrame:
     return named.withColumns({"aba_origem": F.lit(sheet), "planilha_origem": F.lit(workbook)})
 
 
-def two_columns(sheet: DataFrame) -> DataFrame:
+def _listed(rows: DataFrame, code: Column, text: Column, once: bool) -> DataFrame:
+    """(codigo, descricao); once: each pair one time. What goes on to unique_key() needs no such step."""
+    pairs = rows.select(code.alias("codigo"), text.alias("descricao"))
+    return pairs.distinct() if once else pairs
+
+
+def two_columns(sheet: DataFrame, once: bool = True) -> DataFrame:
     """Code in col_00, description in col_01; header words and nulls go."""
     code, text = trimmed("col_00"), trimmed("col_01")
-    return sheet.filter(~code.isin(*C.HEADERS_TWO) & text.isNotNull()).select(code.alias("codigo"), text.alias("descricao")).distinct()
+    return _listed(sheet.filter(~code.isin(*C.HEADERS_TWO) & text.isNotNull()), code, text, once)
 
 
-def colon(sheet: DataFrame, column: str = "col_00") -> DataFrame:
+def colon(sheet: DataFrame, column: str = "col_00", once: bool = True) -> DataFrame:
     """code:description in one column, split at the first colon; rows without one (titles) go."""
     at = F.instr(F.col(column), ":")
     code = trimmed(F.substring(F.col(column), F.lit(1), at - 1))
     text = trimmed(F.substring(F.col(column), at + 1, F.length(column)))
-    return sheet.filter(at > 0).select(code.alias("codigo"), text.alias("descricao")).distinct()
+    return _listed(sheet.filter(at > 0), code, text, once)
 
 
 def side_by_side(sheet: DataFrame, columns: list[str]) -> DataFrame:
@@ -71,10 +77,10 @@ def layout_field(sheet: DataFrame, field: str, order: str = "row_index", by: lis
     return mine.select(trimmed("col_04").alias("codigo"), trimmed("col_03").alias("descricao")).distinct()
 
 
-def title_code(sheet: DataFrame, text_column: str = "col_00", code_column: str = "col_01") -> DataFrame:
+def title_code(sheet: DataFrame, text_column: str = "col_00", code_column: str = "col_01", once: bool = True) -> DataFrame:
     """Description and code in given columns; titles, which have no code, and header words go."""
     code, text = trimmed(code_column), trimmed(text_column)
-    return sheet.filter(code.isNotNull() & text.isNotNull() & ~F.lower(code).isin(*C.HEADERS_TITLE)).select(code.alias("codigo"), text.alias("descricao")).distinct()
+    return _listed(sheet.filter(code.isNotNull() & text.isNotNull() & ~F.lower(code).isin(*C.HEADERS_TITLE)), code, text, once)
 
 
 def bands(sheet: DataFrame) -> dict[str, DataFrame]:
@@ -91,11 +97,11 @@ def unique_key(dictionary: DataFrame) -> DataFrame:
 
 
 _STYLES: dict[str, Callable[..., DataFrame]] = {
-    "2col": lambda s, **k: two_columns(s),
-    "colon": lambda s, **k: colon(s),
-    "colon_coluna": lambda s, **k: colon(s, k["coluna"]),
+    "2col": lambda s, **k: two_columns(s, False),
+    "colon": lambda s, **k: colon(s, once=False),
+    "colon_coluna": lambda s, **k: colon(s, k["coluna"], False),
     "cagestid": lambda s, **k: layout_field(s, k["campo"]),
-    "titulo_codigo": lambda s, **k: title_code(s, k.get("col_desc", "col_00"), k.get("col_cod", "col_01")),
+    "titulo_codigo": lambda s, **k: title_code(s, k.get("col_desc", "col_00"), k.get("col_cod", "col_01"), False),
 }
 
 

@@ -46,16 +46,14 @@ class Book:
 _TABLES = "coluna string, n long, buckets array<map<string,string>>"
 
 
-def write_tables(dictionaries: dict[str, DataFrame], path: str) -> None:
-    """Writes a row for each dictionary: how many buckets its hash table has, and the table, an array of maps. The smallest dictionaries
-    have one, as long as all together are within LOOKUP_BYTES; the others have none."""
-    spark = SparkSession.active()
-    parts = [d.filter("codigo_norm IS NOT NULL").select(F.lit(c).alias("coluna"), "codigo_norm", "descricao") for c, d in dictionaries.items()]
-    every = reduce(lambda a, b: a.union(b), parts)
+def write_tables(books: DataFrame, columns: list[str], path: str) -> None:
+    """Writes a row for each column's dictionary: how many buckets its hash table has, and the table, an array of maps. The smallest
+    dictionaries have one, as long as all together are within LOOKUP_BYTES; the others have none. books: (coluna, codigo_norm, descricao)."""
+    spark, every = books.sparkSession, books.filter("codigo_norm IS NOT NULL")
     size = F.octet_length("codigo_norm") + F.coalesce(F.octet_length("descricao"), F.lit(0)) + 32
     found = {r["coluna"]: (r["bytes"], r["n"]) for r in every.groupBy("coluna").agg(F.sum(size).alias("bytes"), F.count("*").alias("n")).collect()}  # a row for each dictionary
     held, room = {}, LOOKUP_BYTES
-    for c in sorted(dictionaries, key=lambda c: found.get(c, (0, 0))):
+    for c in sorted(columns, key=lambda c: found.get(c, (0, 0))):
         room -= found.get(c, (0, 0))[0]
         held[c] = max(1, found.get(c, (0, 0))[1]) if room >= 0 else None
     numbers = spark.createDataFrame([(c, n) for c, n in held.items()], "coluna string, n long")
@@ -78,10 +76,11 @@ def sized(dictionaries: dict[str, DataFrame]) -> dict[str, Book]:
     """The dictionaries as translate() takes them, with tables in the shared folder."""
     if not dictionaries:
         return {}
-    spark = SparkSession.active()
-    path = work_dir(spark, "tables")
-    write_tables(dictionaries, path)
-    return books_of(dictionaries, spark.read.schema(_TABLES).parquet(path))
+    parts = [d.select(F.lit(c).alias("coluna"), "codigo_norm", "descricao") for c, d in dictionaries.items()]
+    every = reduce(lambda a, b: a.union(b), parts)
+    path = work_dir(every.sparkSession, "tables")
+    write_tables(every, list(dictionaries), path)
+    return books_of(dictionaries, every.sparkSession.read.schema(_TABLES).parquet(path))
 
 
 def looked_up(code: Column, book: Book) -> Column:

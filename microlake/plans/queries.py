@@ -60,7 +60,8 @@ def ledger(spark: SparkSession, d: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
-    return sql(spark, d, T.INVENTORY.format(**T.SPARK_DATES))
+    orders = files.spread(spark.read.parquet(f"{d}/orders.parquet"), "o_orderkey")
+    return sql(spark, d, T.INVENTORY.format(**T.SPARK_DATES), {"orders": orders})
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +71,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
 def dictionary(spark: SparkSession, d: str, column: str, read: dict[str, DataFrame] | None = None) -> DataFrame:
     style, text = T.SHEETS[column]
     made = {"colon": D.colon, "2col": D.two_columns, "titulo_codigo": D.title_code}[style]
-    return D.unique_key(made(sql(spark, d, text, read)))
+    return D.unique_key(made(sql(spark, d, text, read), once=False))
 
 
 def dictionaries(spark: SparkSession, d: str) -> dict[str, S.Book]:
@@ -81,7 +82,7 @@ def dictionaries(spark: SparkSession, d: str) -> dict[str, S.Book]:
 
     books = built(spark, d, "books", write, SOURCES)
     parts = {c: books.filter(F.col("coluna") == c).drop("coluna") for c in T.SHEETS}
-    return S.books_of(parts, built(spark, d, "book-tables", lambda path: S.write_tables(parts, path), SOURCES))
+    return S.books_of(parts, built(spark, d, "book-tables", lambda path: S.write_tables(books, list(T.SHEETS), path), SOURCES))
 
 
 _OLD_NAMES = {
