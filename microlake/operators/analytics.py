@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .. import constants as C
 from ..functions.columns import exact_mean
 
 
@@ -116,6 +115,3 @@ def arc_ratios(arc: DataFrame) -> DataFrame:
 def profile(movements: DataFrame, year: int) -> DataFrame:
     """Rows by state, sex and race in a year."""
     return movements.filter(F.col("ano_particao") == year).groupBy(F.col("uf_descricao").alias("uf"), F.col("sexo_descricao").alias("sexo"), F.col("racacor_descricao").alias("raca_cor")).agg(F.count("*").alias("n"))
-
-
-LENS_LABELS = (C.LENS_BOTH, C.LENS_OCCUPATION, C.LENS_OTHER)

@@ -572,7 +572,7 @@ query("s4_landed_counts", "SELECT count(*) FILTER (WHERE o_orderkey % 10 NOT IN
 
 def _with_header(lines: DataFrame, header: str, path: str) -> None:
     """Lines as one column of a CSV file without quotes, under a header line in each file."""
-    lines.toDF(header).write.csv(path, header=True, sep="\x01", quote="\x02", escape="\x02")
+    lines.toDF(header).write.csv(path, header=True, sep="\x01", quote="\x02", escape="\x02", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 @query(
@@ -710,6 +710,17 @@ def _(s, d):
     return files.sanitize_report(lines).crossJoin(F.broadcast(kept))
 
 
+@query("s16_sanitized_table", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
+def _(s, d):
+    """Lines with NUL characters inside, and among them lines of white space and of one letter; cleaned, they are read as a table."""
+    out = sinks.work_dir(s, "unclean")
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit("\x00;\x00"), "o_orderpriority")
+    junk = F.when(F.col("o_orderkey") % 3 == 0, "\x00x").when(F.col("o_orderkey") % 3 == 1, " \x00 \t ")
+    lines = s.read.parquet(f"{d}/orders.parquet").select(F.explode(F.array_compact(F.array(line, junk))))
+    _with_header(lines, "o_orderkey;o_orderpriority", out)
+    return files.read_landed(s, out, sanitize=True).rows.select("o_orderkey", "o_orderpriority")
+
+
 @query("st1_incremental_ingest", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _(s, d):
     base = sinks.work_dir(s, "landing")

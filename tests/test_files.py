@@ -49,6 +49,13 @@ def test_ragged_rows_as_a_tolerant_reader_reads_them(spark, tmp_path):
     assert sorted(got) == sorted(plain) and len(got) < 300
 
 
+def test_unclean_lines_are_cleaned_before_they_are_parsed(spark, tmp_path):
+    (tmp_path / "x.csv").write_bytes(b"a;b\n1\0;2\n\0x\n \0\t\n3;\0\0\n;\n")
+    landed = files.read_landed(spark, str(tmp_path), sanitize=True)
+    assert sorted((r["a"], r["b"]) for r in landed.rows.collect()) == [("1", "2"), ("3", None)]
+    assert tuple(landed.counts.select("linhas", "curtas", "descartadas").first()) == (2, 0, 0)
+
+
 def test_many_files_are_one_scan(spark, tmp_path):
     for i in range(1000):
         head, sep = (("a", "b"), ";") if i % 2 else (("b", "a", "x"), ",")
