@@ -15,7 +15,6 @@ unpacks to more than EXPANDED bytes is read to its end in pieces of about that s
 """
 
 import base64
-import binascii
 import bz2
 import hashlib
 import itertools
