@@ -16,7 +16,7 @@ order of their ids; the score of a text depends on the text alone.
 Labels are used for documents whose crc32 of the id is not 0 modulo 5.
 
 Defined cases: null and empty texts, and those without any match, have the same score, below 0.5; labels other than 0 and 1 and
-null ids of labels are ignored, of several labels of an id the greatest counts; without labels the prior weights hold; rows that
+null ids of labels are ignored, of several labels of an id the greatest counts, and of several texts the one of the least hash; without labels the prior weights hold; rows that
 repeat get the same score; an empty table gives an empty result. Columns other than doc_id and text are not read.
 """
 
@@ -317,7 +317,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(5, 0))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(stored(chosen, "labelled")), "doc_id")
-    labelled = stored(texts.select("doc_id", "text", "label").dropDuplicates(["doc_id"]), "labelled-texts")
+    one = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label"))
+    labelled = stored(one, "labelled-texts")
     stems, mild = learn_stems(labelled)
     start = Model(stems, mild)
 
