@@ -242,7 +242,7 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc, text, label in zip(b["doc_id"], b["text"], b["label"], strict=True):
             words = _LETTERS.findall((text or "").lower())
             if label:
-                near = zip(["", *words[:-1]], words, [*words[1:], ""], strict=True)
+                near = zip(["", *words], words, [*words[1:], ""], strict=False)  # no words: none
                 rows = {(x[1], zlib.crc32("\0".join(x).encode("utf-8", "surrogatepass"))) for x in near}
             else:
                 rows = {(w, 0) for w in words}
@@ -253,7 +253,8 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(found["word"]) >= ROWS_AT_ONCE:
                 yield pd.DataFrame(found)
                 found = {k: [] for k in found}
-        yield pd.DataFrame(found)
+        if found["word"]:  # a frame without rows has no column of text
+            yield pd.DataFrame(found)
 
 
 def learn_stems(labelled: DataFrame) -> tuple[tuple[str, ...], tuple[str, ...]]:

@@ -107,3 +107,10 @@ def test_odd_and_empty(spark, odd, empty):
     assert found.columns == [*odd.columns, "toxic_clauses"] and found.filter(F.size("toxic_clauses") > 0).count() == 0
     unlabelled = T.fit(odd, labels.limit(0))
     assert unlabelled.stems == () and unlabelled.weights == T.PRIOR
+
+
+def test_texts_without_words_are_no_frame(spark):
+    """A batch without words, or one whose last text filled a run of rows, leaves nothing to send on."""
+    rows = spark.createDataFrame([(1, "", 1), (2, "12 :: 3", 0)], "doc_id long, text string, label int").coalesce(1)
+    assert rows.mapInPandas(T._words, "word string, around long, doc long, label int").collect() == []
+    assert T.learn_stems(rows) == ((), ())
