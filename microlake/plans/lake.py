@@ -37,6 +37,18 @@ def built(spark: SparkSession, folder: str, name: str, write: Callable[[str], No
     return spark.read.parquet(path)
 
 
+#: Bytecode above which the JVM only interprets a method.
+LONGEST_METHOD = 8000
+
+
+def short_methods(spark: SparkSession) -> None:
+    """A stage of many columns becomes one method; where it is longer than the JVM compiles, each row costs some five times as much.
+    Sets the session to compile such a stage in parts, unless it has a limit of its own."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, LONGEST_METHOD)
+
+
 def forget(spark: SparkSession) -> None:
     """From now on this session's layers are built anew."""
     for key in [k for k in _BUILT if k[0] == spark.sparkContext.applicationId]:

@@ -261,3 +261,15 @@ def test_unify_fills_missing_columns(spark):
     new = spark.createDataFrame([("6201501", "212405", 1)], "subclasse string, cbo2002ocupacao string, saldomovimentacao int")
     new = new.withColumns({c: F.lit(1) for c in ("ano_particao", "mes_particao", "idade", "salario")}).withColumn("competenciamov_data", F.current_date())
     assert len(G.harmonised(new, False).columns) == 19
+
+
+def test_stages_that_are_too_long_to_compile_are_cut(spark):
+    """The silver of a large table is one stage, whose method the JVM would only interpret; a limit that is set stays."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    for own, want in ((None, "8000"), ("5000", "5000")):
+        spark.conf.unset(name)
+        if own:
+            spark.conf.set(name, own)
+        QUERIES["f8_not_null_dimension"](spark, "/root/testdata/sf0.001").collect()
+        assert spark.conf.get(name) == want
+    spark.conf.unset(name)
