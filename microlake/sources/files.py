@@ -53,7 +53,8 @@ def read_landed(spark: SparkSession, root: str, sanitize: bool = False) -> Lande
     file's profile. Rows with too few fields are filled with nulls. Rows with too many are dropped (unless
     those beyond are empty), and so are rows whose quotation marks do not close. Lines that repeat the header of their file are headers.
     counts has (path, linhas, curtas, descartadas); linhas are those kept, curtas the ones of them that were filled. sanitize: lines are
-    cleaned as by sanitized_lines() before they are parsed, and those that it drops count in nothing."""
+    cleaned as by sanitized_lines() before they are parsed, and those that it drops count in nothing. Lines stay where they are read: the
+    profiles, a row for each file as in the driver's own list of files, are sent to them."""
     profiles = file_profiles(spark, root)
     kinds = profiles.select("header", "delimiter").distinct().filter("header IS NOT NULL").orderBy("header").collect()  # different headers, not files
     headers = [(k["header"], [x.strip('"') for x in k["header"].split(k["delimiter"])]) for k in kinds]
@@ -61,7 +62,7 @@ def read_landed(spark: SparkSession, root: str, sanitize: bool = False) -> Lande
     columns = list(dict.fromkeys(c for some in names.values() for c in some))
     widest = max((len(some) for some in names.values()), default=0)
     lines = spark.read.option("recursiveFileLookup", True).text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("raw"))
-    told = lines.join(profiles, "path").withColumn("line", F.when(F.col("encoding") == "UTF-8", F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1")))
+    told = lines.join(F.broadcast(profiles), "path").withColumn("line", F.when(F.col("encoding") == "UTF-8", F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1")))
     if sanitize:
         told = sanitized_lines(told, "line")
     told = told.filter((F.col("line") != F.col("header")) & (F.trim("line") != ""))

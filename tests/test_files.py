@@ -273,3 +273,12 @@ def test_stages_that_are_too_long_to_compile_are_cut(spark):
         QUERIES["f8_not_null_dimension"](spark, "/root/testdata/sf0.001").collect()
         assert spark.conf.get(name) == want
     spark.conf.unset(name)
+
+
+def test_lines_meet_their_profiles_where_they_are_read(spark, tmp_path):
+    """No exchange goes over the lines, which would bring all of a file to one task."""
+    (tmp_path / "x.csv").write_text("a;b\n1;2\n")
+    rows = files.read_landed(spark, str(tmp_path), sanitize=True).rows
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [tuple(r) for r in rows.collect()] == [("1", "2")]
