@@ -1,5 +1,5 @@
 """Layers of the given tables that are written once for each session and folder, and read again by all queries after that:
-the code books, the technology silver and the unified series."""
+the code books and the technology silver."""
 
 from __future__ import annotations
 

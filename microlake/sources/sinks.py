@@ -49,6 +49,21 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     _writer(dealt, BRONZE_ROWS).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+#: Partitions that a task writes at once, with a file open for each.
+FEW_PARTITIONS = 40
+
+
+def write_few_partitioned(df: DataFrame, path: str, by: str) -> None:
+    """A new table of few partitions: each task writes a file for each of them, and no row is shuffled or sorted before."""
+    spark, name = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, FEW_PARTITIONS)
+    try:
+        _writer(df, BRONZE_ROWS).mode("overwrite").partitionBy(by).parquet(path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_per_file(bronze: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, by: tuple[str, ...] = (), file: str = "arquivo_fonte", force: bool = False) -> DataFrame:
     """Builds the silver of the bronze files that are not built yet (all of them if force), and returns their rows of the manifest:
     (file, lote, linhas_bronze, linhas). A file of which no row is in scope is in the manifest with none, so it is done too.

@@ -282,3 +282,17 @@ def test_lines_meet_their_profiles_where_they_are_read(spark, tmp_path):
     plan = rows._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert [tuple(r) for r in rows.collect()] == [("1", "2")]
+
+
+def test_silver_and_unified_rows_are_not_shuffled(spark, tmp_path):
+    """A table of few partitions is written where its rows are, with one file a task and partition; the unified series is made of the silver."""
+    rows = spark.range(0, 1000, 1, 3).select("id", (F.col("id") % 4).alias("k"))
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    sinks.write_few_partitioned(rows, str(tmp_path / "t"), "k")
+    assert spark.conf.get(name) == before
+    assert len(list((tmp_path / "t").glob("k=*/*.parquet"))) == 12
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(1000))
+    series, silver = lake_queries.unified(spark, "/root/testdata/sf0.001"), lake_queries.new_silver(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in series._jdf.queryExecution().executedPlan().toString() and set(series.inputFiles()) == set(silver.inputFiles())
+    assert series.count() == silver.count()
