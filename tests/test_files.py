@@ -296,3 +296,12 @@ def test_silver_and_unified_rows_are_not_shuffled(spark, tmp_path):
     series, silver = lake_queries.unified(spark, "/root/testdata/sf0.001"), lake_queries.new_silver(spark, "/root/testdata/sf0.001")
     assert "Exchange" not in series._jdf.queryExecution().executedPlan().toString() and set(series.inputFiles()) == set(silver.inputFiles())
     assert series.count() == silver.count()
+
+
+def test_files_of_the_silver_are_built_in_stages_that_are_compiled(spark):
+    """k2 builds its silver by file, not from the layer."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(name)
+    QUERIES["k2_write_silver_per_file"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(name) == "8000"
+    spark.conf.unset(name)
