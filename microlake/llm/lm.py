@@ -92,43 +92,58 @@ class Reader:
     def __init__(self, model: Model):
         self.model, self.words = model, WordHashes(NOT_SPACE)
 
-    def tokens(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, class, and place in the class (-1 for words that are not frequent) of each token, the end included."""
-        h = self.words.of(raw)
-        n, m = len(h), self.model
-        classes, places = np.zeros(n + 1, np.int16), np.full(n + 1, -1, np.int16)
-        if n:
+    def read(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, class, and place (-1 for words without one) of each token of the texts, ends included; and where each text ends."""
+        m, raw = self.model, END.join([*raws, b""])  # an end parts words, too
+        word = NOT_SPACE.take(np.frombuffer(raw, np.uint8))
+        ends = np.flatnonzero(word[:-1] > word[1:])
+        own = np.searchsorted(ends, np.cumsum([len(x) + 1 for x in raws]))  # words up to the end of each text
+        stops = own + np.arange(1, len(raws) + 1)
+        h, classes, places = (np.zeros(len(ends) + len(raws), t) for t in (np.uint64, np.int16, np.int32))
+        places -= 1
+        if len(ends):
+            at = np.ones(len(h), bool)
+            at[stops - 1] = False
+            at = np.flatnonzero(at)
+            h[at] = hashes = self.words.of(raw)
             b = np.frombuffer(raw, np.uint8)
-            word = NOT_SPACE.take(b)
-            ends = np.flatnonzero(np.concatenate([word[:-1] > word[1:], word[-1:]]))
             before = np.where((ends > 0) & word[ends - 1], b[ends - 1], 0).astype(np.int64)
-            classes[:n] = _SUFFIX[before << 8 | b[ends]]
-        if n and len(m.hashes):
-            at = np.minimum(np.searchsorted(m.hashes, h), len(m.hashes) - 1)
-            known = np.flatnonzero(m.hashes[at] == h)
-            size = m.w2.shape[2]
-            classes[known], places[known] = 1 + m.ranks[at[known]] // size, m.ranks[at[known]] % size
-        return np.append(h, np.uint64(0)), classes, places
+            classes[at] = _SUFFIX[before << 8 | b[ends]]
+            if len(m.hashes):
+                found = np.minimum(np.searchsorted(m.hashes, hashes), len(m.hashes) - 1)
+                known = np.flatnonzero(m.hashes[found] == hashes)
+                size, ranks = m.w2.shape[2], m.ranks[found[known]]
+                classes[at[known]], places[at[known]] = 1 + ranks // size, ranks % size
+        return h, classes, places, stops
+
+    def tokens(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of one text."""
+        return self.read([raw])[:3]
 
     def blocks(self, texts: Iterator[str | None], most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, bool]]]]:
-        """Features (a line for each kind), classes and places of about most tokens, and for each of their texts, in order, the number of
-        tokens and whether the text ends there. What lies before a text counts as ends."""
+        """Features (a line for each kind), classes and places of at most so many tokens, and for each of their texts, in order, the number
+        of tokens and whether the text ends there. What lies before a text counts as ends."""
         most = most or STEP
-        parts, sizes, n = [], [], 0
+        held, size = [], 0
         for t in texts:
-            h, classes, places = self.tokens(lowered(t))
-            past = np.concatenate([np.zeros(2, np.uint64), h])
-            for at in range(0, len(h), most):
-                to = min(at + most, len(h))
-                one, two = past[at + 1 : to + 1], past[at:to]
-                parts.append((np.stack([one, two * np.uint64(3) + np.uint64(1), mixed(one * np.uint64(5) + two)]), classes[at:to], places[at:to]))
-                sizes.append((to - at, to == len(h)))
-                n += to - at
-                if n >= most:
-                    yield *(np.concatenate(x, -1) for x in zip(*parts, strict=True)), sizes
-                    parts, sizes, n = [], [], 0
-        if n:
-            yield *(np.concatenate(x, -1) for x in zip(*parts, strict=True)), sizes
+            held.append(lowered(t))
+            size += len(held[-1]) + 1
+            if size >= 8 * most:
+                yield from self._cut(held, most)
+                held, size = [], 0
+        if held:
+            yield from self._cut(held, most)
+
+    def _cut(self, raws: list[bytes], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, bool]]]]:
+        h, classes, places, stops = self.read(raws)
+        one, two = np.append(np.uint64(0), h[:-1]), np.append(np.zeros(2, np.uint64), h)[: len(h)]
+        two[np.append(0, stops[:-1])] = 0
+        for at in range(0, len(h), most):
+            to = min(at + most, len(h))
+            a, b = one[at:to], two[at:to]
+            edges = stops[np.searchsorted(stops, at, "right") : np.searchsorted(stops, to, "right")].tolist()
+            sizes = [(y - x, True) for x, y in zip([at, *edges], edges)] + [(to - x, False) for x in [at, *edges][-1:] if x < to]
+            yield np.stack([a, b * np.uint64(3) + np.uint64(1), mixed(a * np.uint64(5) + b)]), classes[at:to], places[at:to], sizes
 
 
 def class_rows(model: Model, features: np.ndarray) -> np.ndarray:
@@ -151,11 +166,11 @@ def shares(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarra
 
 
 def _add_up(sums: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
+    """Adds each line of g to its rows: two numbers at a time, as the parts of one complex number, which add.at takes in half the time."""
+    width = g.shape[1] // 2
+    pairs = np.ascontiguousarray(g).view(np.complex64).ravel()
     for total, r in zip(sums, rows, strict=True):
-        order = np.argsort(r, kind="stable")  # 16-bit numbers are sorted by radix
-        ids = r[order]
-        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        total[ids[first]] += np.add.reduceat(g.take(order, 0), first, axis=0)
+        np.add.at(total.view(np.complex64).reshape(-1), (r.astype(np.int64)[:, None] * width + np.arange(width)).ravel(), pairs)
 
 
 def add_gradient(model: Model, sums: list[np.ndarray], features: np.ndarray, classes: np.ndarray, places: np.ndarray) -> None:
@@ -171,7 +186,7 @@ def add_gradient(model: Model, sums: list[np.ndarray], features: np.ndarray, cla
         g = shares(model.w2, rows, model.b2[classes[known] - 1])
         g[np.arange(len(known)), places[known]] -= 1
         _add_up(sums[1], rows, g)
-        np.add.at(sums[3], classes[known] - 1, g)
+        _add_up(sums[3][None], classes[None, known] - 1, g)
 
 
 def log_shares(model: Model, features: np.ndarray, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -191,7 +206,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         held: Counter[bytes] = Counter()
 
         def out() -> pd.DataFrame:
-            frame = pd.DataFrame({"word": list(held), "class": [suffix_class(w) for w in held], "n": list(held.values())})
+            frame = pd.DataFrame({"word": list(held), "n": list(held.values())})
             held.clear()
             return frame
 
@@ -204,8 +219,10 @@ def count_words(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    part = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "word binary, class int, n long")
-    return part.groupBy("word").agg(F.first("class").alias("class"), F.sum("n").alias("n"))
+    part = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "word binary, n long")
+    last = F.expr("substring(concat(X'00', word), -2)")  # as in suffix_class
+    of_word = F.when(F.col("word") == F.lit(END), 0).otherwise(F.crc32(last) % SUFFIX_CLASSES + 1 + CLASSES)
+    return part.groupBy("word").agg(F.sum("n").alias("n")).select("word", of_word.cast("int").alias("class"), "n")
 
 
 def least_count(counts: DataFrame, most: int) -> int:

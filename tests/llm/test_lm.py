@@ -141,3 +141,28 @@ def test_odd_and_empty(odd, empty):
     assert M.score(empty, empty).count() == 0
     got = M.score(odd, odd.limit(0)).collect()
     assert len(got) == odd.count() and all(r["base_score"] == 0 and r["n_known"] == 0 for r in got)
+
+
+def test_many_texts_are_read_at_once_as_one_by_one(spark):
+    """Texts of a block are hashed together; words, histories and classes are those of each text by itself."""
+    model = M.Model([b"ab", b"x"], [3, 2], np.ones(M.ALL_CLASSES), 100)
+    reader, texts = M.Reader(model), ["Ab x y", None, "", " \t", "é", "x " * 40 + "ab", "last\n", "q"]
+    h, classes, places, stops = reader.read([M.lowered(t) for t in texts])
+    alone = [reader.tokens(M.lowered(t)) for t in texts]
+    for got, i in ((h, 0), (classes, 1), (places, 2)):
+        assert got.tolist() == np.concatenate([a[i] for a in alone]).tolist()
+    assert stops.tolist() == np.cumsum([len(a[0]) for a in alone]).tolist()
+    together, each = list(reader.blocks(iter(texts), 1000)), [b for t in texts for b in reader.blocks(iter([t]), 1000)]
+    assert len(together) == 1 and (together[0][0] == np.concatenate([b[0] for b in each], 1)).all()
+    counted = M.count_words(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {bytes(r["word"]): r["class"] for r in counted} == {w: M.suffix_class(w) for t in texts for w in [*M.lowered(t).split(), M.END]}
+
+
+def test_rows_are_added_up_whole():
+    rng = np.random.default_rng(4)
+    rows, g = rng.integers(0, 9, (3, 500)).astype(np.uint16), rng.normal(0, 1, (500, 16)).astype(np.float32)
+    got, want = np.zeros((3, 9, 16), np.float32), np.zeros((3, 9, 16))
+    M._add_up(got, rows, g)
+    for f in range(3):
+        np.add.at(want[f], rows[f], g.astype(float))
+    assert np.abs(got - want).max() < 1e-4
