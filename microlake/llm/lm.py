@@ -4,9 +4,11 @@ P(word | history) = P(class | history) * P(word | class, history). The end of a
 frequent words, by rank, fill classes of WORDS_A_CLASS each; all other words fall in classes by their last two bytes. Both
 factors are softmaxes over sums of rows of weights: one row for each feature of the history, which are the word before
 (n-gram), the word before that (skip), and the two together (n-gram), hashed to rows; for the word in its class they are hashed
-together with the class. In the classes of rarer words, P(word | class) is (c + 1) / (N + V + 1) with the class's own exact
-counts, so that one unseen word has a share in each of them. The number of rows follows the number of training tokens, up
-to 2**MOST_BITS, so that what is sent to the tasks has a bound.
+together with the class. In a class of rarer words, those that occur LEARNT times have a factor of the history as well, by a tree
+of softmaxes that is as deep as their number asks for: its root has the rest of the class as one outcome, its most frequent words, and
+nodes with the others. In the rest, P(word | class) is (c + 1) / (N + V + 1) with its own exact counts, so that one unseen
+word has a share in each class. The words with a factor of their own and the rows grow with the training tokens without a bound: the
+rows in proportion up to 2**STEEP_BITS of a feature, and with the root beyond, because they are sent to the tasks.
 
 Training is distributed and synchronous: in each of ROUNDS, all tasks sum the gradient of their share of that round's
 documents at the same weights; the sums are added up in two levels of grouping, and one step, with a rate for each weight, is
@@ -37,8 +39,10 @@ END = b"\n"
 CLASSES, WORDS_A_CLASS, SUFFIX_CLASSES = 8, 32, 7
 ALL_CLASSES = 1 + CLASSES + SUFFIX_CLASSES
 FEATURES = 3
-#: Rows of a feature, as powers of two, and the training tokens for each.
-LEAST_BITS, MOST_BITS, TOKENS_A_ROW = 10, 14, 4096
+#: Rows of a feature, as powers of two, and the training tokens for each of them up to STEEP_BITS.
+LEAST_BITS, STEEP_BITS, TOKENS_A_ROW = 10, 14, 4096
+#: Training tokens of a word for each word of a suffix class that has its own outcomes.
+LEARNT = 4096
 ROUNDS = 5
 #: Size of a step, and what is added to the size of a weight's gradients, in tokens.
 RATE, PRIOR = 0.4, 30.0
@@ -63,31 +67,88 @@ def lowered(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower() if text else b""  # bytes.lower() changes A-Z alone
 
 
-class Model:
-    """Hashes of the most frequent words, by which they are numbered, and the weights: w1, w2 (feature, row, outcome), and the
-    biases b1, b2, which begin as the logarithms of the shares that the outcomes have."""
+def bits_for(tokens: int) -> int:
+    """Rows of a feature as a power of two."""
+    rows = math.log2(tokens / TOKENS_A_ROW + 1)
+    return max(LEAST_BITS, math.ceil(rows) if rows <= STEEP_BITS else STEEP_BITS + int((rows - STEEP_BITS) / 2))
+
+
+def tree_paths(n: int, width: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each of n words, most frequent first, and at the end for the rest of their class, the nodes (from 0, -1 behind the last) and
+    outcomes on its way from the root; and the number of nodes. Of the root's outcomes the first is the rest, those of the first
+    half are words, and those of the second half are words or trees of even depth."""
+    first = min(n, width // 2 - 1)
+    more, levels = n - first, 0
+    while (width - width // 2) * width**levels < more:
+        levels += 1
+    nodes, outcomes = np.full((n + 1, levels + 1), -1, np.int32), np.zeros((n + 1, levels + 1), np.int32)
+    nodes[:, 0], outcomes[:first, 0], j, used = 0, 1 + np.arange(first), np.arange(more), 1
+    outcomes[first:n, 0] = width // 2 + j // width**levels
+    for level in range(1, levels + 1):
+        nodes[first:n, level] = used + j // width ** (levels - level + 1)
+        outcomes[first:n, level] = j // width ** (levels - level) % width
+        used += 1 + int(j[-1]) // width ** (levels - level + 1)
+    return nodes, outcomes, used
 
-    def __init__(self, words: list[bytes], counts: list[int], class_counts: np.ndarray, tokens: int):
-        self.bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(tokens / TOKENS_A_ROW + 1))))
-        hasher = WordHashes(NOT_SPACE)
-        h = np.array([hasher.of(w)[0] for w in words], np.uint64)
+
+class Model:
+    """Hashes of the words that have outcomes, by which they are numbered, and the weights: w1, w2 (feature, row, outcome), and the
+    biases b1, b2, which begin as the logarithms of the shares that the outcomes have. The first CLASSES lines of b2 are the classes of
+    frequent words, the others nodes of trees. learned: (word, count) of words of suffix classes, most frequent first; rest: for each
+    class what the other words of it count."""
+
+    def __init__(self, words: list[bytes], counts: list[int], class_counts: np.ndarray, tokens: int, learned: list[tuple[bytes, int]] = (), rest: np.ndarray | None = None):
+        self.bits, width = bits_for(tokens), WORDS_A_CLASS
+        self.frequent = len(words)
+        h = WordHashes(NOT_SPACE).of(b" ".join([*words, *(w for w, _ in learned)]))
         self.ranks = np.argsort(h)
         self.hashes = h[self.ranks]
         self.w1 = np.zeros((FEATURES, 1 << self.bits, ALL_CLASSES), np.float32)
-        self.w2 = np.zeros((FEATURES, 1 << self.bits, WORDS_A_CLASS), np.float32)
+        self.w2 = np.zeros((FEATURES, 1 << self.bits, width), np.float32)
         self.b1 = (np.log(class_counts + 1) - np.log((class_counts + 1).sum())).astype(np.float32)
-        n = np.zeros(CLASSES * WORDS_A_CLASS)
+        n = np.zeros(CLASSES * width)
         n[: len(words)] = counts
-        n = n.reshape(CLASSES, WORDS_A_CLASS)
+        n, self.rest = self._trees(n.reshape(CLASSES, width), learned, rest)
         # places that no word has stay out of reach
         self.b2 = np.where(n > 0, np.log(np.maximum(n, 1)) - np.log(np.maximum(n.max(1, keepdims=True), 1)), -80).astype(np.float32)
 
+    def _trees(self, n: np.ndarray, learned: list[tuple[bytes, int]], rest: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Sets the way of each learned word, and of the rest of each class that has such words. Returns n with a line for each node, and
+        which way is that of the rest of a class, or -1."""
+        of, ways, behind = np.array([suffix_class(w) for w, _ in learned], int), [], np.full(ALL_CLASSES, -1)
+        for c in sorted(set(of.tolist())):
+            nodes, outcomes, used = tree_paths(int((of == c).sum()), n.shape[1])
+            behind[c] = len(learned) + len(ways)
+            ways.append((np.append(np.flatnonzero(of == c), behind[c]), np.where(nodes >= 0, nodes + len(n), -1), outcomes))
+            n = np.concatenate([n, np.zeros((used, n.shape[1]))])
+        deepest = max((w[1].shape[1] for w in ways), default=0)
+        self.nodes, self.outcomes = np.full((len(learned) + len(ways), deepest), -1, np.int32), np.zeros((len(learned) + len(ways), deepest), np.int32)
+        for at, nodes, outcomes in ways:
+            self.nodes[at, : nodes.shape[1]], self.outcomes[at, : nodes.shape[1]] = nodes, outcomes
+        count = np.array([k for _, k in learned] + [max(rest[c], 1) for c in np.flatnonzero(behind >= 0)], float)
+        for nodes, outcomes in zip(self.nodes.T, self.outcomes.T, strict=True):
+            np.add.at(n, (nodes[nodes >= 0], outcomes[nodes >= 0]), count[nodes >= 0])
+        return n, behind
+
+    def steps(self, classes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each softmax below that of the classes: the token, the line of b2, and the outcome. Some tokens have none, some many."""
+        at = np.flatnonzero((places >= 0) & (classes <= CLASSES))
+        out = [(at, classes[at].astype(np.int32) - 1, places[at].astype(np.int32))]
+        if self.nodes.size:
+            at = np.flatnonzero(self.rest[classes] >= 0)
+            way = np.where(places[at] >= 0, places[at], self.rest[classes[at]])
+            for nodes, outcomes in zip(self.nodes.T, self.outcomes.T, strict=True):
+                going = np.flatnonzero(nodes[way] >= 0)
+                at, way = at[going], way[going]
+                out.append((at, nodes[way], outcomes[way]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
     def arrays(self) -> list[np.ndarray]:
         return [self.w1, self.w2, self.b1, self.b2]
 
 
 class Reader:
-    """Turns texts into blocks of tokens."""
+    """Turns texts into blocks of tokens. The place of a frequent word is that in its class, the place of a learned one its number."""
 
     def __init__(self, model: Model):
         self.model, self.words = model, WordHashes(NOT_SPACE)
@@ -113,7 +174,9 @@ class Reader:
                 found = np.minimum(np.searchsorted(m.hashes, hashes), len(m.hashes) - 1)
                 known = np.flatnonzero(m.hashes[found] == hashes)
                 size, ranks = m.w2.shape[2], m.ranks[found[known]]
-                classes[at[known]], places[at[known]] = 1 + ranks // size, ranks % size
+                frequent = ranks < m.frequent
+                places[at[known]] = np.where(frequent, ranks % size, ranks - m.frequent)
+                classes[at[known[frequent]]] = 1 + ranks[frequent] // size
         return h, classes, places, stops
 
     def tokens(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,12 +209,16 @@ class Reader:
             yield np.stack([a, b * np.uint64(3) + np.uint64(1), mixed(a * np.uint64(5) + b)]), classes[at:to], places[at:to], sizes
 
 
+def _row(model: Model, features: np.ndarray) -> np.ndarray:
+    return ((features * _TURNS[:, None]) >> np.uint64(64 - model.bits)).astype(np.uint32)
+
+
 def class_rows(model: Model, features: np.ndarray) -> np.ndarray:
-    return ((features * _TURNS[:, None]) >> np.uint64(64 - model.bits)).astype(np.uint16)
+    return _row(model, features)
 
 
-def word_rows(model: Model, features: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return (((features + classes.astype(np.uint64) * _CLASS_TURN) * _TURNS[:, None]) >> np.uint64(64 - model.bits)).astype(np.uint16)
+def word_rows(model: Model, features: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    return _row(model, features + (nodes + 1).astype(np.uint64) * _CLASS_TURN)
 
 
 def shares(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -180,23 +247,24 @@ def add_gradient(model: Model, sums: list[np.ndarray], features: np.ndarray, cla
     g[np.arange(len(classes)), classes] -= 1
     _add_up(sums[0], rows, g)
     sums[2] += g.sum(0)
-    known = np.flatnonzero(places >= 0)
-    if len(known):
-        rows = word_rows(model, features[:, known], classes[known])
-        g = shares(model.w2, rows, model.b2[classes[known] - 1])
-        g[np.arange(len(known)), places[known]] -= 1
+    at, nodes, outcomes = model.steps(classes, places)
+    if len(at):
+        rows = word_rows(model, features[:, at], nodes)
+        g = shares(model.w2, rows, model.b2[nodes])
+        g[np.arange(len(at)), outcomes] -= 1
         _add_up(sums[1], rows, g)
-        _add_up(sums[3][None], classes[None, known] - 1, g)
+        _add_up(sums[3][None], nodes[None], g)
 
 
 def log_shares(model: Model, features: np.ndarray, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """log10 of what both softmaxes give to each token."""
-    p = shares(model.w1, class_rows(model, features), model.b1)[np.arange(len(classes)), classes].astype(np.float64)
-    known = np.flatnonzero(places >= 0)
-    if len(known):
-        p2 = shares(model.w2, word_rows(model, features[:, known], classes[known]), model.b2[classes[known] - 1])
-        p[known] *= p2[np.arange(len(known)), places[known]]
-    return np.log10(np.maximum(p, 1e-300))
+    """log10 of what the softmaxes give to each token: its class, and its word or the rest of its class."""
+    log = lambda p: np.log10(np.maximum(p.astype(np.float64), 1e-300))
+    out = log(shares(model.w1, class_rows(model, features), model.b1)[np.arange(len(classes)), classes])
+    at, nodes, outcomes = model.steps(classes, places)
+    if len(at):
+        p = shares(model.w2, word_rows(model, features[:, at], nodes), model.b2[nodes])[np.arange(len(at)), outcomes]
+        out += np.bincount(at, log(p), len(out))
+    return out
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -277,8 +345,8 @@ def train(docs: DataFrame, model: Model) -> None:
 
 
 def fit(training: DataFrame, counts: DataFrame) -> tuple[Model, np.ndarray, dict[bytes, int]]:
-    """The model; for each class the tokens and distinct words that count words inside it (none for frequent words); and the
-    counts of the frequent words and of the end."""
+    """The model; for each class the tokens and distinct words that count words inside it (none for frequent and learned words); and
+    the counts of the frequent words and of the end."""
     top = counts.filter(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(CLASSES * WORDS_A_CLASS).select("word", "n").collect()
     words, n = [bytes(r["word"]) for r in top], [r["n"] for r in top]
     inside = np.zeros((ALL_CLASSES, 2))
@@ -288,7 +356,12 @@ def fit(training: DataFrame, counts: DataFrame) -> tuple[Model, np.ndarray, dict
     for i, (w, k) in enumerate(zip(words, n, strict=True)):  # frequent words leave the class of their ending
         inside[suffix_class(w)] -= k, 1
         inside[1 + i // WORDS_A_CLASS, 0] += k
-    model = Model(words, n, inside[:, 0], tokens)
+    often = counts.filter((F.col("word") != F.lit(END)) & (F.col("n") >= LEARNT)).select("word", "n").collect()  # one for LEARNT tokens at most
+    learned = sorted(((bytes(r["word"]), r["n"]) for r in often), key=lambda x: (-x[1], x[0]))[len(words) :]
+    whole = inside[:, 0].copy()
+    for w, k in learned:
+        inside[suffix_class(w)] -= k, 1
+    model = Model(words, n, whole, tokens, learned, inside.sum(1) + 1)
     train(training, model)
     frequent = dict(zip(words, n, strict=True)) | ({END: int(inside[0, 0])} if tokens else {})
     inside[: 1 + CLASSES] = 0
@@ -301,7 +374,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
     hot = {bytes(r["word"]): r["n"] for r in counts.filter(F.col("n") >= least_count(counts, HOT)).select("word", "n").collect()}  # at most HOT
-    floor = math.log10(total + distinct + 1)
+    floor, learnt = math.log10(total + distinct + 1), LEARNT
     model, inside, frequent = fit(training, counts)
     shared = docs.sparkSession.sparkContext.broadcast((model, np.log10(inside.sum(1) + 1), hot | frequent, set(frequent)))
 
@@ -326,7 +399,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
                     if found := logs.get(w):
                         known += n
                         base += n * found[1]
-                        if w not in frequent:
+                        if found[0] < learnt and w not in frequent:
                             inner += n * found[1]
                     else:
                         rare.append((w, n))
@@ -337,12 +410,13 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     schema = "_id long, _dk long, n_tokens long, hot_known long, hot_logs double, inner_logs double, words array<binary>, ns array<long>, model double"
     parts = stored(with_key(docs).mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = parts.select("row", F.explode(F.arrays_zip("words", "ns")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.ns").alias("k"))
-    seen = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("rare_logs"))
+    logs, inner = F.col("k") * F.log10(F.col("n") + 1), F.col("n") < LEARNT
+    seen = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(F.sum("k").alias("rare_known"), F.sum(logs).alias("rare_logs"), F.sum(F.when(inner, logs)).alias("rare_inner"))
     known = F.col("hot_known") + F.coalesce("rare_known", F.lit(0))
-    rare_logs = F.coalesce("rare_logs", F.lit(0.0))
+    rare_logs, rare_inner = (F.coalesce(c, F.lit(0.0)) for c in ("rare_logs", "rare_inner"))
     return parts.drop("words", "ns").join(seen, "row", "left").select(
         "_id", "_dk", "n_tokens", known.alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("hot_logs") + rare_logs - F.col("n_tokens") * F.lit(floor)).alias("base_score"), (F.col("model") + F.col("inner_logs") + rare_logs).alias("score"),
+        (F.col("hot_logs") + rare_logs - F.col("n_tokens") * F.lit(floor)).alias("base_score"), (F.col("model") + F.col("inner_logs") + rare_inner).alias("score"),
     )
 
 

@@ -166,3 +166,54 @@ def test_rows_are_added_up_whole():
     for f in range(3):
         np.add.at(want[f], rows[f], g.astype(float))
     assert np.abs(got - want).max() < 1e-4
+
+
+def test_shares_of_learned_words_sum_to_one(monkeypatch):
+    """Trees of several depths: every word of a class has one way, and all of them, the rest of each class too, share the whole of a history."""
+    monkeypatch.setattr(M, "WORDS_A_CLASS", 4)
+    for n in (0, 1, 2, 3, 4, 11, 12, 40, 200):
+        nodes, outcomes, used = M.tree_paths(n, 4)
+        ways = {tuple(x[x[:, 0] >= 0].ravel().tolist()) for x in np.stack([nodes, outcomes], 2)}
+        assert len(ways) == n + 1 and set(nodes.ravel().tolist()) - {-1} == set(range(used)) and outcomes.max() < 4
+    learned = [(f"r{i}{end}".encode(), 500 - i) for i in range(90) for end in ("en", "os")]
+    words = [f"w{i}".encode() for i in range(M.CLASSES * 4)]
+    model = M.Model(words, list(range(700, 700 - len(words), -1)), np.ones(M.ALL_CLASSES), 10**6, learned, np.full(M.ALL_CLASSES, 50))
+    rng = np.random.default_rng(1)
+    for a in model.arrays():
+        a += rng.normal(0, 1, a.shape).astype(np.float32)
+    _, classes, places = M.Reader(model).tokens(b" ".join([*words, *(w for w, _ in learned)]))
+    assert len({*zip(classes.tolist(), places.tolist(), strict=True)}) == len(classes) and (places[:-1] >= 0).all()
+    rest = np.arange(M.CLASSES + 1, M.ALL_CLASSES)
+    classes, places = np.append(classes, rest).astype(np.int16), np.append(places, np.full(len(rest), -1))
+    features = np.repeat(rng.integers(0, 2**63, (M.FEATURES, 1)).astype(np.uint64), len(classes), 1)
+    assert (10 ** M.log_shares(model, features, classes, places)).sum() == pytest.approx(1, abs=1e-4)
+    loss = lambda: -float(M.log_shares(model, features, classes, places).sum()) * math.log(10)
+    sums = [np.zeros_like(a) for a in model.arrays()]
+    M.add_gradient(model, sums, features, classes, places)
+    before, line = loss(), int(model.nodes[0, 1])
+    model.b2[line, 1] += 0.01
+    assert (loss() - before) / 0.01 == pytest.approx(float(sums[3][line, 1]), rel=0.05)
+
+
+@pytest.mark.parametrize("hot", [100_000, 50])
+def test_history_tells_words_beyond_the_most_frequent(spark, monkeypatch, hot):
+    """Words of suffix classes with LEARNT tokens have a factor of the history, whether their counts are sent or joined."""
+    for name, value in (("WORDS_A_CLASS", 4), ("TOKENS_A_ROW", 4), ("PRIOR", 3.0), ("HOT", hot)):
+        monkeypatch.setattr(M, name, value)
+    rng, frequent = random.Random(5), [f"f{i}" for i in range(40)]
+    rare = [f"r{i}{x}" for i in range(30) for x in ("en", "os")]
+    after = {w: rng.sample(rare, 2) for w in frequent}
+    texts = [" ".join(x for _ in range(20) for w in [rng.choice(frequent)] for x in (w, rng.choice(after[w]))) for _ in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    score = {}
+    for learnt in (10**9, 60):
+        monkeypatch.setattr(M, "LEARNT", learnt)
+        got = M.score(docs, docs.filter(~M.held_out(7, 2))).select(M.doc_id(), "n_tokens", "score").collect()
+        held = [r for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2]
+        score[learnt] = sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert score[60] > score[10**9] + 0.1
+
+
+def test_rows_grow_with_the_corpus_without_a_bound():
+    sizes = [M.bits_for(n) for n in (0, 10**6, 6 * 10**7, 10**9, 10**10, 10**11, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == M.LEAST_BITS and sizes[2] == 14 < sizes[3] < sizes[4] < sizes[5] < sizes[6]
