@@ -42,35 +42,45 @@ def write_bronze(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replaces the partitions that df has rows for, and no others. Rows of a partition are brought together first, so that
-    it gets few files; very large ones are split."""
-    dealt = df.hint("rebalance", *by)
-    _writer(dealt, BRONZE_ROWS).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
 #: Partitions that a task writes at once, with a file open for each.
 FEW_PARTITIONS = 40
 
 
-def write_few_partitioned(df: DataFrame, path: str, by: str) -> None:
-    """A new table of few partitions: each task writes a file for each of them, and no row is shuffled or sorted before."""
+def _write_unsorted(df: DataFrame, path: str, by: list[str], **options: str) -> None:
+    """Each task writes a file for each partition that it has rows for, without sorting the rows by partition before; only those beyond
+    FEW_PARTITIONS are sorted."""
     spark, name = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name)
     spark.conf.set(name, FEW_PARTITIONS)
     try:
-        _writer(df, BRONZE_ROWS).mode("overwrite").partitionBy(by).parquet(path)
+        _writer(df, BRONZE_ROWS).mode("overwrite").options(**options).partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(name, before)
 
 
+def dealt(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of a partition are brought together, so that it gets few files; very large ones are split."""
+    return df.hint("rebalance", *by)
+
+
+def write_partitioned(df: DataFrame, path: str, by: list[str], deal: bool = True) -> None:
+    """Replaces the partitions that df has rows for, and no others. deal: rows are not dealt() out yet."""
+    _write_unsorted(dealt(df, by) if deal else df, path, by, partitionOverwriteMode="dynamic")
+
+
+def write_few_partitioned(df: DataFrame, path: str, by: str) -> None:
+    """A new table of few partitions: each task writes a file for each of them, and no row is shuffled or sorted before."""
+    _write_unsorted(df, path, [by])
+
+
 def build_per_file(bronze: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, by: tuple[str, ...] = (), file: str = "arquivo_fonte", force: bool = False) -> DataFrame:
     """Builds the silver of the bronze files that are not built yet (all of them if force), and returns their rows of the manifest:
     (file, lote, linhas_bronze, linhas). A file of which no row is in scope is in the manifest with none, so it is done too.
 
     The rows stand below path/dados in a folder for each build and, as in bronze, for each value of by and each file. What counts
     is the last row of the manifest for a file: a file that is built again, even to no rows, loses its old ones with that
-    row. A build that is stopped before it leaves nothing that is read, and the next one begins with the same files."""
+    row. Rows are brought together by file before they are built, while they are narrow; build's filters are pushed down to where they are
+    read. A build that is stopped before it leaves nothing that is read, and the next one begins with the same files."""
     spark = bronze.sparkSession
     held = manifest(spark, path, file)
     todo = bronze.groupBy(file).agg(F.count("*").alias("linhas_bronze"))
@@ -79,7 +89,7 @@ def build_per_file(bronze: DataFrame, build: Callable[[DataFrame], DataFrame], p
         bronze = bronze.join(held.select(file), file, "left_anti")
     number = 1 + (0 if held is None else held.agg(F.max("lote")).first()[0] or 0)
     out = f"{path}/dados/lote={number}"
-    write_partitioned(build(bronze), out, [*by, file])
+    write_partitioned(build(dealt(bronze, [*by, file])), out, [*by, file], False)
     todo.write.mode("overwrite").parquet(f"{path}/pedidos/lote={number}")
     wanted = spark.read.parquet(f"{path}/pedidos/lote={number}")
     try:

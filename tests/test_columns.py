@@ -70,3 +70,15 @@ def test_exact_mean_has_no_order(spark):
 def test_names(spark):
     assert X.normalized_names(["Competência Mov", "Seção", "1ª col", "Seção", "??"]) == ["competencia_mov", "secao", "1a_col", "secao_2", "coluna"]
     assert values(spark, ["É um Nome/Longo!", "--", None, "Straße"], X.slug("c")) == ["e_um_nome_longo", "sem_nome", "sem_nome", "stra_e"]
+
+
+def test_plain_digits_have_a_short_way_with_the_same_values(spark):
+    """Integers and months in plain digits are told without a pattern or a parser of dates; all other text goes the long way."""
+    numbers = [("7", 7), ("-1", -1), ("127", 127), ("128", None), ("+7", 7), ("007", 7), ("-0", 0), (" 7 ", 7), ("\t7", None), ("2,5", 3), ("-2.5", -3), ("1e2", 100), ("7d", None), ("", None), (None, None)]
+    whole = spark.createDataFrame(numbers, "x string, y int").select(X.decimal_comma("x", "tinyint").alias("got"), F.col("y"), "x")
+    assert [r["x"] for r in whole.collect() if r["got"] != r["y"]] == []
+    months = [("199907", "1999-07-01"), (" 199907 ", "1999-07-01"), ("010112", "0101-12-01"), ("999912", "9999-12-01"), ("199900", None), ("199913", None), ("000001", "0000-01-01"), ("-19990", None), ("19990", None), ("1999070", None), ("199907\t", None), (None, None)]
+    dates = spark.createDataFrame(months, "x string, y string").select(X.yyyymm("x").cast("string").alias("got"), "y", "x")
+    assert [r["x"] for r in dates.collect() if r["got"] != r["y"]] == []
+    short = spark.range(1).select(F.col("id").cast("string").alias("x")).select(X.decimal_comma("x", "tinyint").alias("a"), X.yyyymm("x").alias("b"))
+    assert short._jdf.queryExecution().optimizedPlan().toString().lower().count("coalesce") == 2

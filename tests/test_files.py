@@ -305,3 +305,21 @@ def test_files_of_the_silver_are_built_in_stages_that_are_compiled(spark):
     QUERIES["k2_write_silver_per_file"](spark, "/root/testdata/sf0.001")
     assert spark.conf.get(name) == "8000"
     spark.conf.unset(name)
+
+
+def test_rows_are_brought_together_by_file_before_they_are_built(spark, tmp_path, monkeypatch):
+    """What build adds is not shuffled, what it leaves out is not either, and nothing is sorted by file while it is written."""
+    seen, write = [], sinks.write_partitioned
+    monkeypatch.setattr(sinks, "write_partitioned", lambda df, *a: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a)))
+    open_files, writer = [], sinks._writer
+    monkeypatch.setattr(sinks, "_writer", lambda *a: (open_files.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")), writer(*a))[1])
+    rows = spark.range(90).select(F.concat(F.lit("f"), F.col("id") % 3).alias("arquivo_fonte"), (F.col("id") % 2).alias("ano"), F.col("id").alias("x"))
+    out = str(tmp_path / "k2")
+    sinks.build_per_file(rows, lambda df: df.filter("x >= 30").withColumn("wide", F.repeat(F.lit("descricao"), F.col("x").cast("int"))), out, ("ano",))
+    above, below = seen[0].split("RebalancePartitions")
+    assert "wide" in above and "wide" not in below and ">= 30" in below
+    assert open_files == [str(sinks.FEW_PARTITIONS)] and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert sorted(r["x"] for r in sinks.read_per_file(spark, out).collect()) == list(range(30, 90))
+    many = spark.range(4 * sinks.FEW_PARTITIONS).withColumn("k", F.col("id")).coalesce(1)  # more than a task keeps open
+    sinks.write_partitioned(many, str(tmp_path / "many"), ["k"], False)
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "many")).collect()) == list(range(4 * sinks.FEW_PARTITIONS))
